@@ -148,8 +148,8 @@ def q_type_normalise(spark, sf_dir):
 
 
 def q_partition_cols(spark, sf_dir):
-    hourly = totals_rollup(_parsed(spark, sf_dir, QUERY_CONFIG.with_(window="1 hour")), _lookup(spark, sf_dir),
-                           QUERY_CONFIG)
+    hourly_config = QUERY_CONFIG.with_(window="1 hour")
+    hourly = totals_rollup(_parsed(spark, sf_dir, hourly_config), _lookup(spark, sf_dir), hourly_config)
     parts = partition_columns("window_end")
     return hourly.select(
         parts["window_end_ts"].alias("window_end_ts"), parts["ds"].alias("ds"), parts["hr"].alias("hr"),
@@ -272,7 +272,7 @@ def q_stream_totals(spark, sf_dir):
     from ..streaming.pipeline import start_pipeline
 
     paths = WarehousePaths(scratch_path(spark, "stream"))
-    raw = events_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    raw = events_stream(spark, sf_dir)
     query = start_pipeline(
         spark, raw, lambda: _lookup(spark, sf_dir), paths, f"{paths.root}/_checkpoint", run_id="stream",
         config=QUERY_CONFIG, available_now=True,

@@ -34,6 +34,7 @@ def build_session(
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "snappy",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(extra or {})
     for key, value in settings.items():
