@@ -7,7 +7,7 @@ not a JSON object cannot carry a key and is flagged for quarantine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NUMERIC_PREFIXES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "DECIMAL", "FLOAT", "DOUBLE")
@@ -46,6 +46,8 @@ def is_object_payload(raw: Column | str = "raw") -> Column:
 
 
 def message_key(raw: Column | str = "raw") -> Column:
+    """Single-expression form (parses the payload more than once; prefer
+    ``with_message_key`` on large inputs)."""
     col = F.col(raw) if isinstance(raw, str) else raw
     v = F.try_parse_json(col)
     meta = F.try_variant_get(v, "$.meta", "variant")
@@ -54,3 +56,23 @@ def message_key(raw: Column | str = "raw") -> Column:
     top_id = F.try_variant_get(v, "$.id", "variant")
     chosen = F.when(_truthy(meta_id), meta_id).when(_truthy(top_id), top_id)
     return F.when(is_object_payload(col), _text(chosen))
+
+
+def with_message_key(df: DataFrame, raw: str = "raw", out: str = "message_key") -> DataFrame:
+    """Adds ``out``; the payload is parsed once (staged projections, the
+    parsed variant behind a one-element Generate so it is not re-derived)."""
+    parsed = df.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(raw)).alias("_v")))))
+    ids = parsed.select(
+        *[F.col(c) for c in df.columns],
+        F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_obj"),
+        F.try_variant_get("_v", "$.meta", "variant").alias("_meta"),
+        F.try_variant_get("_v", "$.id", "variant").alias("_top"),
+    )
+    ids = ids.withColumn(
+        "_meta_id",
+        F.when(F.coalesce(F.schema_of_variant("_meta").startswith("OBJECT"), F.lit(False)),
+               F.try_variant_get("_meta", "$.id", "variant")),
+    )
+    chosen = F.when(_truthy(F.col("_meta_id")), F.col("_meta_id")).when(_truthy(F.col("_top")), F.col("_top"))
+    picked = ids.select(*[F.col(c) for c in df.columns], F.col("_obj"), chosen.alias("_id"))
+    return picked.select(*[F.col(c) for c in df.columns], F.when(F.col("_obj"), _text(F.col("_id"))).alias(out))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
-from ..schemas import RAW_EVENT_SCHEMA
+from ..schemas import PARSE_SCHEMA, RAW_EVENT_SCHEMA
 
 # Fixed values that decide results (must stay as they are):
 #   epoch values strictly greater than 1e12 are milliseconds, else seconds;
@@ -40,11 +40,16 @@ def parse_fields(raw: Column | str = "raw") -> Column:
     return F.from_json(col, RAW_EVENT_SCHEMA)
 
 
+def minor_text_flag(text: Column | str) -> Column:
+    """P4 rule on the flag's JSON text: trimmed, lower-cased "true" or "1"."""
+    col = F.col(text) if isinstance(text, str) else text
+    return F.lower(F.trim(F.coalesce(col, F.lit("")))).isin(*MINOR_TRUE_TEXTS)
+
+
 def minor_flag(raw: Column | str = "raw") -> Column:
     """``$.minor`` read as text; JSON true, 1 and "TRUE " all count."""
     col = F.col(raw) if isinstance(raw, str) else raw
-    text = F.lower(F.trim(F.coalesce(F.get_json_object(col, "$.minor"), F.lit(""))))
-    return text.isin(*MINOR_TRUE_TEXTS)
+    return minor_text_flag(F.get_json_object(col, "$.minor"))
 
 
 def epoch_seconds(epoch: Column | str = "event_unix_ts") -> Column:
@@ -81,15 +86,18 @@ def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAU
     wiki, null timestamp or unusable event time are dropped; an empty wiki is
     kept.
     """
-    with_struct = df.select(*[F.col(c) for c in keep], parse_fields(raw).alias("evt"), F.col(raw))
+    # Parse once.  The one-element ``inline`` is a Generate node, which filters
+    # cannot be pushed below; without it Catalyst substitutes the parse into
+    # every later predicate and the JSON is re-read once per reference.
+    fields = df.select(*[F.col(c) for c in keep], F.inline(F.array(F.from_json(F.col(raw), PARSE_SCHEMA))))
     # the raw text is not carried past this projection
-    projected = with_struct.select(
+    projected = fields.select(
         *[F.col(c) for c in keep],
-        F.col("evt.wiki").alias("wiki"),
-        F.col("evt.type").alias("mw_type"),
-        F.col("evt.bot").alias("bot"),
-        F.col("evt.timestamp").alias("event_unix_ts"),
-        minor_flag(raw).alias("is_minor"),
+        F.col("wiki"),
+        F.col("type").alias("mw_type"),
+        F.col("bot"),
+        F.col("timestamp").alias("event_unix_ts"),
+        minor_text_flag("minor").alias("is_minor"),
     )
     cleaned = (
         projected.filter(F.col("wiki").isNotNull() & F.col("event_unix_ts").isNotNull())

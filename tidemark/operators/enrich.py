@@ -14,14 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from .broadcast import bounded_broadcast
+from ..sources.lookup import dedupe_lookup
+from .broadcast import fits_broadcast
 
 UNKNOWN_LANGUAGE = "unknown"
 
 
-def prepare_lookup(lookup: DataFrame, max_rows: int = DEFAULT.lookup_broadcast_max_rows) -> DataFrame:
-    """Size-check the dimension once; hint it for broadcast only when it fits."""
-    return bounded_broadcast(lookup, max_rows)
+def prepare_lookup(lookup: DataFrame, max_rows: int = DEFAULT.lookup_broadcast_max_rows,
+                   dedupe: bool = True) -> DataFrame:
+    """One row per key (B3), hinted for broadcast only when the measured size
+    fits.  The size is measured before de-duplication, which can only shrink
+    it, so the check is a plain bounded scan."""
+    fits = fits_broadcast(lookup, max_rows)
+    side = dedupe_lookup(lookup) if dedupe else lookup
+    return F.broadcast(side) if fits else side
 
 
 def enrich(df: DataFrame, lookup: DataFrame, checked: bool = False,

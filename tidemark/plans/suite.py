@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from ..config import DEFAULT, PipelineConfig
-from ..functions.keys import message_key
+from ..functions.keys import with_message_key
 from ..functions.parse import minor_flag, normalise_type, parse_events, parse_fields
 from ..functions.timefmt import WINDOW_END_FORMAT, partition_columns
 from ..operators.checks import contract_violations, lookup_dup_keys
@@ -53,7 +53,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_lookup(lookup_from_tables(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")))
+    """The dimension as loaded (de-duplicated and size-checked by ``enrich``)."""
+    return lookup_from_tables(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
 
 
 def _parsed(spark: SparkSession, sf_dir: str, config: PipelineConfig = QUERY_CONFIG) -> DataFrame:
@@ -159,7 +160,7 @@ def q_partition_cols(spark, sf_dir):
 
 def q_message_key(spark, sf_dir):
     raw = synthetic.raw_events(_events(spark, sf_dir))
-    return raw.select("event_id", message_key("raw").alias("message_key"))
+    return with_message_key(raw).select("event_id", "message_key")
 
 
 def q_feed_clean(spark, sf_dir):
@@ -168,7 +169,7 @@ def q_feed_clean(spark, sf_dir):
 
 
 def q_lookup_dim(spark, sf_dir):
-    return _lookup(spark, sf_dir)
+    return dedupe_lookup(_lookup(spark, sf_dir))
 
 
 def q_lookup_dup_keys(spark, sf_dir):

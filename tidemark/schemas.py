@@ -23,6 +23,11 @@ RAW_EVENT_SCHEMA = StructType(
     ]
 )
 
+# What the pipeline parses, in one pass: the four fields plus the minor flag
+# read as text.  A string field takes any JSON value as its text (true, 1,
+# "TRUE ", {...}), the same text a JSON-path read of ``$.minor`` returns.
+PARSE_SCHEMA = StructType(list(RAW_EVENT_SCHEMA.fields) + [StructField("minor", StringType(), True)])
+
 # Header names of the lookup CSV (all strings) and our prefixed names.
 LOOKUP_CSV_COLUMNS = ("wiki_key", "wiki_label", "language")
 LOOKUP_COLUMNS = ("lk_wiki_key", "lk_wiki_label", "lk_language")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import is_object_payload, message_key
+from ..functions.keys import is_object_payload, with_message_key
 
 ACCEPTED_EVENT_NAMES = ("", "message")
 END_MARKER = "[DONE]"
@@ -46,6 +46,6 @@ def publishable(lines: DataFrame, event: str = "event", data: str = "data") -> t
         "reject_reason",
         F.when(F.col("accepted") & ~is_object_payload("raw"), F.lit("not_object")).otherwise(F.col("reject_reason")),
     ).withColumn("accepted", F.col("reject_reason").isNull())
-    messages = flagged.filter(F.col("accepted")).withColumn("message_key", message_key("raw"))
+    messages = with_message_key(flagged.filter(F.col("accepted")))
     quarantine = flagged.filter(~F.col("accepted"))
     return messages, quarantine
