@@ -54,10 +54,11 @@ def staleness(rollup: DataFrame, as_of, stale_minutes: float = DEFAULT.stale_min
     Null age (and null ``is_stale``) when the table has no rows.
     """
     last = F.max("updated_at")
-    age = F.greatest(
+    # greatest() skips nulls, so the empty-table case is kept null explicitly
+    age = F.when(last.isNotNull(), F.greatest(
         F.lit(0.0),
         (F.unix_micros(_as_of(as_of)) - F.unix_micros(last)).cast("double") / F.lit(60_000_000.0),
-    )
+    ))
     return rollup.agg(last.alias("last_upsert"), age.alias("age_minutes")).withColumn(
         "is_stale", F.col("age_minutes") > F.lit(float(stale_minutes))
     )
@@ -253,3 +254,21 @@ def log_share(actions: DataFrame, log_type: str = "log", edit_type: str = "edit"
         .orderBy(F.col("log_share").desc(), F.col("wiki_label").asc())
         .limit(n)
     )
+
+
+# ---- Q2: catalog row estimate ----------------------------------------------------
+
+def row_estimate(spark, table_name: str) -> int | None:
+    """Q2: row count from catalog statistics (``ANALYZE TABLE ... COMPUTE
+    STATISTICS``); None when the table is missing or was never analysed."""
+    if not spark.catalog.tableExists(table_name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name}").filter(F.col("col_name") == "Statistics").collect()
+    if not rows:
+        return None
+    text = rows[0]["data_type"] or ""
+    for part in text.split(","):
+        part = part.strip()
+        if part.endswith(" rows"):
+            return int(part[: -len(" rows")].strip())
+    return None
