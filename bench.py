@@ -48,7 +48,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app_name="tidemark-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     spark.sparkContext.setLogLevel("ERROR")
     run(spark, "totals_rollup", sf_dir)  # warm-up
     times = {}

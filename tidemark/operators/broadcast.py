@@ -15,16 +15,21 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
-def measure(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, approximate bytes) of ``df``, reading at most ``max_rows + 1`` rows."""
+def measure(df: DataFrame, max_rows: int, key: str | None = None) -> tuple[int, int, int | None]:
+    """(rows, approximate bytes, distinct non-null keys) of ``df``, reading at
+    most ``max_rows + 1`` rows.  The limit leaves one partition, so the distinct
+    count adds no shuffle."""
     row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
     sample = df.limit(max_rows + 1)
-    stats = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
-    return int(stats["n"]), int(stats["b"])
+    aggs = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")]
+    if key is not None:
+        aggs.append(F.count_distinct(F.col(key)).alias("k"))
+    stats = sample.agg(*aggs).first()
+    return int(stats["n"]), int(stats["b"]), (int(stats["k"]) if key is not None else None)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
-    rows, size = measure(df, max_rows)
+    rows, size, _ = measure(df, max_rows)
     return rows <= max_rows and size <= max_bytes
 
 

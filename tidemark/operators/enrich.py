@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..sources.lookup import dedupe_lookup
-from .broadcast import fits_broadcast
+from .broadcast import DEFAULT_MAX_BYTES, measure
 
 UNKNOWN_LANGUAGE = "unknown"
 
@@ -24,9 +24,12 @@ def prepare_lookup(lookup: DataFrame, max_rows: int = DEFAULT.lookup_broadcast_m
                    dedupe: bool = True) -> DataFrame:
     """One row per key (B3), hinted for broadcast only when the measured size
     fits.  The size is measured before de-duplication, which can only shrink
-    it, so the check is a plain bounded scan."""
-    fits = fits_broadcast(lookup, max_rows)
-    side = dedupe_lookup(lookup) if dedupe else lookup
+    it, so the check is a plain bounded scan; the same scan counts distinct
+    keys, and a dimension whose keys are already unique skips the dedupe."""
+    rows, size, keys = measure(lookup, max_rows, key="lk_wiki_key")
+    fits = rows <= max_rows and size <= DEFAULT_MAX_BYTES
+    unique = keys == rows  # distinct counts skip nulls: equality also rules out null keys
+    side = dedupe_lookup(lookup) if dedupe and not unique else lookup
     return F.broadcast(side) if fits else side
 
 

@@ -31,7 +31,7 @@ from ..sources import synthetic
 from ..sources.feed import clean_feed
 from ..sources.files import events_stream
 from ..sources.lookup import dedupe_lookup, lookup_from_tables
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from . import reports
 from .backfill import WarehousePaths, current_actions, current_totals, run_backfill
 
@@ -49,7 +49,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_job_settings(spark, QUERY_CONFIG)
-    return table(spark, sf_dir, "events")
+    return spread(table(spark, sf_dir, "events"))
 
 
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,9 +67,11 @@ def write_batch(
         F.lit(str(run_id)).alias("run_id"),
         F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
     )
-    # One writer task per (ds, hr) directory by default: few, large files and
-    # no task writes into many directories at once.
-    out = out.coalesce(write_partitions) if write_partitions else out.repartition("ds", "hr")
+    # Cluster rows by directory so each (ds, hr) gets few files, through the
+    # rebalance hint: AQE splits a skewed (hot) hour across several writers and
+    # merges small ones, where a plain repartition(ds, hr) would hand a hot
+    # hour to a single task.
+    out = out.coalesce(write_partitions) if write_partitions else out.hint("rebalance", "ds", "hr")
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

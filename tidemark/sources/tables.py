@@ -1,4 +1,4 @@
-"""The given parquet tables (``{sf_dir}/{name}.parquet``)."""
+"""The given parquet tables (``{sf_dir}/{name}.parquet``) and input spreading."""
 
 from __future__ import annotations
 
@@ -12,3 +12,20 @@ TABLES = (
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a batch input over the cluster's cores when it arrives in
+    fewer splits than that (one unsplittable file or row group).
+
+    The per-row JSON work that follows is the costliest step of the job; on a
+    real cluster the input has far more splits than cores and this is a
+    no-op.  Round-robin sorts before distributing, so a retried task sees the
+    same rows (safe under executor loss).
+    """
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
