@@ -50,8 +50,10 @@ class PipelineConfig:
     lookup_broadcast_max_rows: int = 1_000_000
 
     # session
-    shuffle_partitions: int = 8
+    shuffle_partitions: int = 8  # fixed into a stateful checkpoint at first start
     session_time_zone: str = "UTC"
+    # "rocksdb" keeps streaming state off the JVM heap (large key counts)
+    state_store: str | None = None
 
     # Postgres-path clipping limits (VARCHAR sizes of the keyed tables)
     max_wiki_len: int = 256
@@ -105,6 +107,7 @@ class PipelineConfig:
             checkpoint_path=os.environ.get("TIDEMARK_CHECKPOINT") or base.checkpoint_path,
             lookup_path=os.environ.get("TIDEMARK_LOOKUP_CSV") or base.lookup_path,
             shuffle_partitions=int(_env("SPARK_SQL_SHUFFLE_PARTITIONS", str(base.shuffle_partitions))),
+            state_store=os.environ.get("TIDEMARK_STATE_STORE") or base.state_store,
             lookback_minutes=int(_env("TIDEMARK_LOOKBACK_MINUTES", str(base.lookback_minutes))),
             stale_minutes=float(_env("TIDEMARK_STALE_MINUTES", str(base.stale_minutes))),
         )

@@ -16,8 +16,11 @@ from ..schemas import ACTIONS_KEY, TOTALS_KEY
 def ensure_table(spark: SparkSession, name_or_path: str) -> None:
     """V1: the target table (catalog name or Parquet path) must exist before
     streams start; raise with the remedy otherwise."""
-    if spark.catalog.tableExists(name_or_path):
-        return
+    try:
+        if spark.catalog.tableExists(name_or_path):
+            return
+    except Exception:  # not a table identifier: treat as a path
+        pass
     try:
         spark.read.parquet(name_or_path).schema  # noqa: B018 - lists the path
     except Exception as exc:

@@ -36,6 +36,10 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if config.state_store == "rocksdb":
+        settings["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
     settings.update(extra or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
