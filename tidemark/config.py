@@ -35,16 +35,17 @@ class PipelineConfig:
     watermark: str = "2 minutes"
     window: str = "1 minute"
     burst_threshold: int = 200
-    # Guard against one far-future event dragging the watermark forward.
-    # None disables it; otherwise events later than the batch's max allowed
-    # time are dropped at parse time.  Bounded-cast years 0001-9999 always apply.
+    # Guard against one far-future event dragging the watermark forward (B6):
+    # an interval such as "1 day"; events later than now + max_future are
+    # dropped at parse time.  None disables it.  The bounded cast (years
+    # 0001-9999) always applies.
     max_future: str | None = None
 
     # storage
     warehouse_path: str | None = None
     checkpoint_path: str | None = None
     lookup_path: str | None = None
-    write_partitions: int | None = None  # None = repartition by (ds, hr)
+    write_partitions: int | None = None  # None = rebalance by (ds, hr); n = coalesce(n)
 
     # lookup dimension
     lookup_broadcast_max_rows: int = 1_000_000
