@@ -93,3 +93,19 @@ print("RESULT", r["window_end_ts"], r["ds"], r["hr"])
     env = dict(os.environ, TZ="America/Chicago")
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
     assert "RESULT 2024-01-01 12:00:00 2024-01-01 12" in out.stdout, out.stderr[-2000:]
+
+
+def test_contract_quarantine_in_backfill(spark, tmp_dir):  # K5 per batch
+    from tidemark.config import DEFAULT
+
+    rows = ['{"wiki":"' + "w" * 300 + '","timestamp":60}', '{"wiki":"ok","timestamp":60}']
+    raw = spark.createDataFrame([(r,) for r in rows], "raw string")
+    lookup = spark.createDataFrame([("ok", "OK", "en")], "lk_wiki_key string, lk_wiki_label string, lk_language string")
+    paths = run_backfill(spark, raw, lookup, WarehousePaths(tmp_dir), DEFAULT)
+    assert [r["wiki"] for r in current_totals(spark, paths).collect()] == ["ok"]
+    q = spark.read.parquet(paths.quarantine).collect()
+    assert len(q) == 1 and q[0]["contract_reason"] == "wiki_too_long"
+    import pytest
+
+    with pytest.raises(ValueError, match="wiki_too_long"):
+        run_backfill(spark, raw, lookup, WarehousePaths(tmp_dir + "/f"), DEFAULT.with_(contract_mode="fail"))

@@ -47,6 +47,10 @@ class PipelineConfig:
     lookup_path: str | None = None
     write_partitions: int | None = None  # None = rebalance by (ds, hr); n = coalesce(n)
 
+    # K5 per batch: "quarantine" moves rows that break the keyed-table
+    # contract aside (with the rule), "fail" stops the batch, "off" skips it
+    contract_mode: str = "quarantine"
+
     # lookup dimension
     lookup_broadcast_max_rows: int = 1_000_000
 

@@ -70,3 +70,31 @@ def contract_violations(rollup: DataFrame, config: PipelineConfig = DEFAULT) ->
     long_rows = per_row.unpivot([], names, "rule", "violations")
     dup_rows = dup.unpivot([], ["duplicate_key"], "rule", "violations")
     return long_rows.unionByName(dup_rows).filter(F.col("violations") > 0)
+
+
+def contract_reason(rollup: DataFrame, config: PipelineConfig = DEFAULT):
+    """Per-row K5 rule a row breaks first (null when it keeps the contract)."""
+    key = ACTIONS_KEY if "event_type" in rollup.columns else TOTALS_KEY
+    null_key = None
+    for k in key:
+        null_key = F.col(k).isNull() if null_key is None else null_key | F.col(k).isNull()
+    reason = F.when(null_key, F.lit("null_key"))
+    limits = [("wiki", config.max_wiki_len), ("wiki_label", config.max_label_len),
+              ("language", config.max_language_len)]
+    if "event_type" in rollup.columns:
+        limits.append(("event_type", config.max_event_type_len))
+    for c, n in limits:
+        reason = reason.when(F.char_length(F.col(c)) > F.lit(n), F.lit(f"{c}_too_long"))
+    return reason
+
+
+def split_contract(rollup: DataFrame, config: PipelineConfig = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """(rows keeping the keyed-table contract, rows breaking it with a reason).
+
+    Keys are unique per batch by construction (they are the grouping keys), so
+    only the row rules apply here; ``contract_violations`` also checks keys.
+    """
+    flagged = rollup.withColumn("contract_reason", contract_reason(rollup, config))
+    ok = flagged.filter(F.col("contract_reason").isNull()).drop("contract_reason")
+    bad = flagged.filter(F.col("contract_reason").isNotNull())
+    return ok, bad

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions.parse import parse_events
+from ..operators.checks import split_contract
 from ..operators.current import current_view
 from ..operators.enrich import prepare_lookup
 from ..operators.rollups import actions_rollup, totals_from_actions
 from ..schemas import ACTIONS_COLUMNS
+from ..session import checkpoint_root
 from ..sinks.warehouse import read_rollup, write_batch
 
 
@@ -34,6 +36,10 @@ class WarehousePaths:
     def actions(self) -> str:
         return f"{self.root}/actions"
 
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
 
 def write_rollups(
     spark: SparkSession,
@@ -44,7 +50,21 @@ def write_rollups(
     config: PipelineConfig = DEFAULT,
     updated_at: Column | None = None,
 ) -> None:
-    """Write one batch of enriched action rows, then the totals derived from them."""
+    """Write one batch of enriched action rows, then the totals derived from them.
+
+    Rows that break the keyed-table contract (K5) are quarantined, or fail the
+    batch, per ``config.contract_mode``.
+    """
+    if config.contract_mode != "off":
+        actions, bad = split_contract(actions, config)
+        if config.contract_mode == "fail":
+            broken = bad.select("contract_reason").limit(1).collect()
+            if broken:
+                raise ValueError(f"batch {batch_id} breaks the table contract: {broken[0][0]}")
+        elif not bad.isEmpty():
+            (bad.withColumn("run_id", F.lit(str(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("run_id", "batch_id").parquet(paths.quarantine))
     write_batch(actions, paths.actions, run_id, batch_id, updated_at, config.write_partitions)
     stored = read_rollup(spark, paths.actions, "actions").filter(
         (F.col("run_id") == F.lit(str(run_id))) & (F.col("batch_id") == F.lit(int(batch_id)))
@@ -66,6 +86,12 @@ def run_backfill(
     parsed = parse_events(raw, config=config)
     checked = prepare_lookup(lookup, config.lookup_broadcast_max_rows)
     actions = actions_rollup(parsed, checked, config, lookup_checked=True)
+    if config.contract_mode != "off":
+        # The contract split reads the actions twice: materialise them once in
+        # the shared checkpoint folder (reliable, cuts the lineage) instead of
+        # re-running the parse and aggregate over the whole input.
+        checkpoint_root(spark)
+        actions = actions.checkpoint(eager=True)
     write_rollups(spark, actions, paths, run_id, batch_id, config, updated_at)
     return paths
 
