@@ -60,3 +60,17 @@ def test_streaming_plan_is_one_stateful_aggregate(spark, tmp_dir):
     text = plan_text(stream, "extended")
     assert _count(r"EventTimeWatermark", text) >= 1
     assert "Join" not in text.split("== Physical Plan ==")[-1]  # enrichment happens per batch, after the state
+
+
+def test_lookback_over_current_view_prunes_partitions(spark, tmp_dir):
+    import datetime as dt
+
+    from tidemark.operators.current import current_view
+    from tidemark.plans import reports
+    from tidemark.sinks.warehouse import read_rollup, write_batch
+
+    write_batch(suite._totals(spark, SF_SMALL).drop("updated_at"), f"{tmp_dir}/t", "r", 0)
+    view = reports.lookback(current_view(read_rollup(spark, f"{tmp_dir}/t")), dt.datetime(2024, 1, 31), 10_080)
+    text = plan_text(view)
+    assert re.search(r"PartitionFilters: \[isnotnull\(ds#\d+\), \(ds#\d+ >= 2024-01-24\)\]", text)
+    assert "WindowGroupLimit" in text  # best version per key kept before the shuffle

@@ -1,8 +1,9 @@
 """K2/K3: the "current" view -- latest stored version of every key.
 
 Replaces the keyed upsert: versions are appended per batch and the view keeps
-the newest by (updated_at, batch_id, run_id).  One shuffle on the key; each
-key holds at most one row per batch that touched it, so no key can be hot.
+the newest by (updated_at, batch_id, run_id).  One shuffle on the key (Spark
+keeps only the best row per key on the map side first); each key holds at most
+one row per batch that touched it, so no key can be hot.
 """
 
 from __future__ import annotations
@@ -18,5 +19,9 @@ def current_view(versions: DataFrame, key: tuple[str, ...] | None = None) -> Dat
         key = ACTIONS_KEY if "event_type" in versions.columns else TOTALS_KEY
     order = [F.col("updated_at").desc_nulls_last()]
     order += [F.col(c).desc() for c in ("batch_id", "run_id") if c in versions.columns]
-    w = Window.partitionBy(*[F.col(k) for k in key]).orderBy(*order)
+    # ds/hr are functions of window_end, so adding them changes no group; it
+    # lets partition filters on ds/hr pass below the window to the scan
+    # (predicates are pushed through a window only on its partition columns).
+    layout = [c for c in ("ds", "hr") if c in versions.columns]
+    w = Window.partitionBy(*[F.col(k) for k in (*layout, *key)]).orderBy(*order)
     return versions.withColumn("_version", F.row_number().over(w)).filter(F.col("_version") == 1).drop("_version")

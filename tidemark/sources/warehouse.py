@@ -27,7 +27,8 @@ def register_table(spark: SparkSession, name: str, path: str, kind: str = "total
         "TBLPROPERTIES ('parquet.compression' = 'SNAPPY')"
     )
     repair(spark, name)
-    key = "window_end, wiki" + (", event_type" if kind == "actions" else "")
+    # ds, hr lead the window partition so partition filters reach the scan
+    key = "ds, hr, window_end, wiki" + (", event_type" if kind == "actions" else "")
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY VIEW {name}_current AS "
         f"SELECT * EXCEPT (_version) FROM (SELECT *, row_number() OVER (PARTITION BY {key} "
