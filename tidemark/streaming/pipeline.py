@@ -103,7 +103,20 @@ def start_pipeline(
         .foreachBatch(batch_writer(spark, lookup_loader, paths, run_id, config))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=config.trigger)
-    return writer.start()
+    return _start_with_partitions(spark, writer, config.shuffle_partitions)
+
+
+def _start_with_partitions(spark: SparkSession, writer, partitions: int) -> StreamingQuery:
+    """Start with the job's shuffle width (the stateful operator's partition
+    count, fixed into a new checkpoint) without changing the caller's session:
+    a query runs on a clone of the session taken at start."""
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def start_two_queries(
@@ -145,7 +158,7 @@ def start_two_queries(
             .foreachBatch(sink)
         )
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=config.trigger)
-        queries.append(w.start())
+        queries.append(_start_with_partitions(spark, w, config.shuffle_partitions))
     return queries[0], queries[1]
 
 
