@@ -4,8 +4,9 @@ Environment (all optional): KAFKA_BOOTSTRAP_SERVERS, KAFKA_TOPIC,
 KAFKA_STARTING_OFFSETS, KAFKA_MAX_OFFSETS_PER_TRIGGER, TIDEMARK_TRIGGER,
 TIDEMARK_WATERMARK, TIDEMARK_WINDOW, TIDEMARK_BURST_THRESHOLD,
 TIDEMARK_WAREHOUSE, TIDEMARK_CHECKPOINT, TIDEMARK_LOOKUP_CSV, TIDEMARK_RUN_ID,
-SPARK_SQL_SHUFFLE_PARTITIONS, and TIDEMARK_RAW_DIR to read JSON lines from a
-directory instead of Kafka.
+SPARK_SQL_SHUFFLE_PARTITIONS, TIDEMARK_RAW_DIR to read JSON lines from a
+directory instead of Kafka, and TIDEMARK_AVAILABLE_NOW=1 to process what is
+there and stop (replay / catch-up runs).
 
 Steps: session -> preflight (lookup readable, V2) -> one stateful query ->
 foreachBatch sinks -> wait until any query ends (a failure ends the job).
@@ -42,12 +43,17 @@ def main() -> None:
     raw_dir = os.environ.get("TIDEMARK_RAW_DIR")
     raw = text_stream(spark, raw_dir) if raw_dir else kafka_raw(spark, config)
     run_id = os.environ.get("TIDEMARK_RUN_ID", os.path.basename(checkpoint.rstrip("/")))
+    available_now = os.environ.get("TIDEMARK_AVAILABLE_NOW", "").lower() in ("1", "true", "yes")
     recorder = attach(spark)
     query = start_pipeline(
         spark, raw, lambda: read_lookup_csv(spark, config.lookup_path), WarehousePaths(warehouse),
-        checkpoint, run_id, config,
+        checkpoint, run_id, config, available_now=available_now,
     )
     log.info("started query id=%s run_id=%s warehouse=%s checkpoint=%s", query.id, run_id, warehouse, checkpoint)
+    if available_now:
+        query.awaitTermination()
+        log.info(heartbeat(recorder, str(query.id)))
+        return
     while not await_any(spark, timeout=60):
         log.info(heartbeat(recorder, str(query.id)))
         if recorder.stalled(str(query.id), limit_seconds=15 * 60):
