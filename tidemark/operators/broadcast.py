@@ -1,10 +1,11 @@
 """Broadcast only behind a measured size bound.
 
-``bounded_broadcast`` runs one small job over at most ``max_rows + 1`` rows of
-the candidate side.  Within both bounds the side is hinted for broadcast;
-beyond them it is returned unhinted, so the planner keeps a shuffle join (sort
-merge or shuffled hash, with AQE skew splitting) and nothing unbounded is ever
-shipped to every executor.
+``bounded_broadcast`` measures the candidate side with one distributed
+aggregate (row count, serialized bytes, distinct keys -- partial aggregation
+on every partition, nothing funnelled through one task).  Within both bounds
+the side is hinted for broadcast; beyond them it is returned unhinted, so the
+planner keeps a shuffle join (sort merge or shuffled hash, with AQE skew
+splitting) and nothing unbounded is ever shipped to every executor.
 """
 
 from __future__ import annotations
@@ -15,16 +16,17 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
-def measure(df: DataFrame, max_rows: int, key: str | None = None) -> tuple[int, int, int | None]:
-    """(rows, approximate bytes, distinct non-null keys) of ``df``, reading at
-    most ``max_rows + 1`` rows.  The limit leaves one partition, so the distinct
-    count adds no shuffle."""
+def measure(df: DataFrame, max_rows: int | None = None, key: str | None = None) -> tuple[int, int, int | None]:
+    """(rows, approximate serialized bytes, distinct non-null keys) of ``df``.
+
+    One distributed aggregate; ``max_rows`` is accepted for symmetry with the
+    bound it is compared against and does not truncate the measurement.
+    """
     row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    sample = df.limit(max_rows + 1)
     aggs = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")]
     if key is not None:
         aggs.append(F.count_distinct(F.col(key)).alias("k"))
-    stats = sample.agg(*aggs).first()
+    stats = df.agg(*aggs).first()
     return int(stats["n"]), int(stats["b"]), (int(stats["k"]) if key is not None else None)
 
 
