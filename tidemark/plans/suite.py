@@ -25,7 +25,7 @@ from ..operators.checks import contract_violations, lookup_dup_keys
 from ..operators.current import current_view
 from ..operators.enrich import enrich, prepare_lookup
 from ..operators.rollups import actions_rollup, totals_from_actions, totals_rollup
-from ..session import apply_job_settings, scratch_path
+from ..session import apply_job_settings, checkpoint_root, scratch_path
 from ..sinks.warehouse import read_rollup, write_batch
 from ..sources import synthetic
 from ..sources.feed import clean_feed
@@ -84,6 +84,14 @@ def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.withColumn("updated_at", F.col("window_end") + F.expr(UPDATED_AFTER))
 
 
+def _materialised(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Reports that run several actions over one rollup (values to pivot on,
+    emptiness checks) read it from a reliable checkpoint in the shared folder
+    instead of re-deriving it from the whole input each time."""
+    checkpoint_root(spark)
+    return df.checkpoint(eager=True)
+
+
 def _max_window(df: DataFrame) -> Column:
     return df.agg(F.max("window_end")).scalar()
 
@@ -311,7 +319,7 @@ def q_latest_actions(spark, sf_dir):
 
 
 def q_lookback_or_latest(spark, sf_dir):
-    t = _totals(spark, sf_dir)
+    t = _materialised(spark, _totals(spark, sf_dir))
     as_of = _max_window(t) + F.expr(FALLBACK_SHIFT)
     rows, used_fallback = reports.lookback_or_latest(t, as_of, LOOKBACK_MINUTES, QUERY_CONFIG.latest_rows)
     return _all_ts_text(rows.withColumn("used_fallback", F.lit(used_fallback)))
@@ -330,7 +338,7 @@ def q_bot_vs_human(spark, sf_dir):
 
 
 def q_volume_pivot(spark, sf_dir):
-    return _all_ts_text(reports.volume_pivot_long(_totals(spark, sf_dir), 6))
+    return _all_ts_text(reports.volume_pivot_long(_materialised(spark, _totals(spark, sf_dir)), 6))
 
 
 def q_burst_windows(spark, sf_dir):
@@ -338,7 +346,7 @@ def q_burst_windows(spark, sf_dir):
 
 
 def q_event_mix(spark, sf_dir):
-    return _all_ts_text(reports.event_mix_long(_actions(spark, sf_dir)))
+    return _all_ts_text(reports.event_mix_long(_materialised(spark, _actions(spark, sf_dir))))
 
 
 def q_type_totals(spark, sf_dir):
