@@ -2,8 +2,9 @@
 
 Batch mode closes every window (no watermark), so a backfill over stored raw
 events -- a Kafka batch read from ``earliest`` or raw files -- gives the final
-rollups.  Actions are written first; totals are derived from the *written*
-action rows (A4), which cuts the lineage and avoids parsing the input twice.
+rollups.  The action rollup is materialised once (reliable checkpoint in the
+shared folder, which also cuts the lineage); actions are written from it and
+totals derived from it (A4), so the input is parsed once.
 """
 
 from __future__ import annotations
@@ -52,8 +53,11 @@ def write_rollups(
 ) -> None:
     """Write one batch of enriched action rows, then the totals derived from them.
 
-    Rows that break the keyed-table contract (K5) are quarantined, or fail the
-    batch, per ``config.contract_mode``.
+    ``actions`` must be materialised by the caller (a persisted micro-batch or
+    a checkpoint): it is read more than once.  Totals come from it directly --
+    re-reading the table root would list every partition directory of the
+    warehouse on each batch.  Rows that break the keyed-table contract (K5)
+    are quarantined, or fail the batch, per ``config.contract_mode``.
     """
     if config.contract_mode != "off":
         actions, bad = split_contract(actions, config)
@@ -66,10 +70,7 @@ def write_rollups(
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run_id", "batch_id").parquet(paths.quarantine))
     write_batch(actions, paths.actions, run_id, batch_id, updated_at, config.write_partitions)
-    stored = read_rollup(spark, paths.actions, "actions").filter(
-        (F.col("run_id") == F.lit(str(run_id))) & (F.col("batch_id") == F.lit(int(batch_id)))
-    )
-    totals = totals_from_actions(stored.select(*ACTIONS_COLUMNS), config)
+    totals = totals_from_actions(actions.select(*ACTIONS_COLUMNS), config)
     write_batch(totals, paths.totals, run_id, batch_id, updated_at, config.write_partitions)
 
 
@@ -86,12 +87,10 @@ def run_backfill(
     parsed = parse_events(raw, config=config)
     checked = prepare_lookup(lookup, config.lookup_broadcast_max_rows)
     actions = actions_rollup(parsed, checked, config, lookup_checked=True)
-    if config.contract_mode != "off":
-        # The contract split reads the actions twice: materialise them once in
-        # the shared checkpoint folder (reliable, cuts the lineage) instead of
-        # re-running the parse and aggregate over the whole input.
-        checkpoint_root(spark)
-        actions = actions.checkpoint(eager=True)
+    # read several times below: materialise once in the shared checkpoint
+    # folder (reliable, cuts the lineage) instead of re-parsing the input
+    checkpoint_root(spark)
+    actions = actions.checkpoint(eager=True)
     write_rollups(spark, actions, paths, run_id, batch_id, config, updated_at)
     return paths
 
