@@ -109,3 +109,26 @@ def test_contract_quarantine_in_backfill(spark, tmp_dir):  # K5 per batch
 
     with pytest.raises(ValueError, match="wiki_too_long"):
         run_backfill(spark, raw, lookup, WarehousePaths(tmp_dir + "/f"), DEFAULT.with_(contract_mode="fail"))
+
+
+def test_batches_register_their_partitions(spark, tmp_dir):  # S6 without MSCK at scale
+    from tidemark.config import DEFAULT
+    from tidemark.plans.backfill import write_rollups
+
+    spark.sql("DROP TABLE IF EXISTS wh_reg_totals")
+    spark.sql("DROP TABLE IF EXISTS wh_reg_actions")
+    paths = WarehousePaths(tmp_dir)
+    acts = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 5, 1), "a", "A", "x", "edit", 2, 0, 2, 1)],
+        "window_end timestamp, wiki string, wiki_label string, language string, event_type string, "
+        "event_count long, bot_count long, human_count long, minor_count long",
+    )
+    cfg = DEFAULT.with_(totals_table="wh_reg_totals", actions_table="wh_reg_actions")
+    # tables are declared before the first batch lands (V1)
+    register_table(spark, "wh_reg_totals", paths.totals, "totals")
+    register_table(spark, "wh_reg_actions", paths.actions, "actions")
+    write_rollups(spark, acts, paths, "run", 7, cfg)
+    parts = [r[0] for r in spark.sql("SHOW PARTITIONS wh_reg_totals").collect()]
+    assert parts == ["ds=2024-01-01/hr=05/run_id=run/batch_id=7"]
+    assert [r["edit_count"] for r in spark.table("wh_reg_totals_current").collect()] == [2]
+    assert spark.table("wh_reg_actions").count() == 1

@@ -46,6 +46,10 @@ class PipelineConfig:
     checkpoint_path: str | None = None
     lookup_path: str | None = None
     write_partitions: int | None = None  # None = rebalance by (ds, hr); n = coalesce(n)
+    # catalog tables over the warehouse (S6); when set, every batch registers
+    # the partitions it wrote, so readers prune through the catalog
+    totals_table: str | None = None
+    actions_table: str | None = None
 
     # K5 per batch: "quarantine" moves rows that break the keyed-table
     # contract aside (with the rule), "fail" stops the batch, "off" skips it
@@ -111,6 +115,8 @@ class PipelineConfig:
             warehouse_path=os.environ.get("TIDEMARK_WAREHOUSE") or base.warehouse_path,
             checkpoint_path=os.environ.get("TIDEMARK_CHECKPOINT") or base.checkpoint_path,
             lookup_path=os.environ.get("TIDEMARK_LOOKUP_CSV") or base.lookup_path,
+            totals_table=os.environ.get("TIDEMARK_TOTALS_TABLE") or base.totals_table,
+            actions_table=os.environ.get("TIDEMARK_ACTIONS_TABLE") or base.actions_table,
             shuffle_partitions=int(_env("SPARK_SQL_SHUFFLE_PARTITIONS", str(base.shuffle_partitions))),
             state_store=os.environ.get("TIDEMARK_STATE_STORE") or base.state_store,
             lookback_minutes=int(_env("TIDEMARK_LOOKBACK_MINUTES", str(base.lookback_minutes))),

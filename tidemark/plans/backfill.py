@@ -69,9 +69,9 @@ def write_rollups(
             (bad.withColumn("run_id", F.lit(str(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run_id", "batch_id").parquet(paths.quarantine))
-    write_batch(actions, paths.actions, run_id, batch_id, updated_at, config.write_partitions)
+    write_batch(actions, paths.actions, run_id, batch_id, updated_at, config.write_partitions, config.actions_table)
     totals = totals_from_actions(actions.select(*ACTIONS_COLUMNS), config)
-    write_batch(totals, paths.totals, run_id, batch_id, updated_at, config.write_partitions)
+    write_batch(totals, paths.totals, run_id, batch_id, updated_at, config.write_partitions, config.totals_table)
 
 
 def run_backfill(

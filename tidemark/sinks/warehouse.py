@@ -54,7 +54,11 @@ def write_batch(
     batch_id: int,
     updated_at: Column | None = None,
     write_partitions: int | None = None,
+    table: str | None = None,
 ) -> None:
+    """Write one batch; with ``table``, register exactly the partitions it
+    wrote in that catalog table (readers then prune through the catalog and
+    never list the whole warehouse)."""
     kind = "actions" if "event_type" in df.columns else "totals"
     cols = ACTIONS_COLUMNS if kind == "actions" else TOTALS_COLUMNS
     parts = partition_columns("window_end")
@@ -79,6 +83,12 @@ def write_batch(
         .partitionBy(*BATCH_PARTITION_COLUMNS)
         .parquet(path)
     )
+    if table:
+        from ..sources.warehouse import add_partitions
+
+        hours = [(r["ds"], r["hr"]) for r in df.select(parts["ds"].alias("ds"), parts["hr"].alias("hr"))
+                 .distinct().collect()]
+        add_partitions(df.sparkSession, table, hours, run_id, batch_id)
 
 
 def read_rollup(spark: SparkSession, path: str, kind: str = "totals") -> DataFrame:

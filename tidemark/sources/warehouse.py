@@ -20,6 +20,13 @@ def _ddl_columns(kind: str) -> str:
 
 
 def register_table(spark: SparkSession, name: str, path: str, kind: str = "totals") -> None:
+    """(Re)create the catalog table over ``path`` and register what is there.
+
+    An empty append first makes sure the location exists (no data files are
+    added), so a table can be declared before the first batch lands.
+    """
+    schema = _stored_schema(kind)
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(*_PARTITIONS).parquet(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({_ddl_columns(kind)}) USING PARQUET "
@@ -42,5 +49,25 @@ def register_totals_table(spark: SparkSession, name: str, path: str) -> None:
 
 
 def repair(spark: SparkSession, name: str) -> None:
-    """Pick up partitions written since the last repair."""
+    """Pick up partitions written since the last repair (lists the whole
+    location: for a first registration or an occasional sweep)."""
     spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def _quote(value: str) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def add_partitions(spark: SparkSession, name: str, hours: list[tuple[str, str]], run_id: str, batch_id: int) -> None:
+    """Register the partitions one batch wrote, without listing the table.
+
+    ``hours`` is the (ds, hr) list of the batch -- a few hours for a
+    micro-batch, at most the backfilled time range.
+    """
+    if not hours:
+        return
+    specs = " ".join(
+        f"PARTITION (ds = {_quote(ds)}, hr = {_quote(hr)}, run_id = {_quote(run_id)}, batch_id = {int(batch_id)})"
+        for ds, hr in hours
+    )
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")

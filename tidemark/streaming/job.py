@@ -4,6 +4,7 @@ Environment (all optional): KAFKA_BOOTSTRAP_SERVERS, KAFKA_TOPIC,
 KAFKA_STARTING_OFFSETS, KAFKA_MAX_OFFSETS_PER_TRIGGER, TIDEMARK_TRIGGER,
 TIDEMARK_WATERMARK, TIDEMARK_WINDOW, TIDEMARK_BURST_THRESHOLD,
 TIDEMARK_WAREHOUSE, TIDEMARK_CHECKPOINT, TIDEMARK_LOOKUP_CSV, TIDEMARK_RUN_ID,
+TIDEMARK_TOTALS_TABLE / TIDEMARK_ACTIONS_TABLE (catalog tables kept in step),
 SPARK_SQL_SHUFFLE_PARTITIONS, TIDEMARK_RAW_DIR to read JSON lines from a
 directory instead of Kafka, and TIDEMARK_AVAILABLE_NOW=1 to process what is
 there and stop (replay / catch-up runs).
@@ -23,6 +24,7 @@ from ..session import build_session, checkpoint_root
 from ..sources.files import text_stream
 from ..sources.kafka import kafka_raw
 from ..sources.lookup import ensure_lookup_readable, read_lookup_csv
+from ..sources.warehouse import register_table
 from .monitor import attach, heartbeat
 from .pipeline import await_any, start_pipeline
 
@@ -40,13 +42,18 @@ def main() -> None:
     if not config.lookup_path:
         raise SystemExit("TIDEMARK_LOOKUP_CSV is required (header wiki_key,wiki_label,language)")
     ensure_lookup_readable(spark, config.lookup_path)
+    paths = WarehousePaths(warehouse)
+    for table, path, kind in ((config.totals_table, paths.totals, "totals"),
+                              (config.actions_table, paths.actions, "actions")):
+        if table:
+            register_table(spark, table, path, kind)  # one full registration at start-up
     raw_dir = os.environ.get("TIDEMARK_RAW_DIR")
     raw = text_stream(spark, raw_dir) if raw_dir else kafka_raw(spark, config)
     run_id = os.environ.get("TIDEMARK_RUN_ID", os.path.basename(checkpoint.rstrip("/")))
     available_now = os.environ.get("TIDEMARK_AVAILABLE_NOW", "").lower() in ("1", "true", "yes")
     recorder = attach(spark)
     query = start_pipeline(
-        spark, raw, lambda: read_lookup_csv(spark, config.lookup_path), WarehousePaths(warehouse),
+        spark, raw, lambda: read_lookup_csv(spark, config.lookup_path), paths,
         checkpoint, run_id, config, available_now=available_now,
     )
     log.info("started query id=%s run_id=%s warehouse=%s checkpoint=%s", query.id, run_id, warehouse, checkpoint)
