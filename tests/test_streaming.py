@@ -213,3 +213,32 @@ def test_job_program_end_to_end(spark, tmp_dir):
     # nothing is late: 22:15 holds offsets 0, 5, 7, 10 and 59; every window the
     # final watermark (22:20:20) passed is emitted
     assert got == [(_w(15), 5), (_w(16), 4), (_w(17), 1), (_w(18), 1)]
+
+
+def test_late_policy_from_config(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    _write_trace(src, TRACE)
+    paths = WarehousePaths(f"{tmp_dir}/wh")
+    cfg = CFG.with_(late_policy="current")
+    q = start_pipeline(spark, text_stream(spark, src, 1), lambda: _lookup(spark), paths, f"{tmp_dir}/ck", "r", cfg,
+                       available_now=True)
+    q.awaitTermination()
+    got = {r["window_end"]: r["edit_count"] for r in current_totals(spark, paths).collect()}
+    assert got[_w(15)] == 3  # the late row is dropped by the current watermark
+    assert spark.conf.get(LATE_POLICY_CONF, None) in (None, "true")  # caller's session untouched
+
+
+def test_publish_stream_to_files(spark, tmp_dir):  # K6 on a file sink
+    from tidemark.sinks.kafka import publish_stream
+
+    src = f"{tmp_dir}/feed"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as fh:
+        fh.write(json.dumps({"event": "message", "data": '{"meta":{"id":"k1"},"wiki":"a"}'}) + "\n")
+        fh.write(json.dumps({"event": "ping", "data": "{}"}) + "\n")
+        fh.write(json.dumps({"event": "", "data": "[DONE]"}) + "\n")
+    lines = spark.readStream.schema("event string, data string").json(src)
+    q = publish_stream(lines, f"{tmp_dir}/ck", file_path=f"{tmp_dir}/out", available_now=True)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{tmp_dir}/out").selectExpr("CAST(key AS STRING) k", "CAST(value AS STRING) v").collect()
+    assert [(r["k"], r["v"]) for r in out] == [("k1", '{"meta":{"id":"k1"},"wiki":"a"}')]

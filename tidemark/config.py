@@ -40,6 +40,9 @@ class PipelineConfig:
     # dropped at parse time.  None disables it.  The bounded cast (years
     # 0001-9999) always applies.
     max_future: str | None = None
+    # ST4: "previous" filters late rows by the previous batch's watermark
+    # (Spark's default); "current" by the current one (stricter)
+    late_policy: str = "previous"
 
     # storage
     warehouse_path: str | None = None

@@ -21,13 +21,19 @@ def messages_and_quarantine(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return publishable(lines)
 
 
-def publish_stream(lines: DataFrame, checkpoint: str, config: PipelineConfig = DEFAULT) -> StreamingQuery:
+def publish_stream(lines: DataFrame, checkpoint: str, config: PipelineConfig = DEFAULT,
+                   file_path: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Publish a stream of feed lines: to Kafka, or as Parquet files under
+    ``file_path`` (same payload; tests and replay archives)."""
     messages, _ = messages_and_quarantine(lines)
-    return (
-        kafka_payload(messages).writeStream.format("kafka")
-        .options(**sink_options(config, checkpoint))
-        .start()
-    )
+    writer = kafka_payload(messages).writeStream
+    if file_path:
+        writer = writer.format("parquet").option("path", file_path).option("checkpointLocation", checkpoint)
+    else:
+        writer = writer.format("kafka").options(**sink_options(config, checkpoint))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def write_files(lines: DataFrame, path: str, quarantine_path: str | None = None) -> None:

@@ -103,20 +103,28 @@ def start_pipeline(
         .foreachBatch(batch_writer(spark, lookup_loader, paths, run_id, config))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=config.trigger)
-    return _start_with_partitions(spark, writer, config.shuffle_partitions)
+    return _start_with_job_conf(spark, writer, config)
 
 
-def _start_with_partitions(spark: SparkSession, writer, partitions: int) -> StreamingQuery:
+def _start_with_job_conf(spark: SparkSession, writer, config: PipelineConfig) -> StreamingQuery:
     """Start with the job's shuffle width (the stateful operator's partition
-    count, fixed into a new checkpoint) without changing the caller's session:
-    a query runs on a clone of the session taken at start."""
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
+    count, fixed into a new checkpoint) and late-row policy, without changing
+    the caller's session: a query runs on a clone of the session taken at
+    start."""
+    settings = {"spark.sql.shuffle.partitions": str(config.shuffle_partitions)}
+    if config.late_policy == "current":
+        settings[LATE_POLICY_CONF] = "false"
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         return writer.start()
     finally:
-        spark.conf.set(key, previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def start_two_queries(
@@ -158,7 +166,7 @@ def start_two_queries(
             .foreachBatch(sink)
         )
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=config.trigger)
-        queries.append(_start_with_partitions(spark, w, config.shuffle_partitions))
+        queries.append(_start_with_job_conf(spark, w, config))
     return queries[0], queries[1]
 
 
