@@ -8,7 +8,6 @@ import datetime as dt
 import json
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL

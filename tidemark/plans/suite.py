@@ -19,7 +19,7 @@ from pyspark.sql.types import TimestampType
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions.keys import with_message_key
-from ..functions.parse import minor_flag, normalise_type, parse_events, parse_fields
+from ..functions.parse import minor_flag, parse_events, parse_fields
 from ..functions.timefmt import WINDOW_END_FORMAT, partition_columns
 from ..operators.checks import contract_violations, lookup_dup_keys
 from ..operators.current import current_view
