@@ -4,7 +4,7 @@ import re
 
 from conftest import SF_SMALL, plan_text
 from tidemark.plans import suite
-from tidemark.streaming.pipeline import windowed_actions
+from tidemark.streaming.rollup_stream import windowed_actions
 from tidemark.sources.files import text_stream
 
 

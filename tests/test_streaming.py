@@ -17,7 +17,7 @@ from tidemark.plans import suite
 from tidemark.plans.backfill import WarehousePaths, current_actions, current_totals
 from tidemark.sources.files import events_stream, text_stream
 from tidemark.streaming.monitor import ProgressRecorder, attach, detach
-from tidemark.streaming.pipeline import (
+from tidemark.streaming.rollup_stream import (
     LATE_POLICY_CONF,
     set_late_policy,
     start_pipeline,

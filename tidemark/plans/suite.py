@@ -278,7 +278,7 @@ def q_warehouse_scan(spark, sf_dir):
 def q_stream_totals(spark, sf_dir):
     """ST1-ST9: the streaming job run to completion (availableNow) over the
     events file, then its totals table read back through the current view."""
-    from ..streaming.pipeline import start_pipeline
+    from ..streaming.rollup_stream import start_pipeline
 
     paths = WarehousePaths(scratch_path(spark, "stream"))
     raw = events_stream(spark, sf_dir)

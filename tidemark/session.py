@@ -86,6 +86,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = _configured_checkpoint_dir(spark)
     if current:
         return current.rstrip("/")
+    master = spark.conf.get("spark.master", "local") or "local"
+    if not master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a shared, fault-tolerant folder "
+            "(checkpoints and intermediate tables go there)"
+        )
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(local)

@@ -26,7 +26,7 @@ from ..sources.kafka import kafka_raw
 from ..sources.lookup import ensure_lookup_readable, read_lookup_csv
 from ..sources.warehouse import register_table
 from .monitor import attach, heartbeat
-from .pipeline import await_any, start_pipeline
+from .rollup_stream import await_any, start_pipeline
 
 log = logging.getLogger("tidemark")
 
