@@ -132,3 +132,28 @@ def test_batches_register_their_partitions(spark, tmp_dir):  # S6 without MSCK a
     assert parts == ["ds=2024-01-01/hr=05/run_id=run/batch_id=7"]
     assert [r["edit_count"] for r in spark.table("wh_reg_totals_current").collect()] == [2]
     assert spark.table("wh_reg_actions").count() == 1
+
+
+def test_compaction_keeps_current_view(spark, tmp_dir):
+    from tidemark.sinks.compaction import compact_day
+
+    spark.sql("DROP TABLE IF EXISTS wh_compact")
+    path = f"{tmp_dir}/t"
+    register_table(spark, "wh_compact", path)
+    w1, w2 = dt.datetime(2024, 1, 1, 5, 1), dt.datetime(2024, 1, 1, 6, 1)
+    write_batch(_totals(spark, [(w1, "a", "a", "x", 1, 0, 1, False), (w2, "b", "b", "x", 1, 0, 1, False)]), path, "r",
+                0, updated_at=F.lit(dt.datetime(2024, 1, 1, 7)), table="wh_compact")
+    write_batch(_totals(spark, [(w1, "a", "a", "x", 5, 0, 5, False)]), path, "r", 1,
+                updated_at=F.lit(dt.datetime(2024, 1, 1, 8)), table="wh_compact")
+    before = sorted((r["wiki"], r["edit_count"]) for r in spark.table("wh_compact_current").collect())
+    assert before == [("a", 5), ("b", 1)]
+    dropped = compact_day(spark, "wh_compact", path, "2024-01-01")
+    assert dropped == 3
+    parts = sorted(r[0] for r in spark.sql("SHOW PARTITIONS wh_compact").collect())
+    assert parts == ["ds=2024-01-01/hr=05/run_id=compacted/batch_id=0", "ds=2024-01-01/hr=06/run_id=compacted/batch_id=0"]
+    after = sorted((r["wiki"], r["edit_count"]) for r in spark.table("wh_compact_current").collect())
+    assert after == before and spark.table("wh_compact").count() == 2
+    by_path = sorted((r["wiki"], r["edit_count"]) for r in current_view(read_rollup(spark, path)).collect())
+    assert by_path == before
+    assert compact_day(spark, "wh_compact", path, "2024-01-01") == 0  # idempotent
+    assert sorted((r["wiki"], r["edit_count"]) for r in spark.table("wh_compact_current").collect()) == before
