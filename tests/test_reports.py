@@ -93,3 +93,31 @@ def test_table_row_estimate_from_catalog(spark, tmp_dir):  # Q2
     spark.sql("ANALYZE TABLE q2_totals COMPUTE STATISTICS")
     assert reports.row_estimate(spark, "q2_totals") == t.count()
     assert reports.row_estimate(spark, "no_such_table") is None
+
+
+def test_dashboard_refresh_from_warehouse(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from tidemark.plans.backfill import WarehousePaths, current_actions, current_totals, run_backfill
+    from tidemark.plans.dashboard import refresh
+    from tidemark.sources import synthetic
+
+    cfg = suite.QUERY_CONFIG
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    paths = run_backfill(spark, synthetic.raw_events(events, keep_id=False), suite._lookup(spark, SF_SMALL),
+                         WarehousePaths(tmp_dir), cfg)
+    totals, actions = current_totals(spark, paths), current_actions(spark, paths)
+    as_of = totals.agg(F.max("window_end")).first()[0]
+    d = refresh(spark, totals, actions, as_of, cfg)
+    assert d.totals_fallback is False and d.actions_fallback is False
+    n_view = d.totals.count()
+    assert 0 < n_view <= totals.count()
+    assert d.top_wikis.count() == 15 and d.recent_totals.count() == min(150, n_view)
+    assert sum(r["edit_count"] for r in d.top_wikis.collect()) <= d.totals.agg(F.sum("edit_count")).first()[0]
+    assert d.volume_pivot.count() == d.totals.select("window_end").distinct().count()
+    assert d.stats.first()["total_rows"] == totals.count()
+    # far in the future: the look-back is empty, the latest rows are shown instead
+    later = refresh(spark, totals, actions, as_of + dt.timedelta(days=60), cfg)
+    assert later.totals_fallback is True and later.totals.count() == min(cfg.latest_rows, totals.count())
+    # updated_at is the real write time (after as_of): the age is floored at 0
+    assert later.staleness.first()["age_minutes"] == 0.0 and later.staleness.first()["is_stale"] is False
