@@ -24,8 +24,8 @@ def prepare_lookup(lookup: DataFrame, max_rows: int = DEFAULT.lookup_broadcast_m
                    dedupe: bool = True) -> DataFrame:
     """One row per key (B3), hinted for broadcast only when the measured size
     fits.  The size is measured before de-duplication, which can only shrink
-    it, so the check is a plain bounded scan; the same scan counts distinct
-    keys, and a dimension whose keys are already unique skips the dedupe."""
+    it; the same distributed aggregate counts distinct keys, and a dimension
+    whose keys are already unique skips the dedupe shuffle."""
     rows, size, keys = measure(lookup, max_rows, key="lk_wiki_key")
     fits = rows <= max_rows and size <= DEFAULT_MAX_BYTES
     unique = keys == rows  # distinct counts skip nulls: equality also rules out null keys
