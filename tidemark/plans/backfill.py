@@ -9,6 +9,7 @@ totals derived from it (A4), so the input is parsed once.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,9 +70,19 @@ def write_rollups(
             (bad.withColumn("run_id", F.lit(str(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("run_id", "batch_id").parquet(paths.quarantine))
-    write_batch(actions, paths.actions, run_id, batch_id, updated_at, config.write_partitions, config.actions_table)
     totals = totals_from_actions(actions.select(*ACTIONS_COLUMNS), config)
-    write_batch(totals, paths.totals, run_id, batch_id, updated_at, config.write_partitions, config.totals_table)
+    # Both read the materialised actions and nothing else: submit the two
+    # writes as concurrent Spark jobs.  Either failing fails the batch, whose
+    # replay overwrites both (run_id, batch_id) partitions.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        pending = [
+            pool.submit(write_batch, actions, paths.actions, run_id, batch_id, updated_at,
+                        config.write_partitions, config.actions_table),
+            pool.submit(write_batch, totals, paths.totals, run_id, batch_id, updated_at,
+                        config.write_partitions, config.totals_table),
+        ]
+        for job in pending:
+            job.result()
 
 
 def run_backfill(
