@@ -123,3 +123,11 @@ def test_partition_text(spark):  # P17
     parts = partition_columns("window_end")
     r = df.select(*[v.alias(k) for k, v in parts.items()]).first()
     assert (r["window_end_ts"], r["ds"], r["hr"]) == ("2024-01-02 03:04:05", "2024-01-02", "03")
+
+
+def test_max_future_guard(spark):  # B6: one far-future event must not drag the watermark
+    rows = ['{"wiki":"w","timestamp":1700000000}', '{"wiki":"w","timestamp":4102444800}']  # 2023, 2100
+    df = raw_df(spark, rows)
+    assert parse_events(df, config=DEFAULT).count() == 2
+    guarded = parse_events(df, config=DEFAULT.with_(max_future="1 day"))
+    assert [r["event_ts"].year for r in guarded.collect()] == [2023]
