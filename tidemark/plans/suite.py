@@ -227,7 +227,7 @@ def _upsert_versions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
     path = scratch_path(spark, "upsert", kind)
     run_id = "r0"
-    even = rollup(ev.filter(F.col("event_id") % 2 == 0))
+    even = _materialised(spark, rollup(ev.filter(F.col("event_id") % 2 == 0)))  # written twice
     for batch_id, frame in ((0, even), (0, even), (1, rollup(ev))):
         stamp = F.col("window_end") + F.expr(f"INTERVAL {2 + batch_id} MINUTES")
         write_batch(frame, path, run_id, batch_id, updated_at=stamp)
