@@ -43,8 +43,9 @@ def contract_violations(rollup: DataFrame, config: PipelineConfig = DEFAULT) ->
     """K5: one row per violated rule of the keyed-table contract, with a count.
 
     Rules: null key columns, duplicate keys, and text longer than the column
-    sizes of the keyed tables.  Row rules are counted in one pass (partial
-    aggregation); duplicates need one shuffle on the key.
+    sizes of the keyed tables.  One pass: a group-by on the key (partial
+    aggregation before its shuffle) counts every row rule per key, then one
+    global sum folds the groups.
     """
     key = ACTIONS_KEY if "event_type" in rollup.columns else TOTALS_KEY
     limits = {
@@ -57,19 +58,16 @@ def contract_violations(rollup: DataFrame, config: PipelineConfig = DEFAULT) ->
     null_key = None
     for k in key:
         null_key = F.col(k).isNull() if null_key is None else null_key | F.col(k).isNull()
-    row_rules = [F.count_if(null_key).alias("null_key")]
-    row_rules += [
-        F.count_if(F.char_length(F.col(c)) > F.lit(n)).alias(f"{c}_too_long") for c, n in limits.items()
-    ]
-    per_row = rollup.agg(*row_rules)
-    dup = (
-        rollup.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-        .agg(F.count(F.lit(1)).alias("duplicate_key"))
+    rules = {"null_key": null_key}
+    rules.update({f"{c}_too_long": F.char_length(F.col(c)) > F.lit(n) for c, n in limits.items()})
+    per_key = rollup.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(cond).alias(name) for name, cond in rules.items()]
     )
-    names = [r for r in per_row.columns]
-    long_rows = per_row.unpivot([], names, "rule", "violations")
-    dup_rows = dup.unpivot([], ["duplicate_key"], "rule", "violations")
-    return long_rows.unionByName(dup_rows).filter(F.col("violations") > 0)
+    summary = per_key.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in rules],
+        F.count_if(F.col("_rows") > 1).alias("duplicate_key"),
+    )
+    return summary.unpivot([], [*rules, "duplicate_key"], "rule", "violations").filter(F.col("violations") > 0)
 
 
 def contract_reason(rollup: DataFrame, config: PipelineConfig = DEFAULT):
