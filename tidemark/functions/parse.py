@@ -40,6 +40,16 @@ def parse_fields(raw: Column | str = "raw") -> Column:
     return F.from_json(col, RAW_EVENT_SCHEMA)
 
 
+def parsed_columns(df: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (), schema=PARSE_SCHEMA) -> DataFrame:
+    """``keep`` columns plus the parsed fields as columns, the text parsed once.
+
+    The one-element ``inline`` is a Generate node, which filters and field
+    extractions cannot be pushed below; without it Catalyst substitutes the
+    parse into every later reference and the JSON is re-read once per use.
+    """
+    return df.select(*[F.col(c) for c in keep], F.inline(F.array(F.from_json(F.col(raw), schema))))
+
+
 def minor_text_flag(text: Column | str) -> Column:
     """P4 rule on the flag's JSON text: trimmed, lower-cased "true" or "1"."""
     col = F.col(text) if isinstance(text, str) else text
@@ -86,10 +96,7 @@ def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAU
     wiki, null timestamp or unusable event time are dropped; an empty wiki is
     kept.
     """
-    # Parse once.  The one-element ``inline`` is a Generate node, which filters
-    # cannot be pushed below; without it Catalyst substitutes the parse into
-    # every later predicate and the JSON is re-read once per reference.
-    fields = df.select(*[F.col(c) for c in keep], F.inline(F.array(F.from_json(F.col(raw), PARSE_SCHEMA))))
+    fields = parsed_columns(df, raw, keep)
     # the raw text is not carried past this projection
     projected = fields.select(
         *[F.col(c) for c in keep],

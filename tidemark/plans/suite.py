@@ -19,7 +19,8 @@ from pyspark.sql.types import TimestampType
 
 from ..config import DEFAULT, PipelineConfig
 from ..functions.keys import with_message_key
-from ..functions.parse import minor_flag, parse_events, parse_fields
+from ..functions.parse import minor_flag, parse_events, parsed_columns
+from ..schemas import RAW_EVENT_SCHEMA
 from ..functions.timefmt import WINDOW_END_FORMAT, partition_columns
 from ..operators.checks import contract_violations, lookup_dup_keys
 from ..operators.current import current_view
@@ -100,13 +101,10 @@ def _max_window(df: DataFrame) -> Column:
 
 def q_event_parse(spark, sf_dir):
     raw = synthetic.raw_events(_events(spark, sf_dir))
-    evt = parse_fields("raw")
-    return raw.select(
-        "event_id",
-        evt.getField("wiki").alias("wiki"),
-        evt.getField("type").alias("type"),
-        F.coalesce(evt.getField("bot"), F.lit(False)).alias("bot"),
-        evt.getField("timestamp").alias("event_unix_ts"),
+    fields = parsed_columns(raw, "raw", keep=("event_id",), schema=RAW_EVENT_SCHEMA)
+    return fields.select(
+        "event_id", "wiki", "type", F.coalesce(F.col("bot"), F.lit(False)).alias("bot"),
+        F.col("timestamp").alias("event_unix_ts"),
     )
 
 
@@ -301,7 +299,7 @@ def q_table_stats(spark, sf_dir):
 
 
 def q_lookback_totals(spark, sf_dir):
-    t = _totals(spark, sf_dir)
+    t = _materialised(spark, _totals(spark, sf_dir))
     return _all_ts_text(reports.lookback(t, _max_window(t), LOOKBACK_MINUTES))
 
 
@@ -310,7 +308,7 @@ def q_latest_totals(spark, sf_dir):
 
 
 def q_lookback_actions(spark, sf_dir):
-    a = _actions(spark, sf_dir)
+    a = _materialised(spark, _actions(spark, sf_dir))
     return _all_ts_text(reports.lookback(a, _max_window(a), LOOKBACK_MINUTES))
 
 
@@ -360,17 +358,17 @@ def q_minor_share(spark, sf_dir):
 
 def q_log_share(spark, sf_dir):
     # 'error' plays 'log' and 'view' plays 'edit'
-    return reports.log_share(_actions(spark, sf_dir), log_type="error", edit_type="view", n=12)
+    return reports.log_share(_materialised(spark, _actions(spark, sf_dir)), log_type="error", edit_type="view", n=12)
 
 
 def q_staleness(spark, sf_dir):
-    t = _totals(spark, sf_dir)
+    t = _materialised(spark, _totals(spark, sf_dir))
     as_of = _max_window(t) + F.expr(STALENESS_SHIFT)
     return _all_ts_text(reports.staleness(t, as_of, QUERY_CONFIG.stale_minutes))
 
 
 def q_view_last_update(spark, sf_dir):
-    t = _totals(spark, sf_dir)
+    t = _materialised(spark, _totals(spark, sf_dir))
     return _all_ts_text(reports.view_last_update(reports.lookback(t, _max_window(t), LOOKBACK_MINUTES)))
 
 
