@@ -241,3 +241,27 @@ def test_publish_stream_to_files(spark, tmp_dir):  # K6 on a file sink
     q.awaitTermination()
     out = spark.read.parquet(f"{tmp_dir}/out").selectExpr("CAST(key AS STRING) k", "CAST(value AS STRING) v").collect()
     assert [(r["k"], r["v"]) for r in out] == [("k1", '{"meta":{"id":"k1"},"wiki":"a"}')]
+
+
+def test_default_run_id_is_the_query_id(spark, tmp_dir):
+    """Restarts keep the run id; a fresh checkpoint gets a new one, so its
+    batch 0 cannot overwrite the older run's batch 0."""
+    from tidemark.sinks.warehouse import read_rollup
+
+    src = f"{tmp_dir}/in"
+    _write_trace(src, TRACE[:3])
+    paths = WarehousePaths(f"{tmp_dir}/wh")
+
+    def run(ck):
+        q = start_pipeline(spark, text_stream(spark, src, 1), lambda: _lookup(spark), paths, ck, None, CFG,
+                           available_now=True)
+        q.awaitTermination()
+        return str(q.id)
+
+    first = run(f"{tmp_dir}/ck1")
+    _write_trace(src, TRACE[3:], first=3)
+    assert run(f"{tmp_dir}/ck1") == first  # restart: same id, same run
+    second = run(f"{tmp_dir}/ck2")          # new checkpoint replays everything as a new run
+    runs = {r["run_id"] for r in read_rollup(spark, paths.totals).select("run_id").distinct().collect()}
+    assert runs == {first, second}
+    assert current_totals(spark, paths).count() == 4

@@ -3,7 +3,8 @@
 Environment (all optional): KAFKA_BOOTSTRAP_SERVERS, KAFKA_TOPIC,
 KAFKA_STARTING_OFFSETS, KAFKA_MAX_OFFSETS_PER_TRIGGER, TIDEMARK_TRIGGER,
 TIDEMARK_WATERMARK, TIDEMARK_WINDOW, TIDEMARK_BURST_THRESHOLD,
-TIDEMARK_WAREHOUSE, TIDEMARK_CHECKPOINT, TIDEMARK_LOOKUP_CSV, TIDEMARK_RUN_ID,
+TIDEMARK_WAREHOUSE, TIDEMARK_CHECKPOINT, TIDEMARK_LOOKUP_CSV, TIDEMARK_RUN_ID
+(default: the streaming query id, which lives exactly as long as the checkpoint),
 TIDEMARK_TOTALS_TABLE / TIDEMARK_ACTIONS_TABLE (catalog tables kept in step),
 SPARK_SQL_SHUFFLE_PARTITIONS, TIDEMARK_RAW_DIR to read JSON lines from a
 directory instead of Kafka, and TIDEMARK_AVAILABLE_NOW=1 to process what is
@@ -49,7 +50,7 @@ def main() -> None:
             register_table(spark, table, path, kind)  # one full registration at start-up
     raw_dir = os.environ.get("TIDEMARK_RAW_DIR")
     raw = text_stream(spark, raw_dir) if raw_dir else kafka_raw(spark, config)
-    run_id = os.environ.get("TIDEMARK_RUN_ID", os.path.basename(checkpoint.rstrip("/")))
+    run_id = os.environ.get("TIDEMARK_RUN_ID") or None  # default: the query id kept in the checkpoint
     available_now = os.environ.get("TIDEMARK_AVAILABLE_NOW", "").lower() in ("1", "true", "yes")
     recorder = attach(spark)
     query = start_pipeline(

@@ -33,6 +33,7 @@ from ..session import apply_job_settings
 from ..sinks.warehouse import write_batch
 
 LATE_POLICY_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
+QUERY_ID_PROPERTY = "sql.streaming.queryId"  # set by Spark on the micro-batch thread
 
 
 def set_late_policy(spark: SparkSession, strict: bool) -> None:
@@ -55,13 +56,15 @@ def batch_writer(
     spark: SparkSession,
     lookup_loader: Callable[[], DataFrame],
     paths: WarehousePaths,
-    run_id: str,
+    run_id: str | None,
     config: PipelineConfig = DEFAULT,
 ) -> Callable[[DataFrame, int], None]:
     """ST8/ST9: per-batch multi-sink callback; skips empty batches.
 
     The lookup is re-read every batch, so edits to the dimension file show up
-    without a restart.
+    without a restart.  Without an explicit ``run_id`` the streaming query's
+    id is used: Spark keeps it in the checkpoint, so it is stable across
+    restarts and new for a new checkpoint (whose batch ids restart at 0).
     """
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
@@ -69,9 +72,12 @@ def batch_writer(
         try:
             if batch.isEmpty():
                 return
+            run = run_id or batch_df.sparkSession.sparkContext.getLocalProperty(QUERY_ID_PROPERTY)
+            if not run:
+                raise RuntimeError("no run_id given and no streaming query id available")
             lookup = prepare_lookup(lookup_loader(), config.lookup_broadcast_max_rows)
             actions = finish_actions(enrich(batch, lookup, checked=True))
-            write_rollups(spark, actions, paths, run_id, batch_id, config)
+            write_rollups(spark, actions, paths, run, batch_id, config)
         finally:
             batch.unpersist()
 
@@ -84,15 +90,16 @@ def start_pipeline(
     lookup_loader: Callable[[], DataFrame],
     paths: WarehousePaths,
     checkpoint: str,
-    run_id: str,
+    run_id: str | None = None,
     config: PipelineConfig = DEFAULT,
     available_now: bool = False,
     query_name: str = "tidemark_rollups",
 ) -> StreamingQuery:
     """Start the one-query pipeline (ST3 append, ST5 trigger, ST6 checkpoint).
 
-    ``run_id`` must be fixed for the life of ``checkpoint`` and new for a new
-    checkpoint.
+    ``run_id`` keys the sink partitions; it must be fixed for the life of
+    ``checkpoint`` and new for a new checkpoint.  Leave it None to use the
+    query id, which has exactly that lifetime.
     """
     apply_job_settings(spark, config)
     writer = (
