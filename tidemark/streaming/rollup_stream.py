@@ -140,7 +140,7 @@ def start_two_queries(
     lookup: DataFrame,
     paths: WarehousePaths,
     checkpoint_root: str,
-    run_id: str,
+    run_id: str | None = None,
     config: PipelineConfig = DEFAULT,
     available_now: bool = False,
 ) -> tuple[StreamingQuery, StreamingQuery]:
@@ -156,13 +156,16 @@ def start_two_queries(
     totals = totals_rollup_enriched(enriched_stream(), config)
     actions = finish_actions(aggregate_actions(enriched_stream(), config, ("wiki_label", "language")))
 
+    def _run(df: DataFrame) -> str:
+        return run_id or df.sparkSession.sparkContext.getLocalProperty(QUERY_ID_PROPERTY)
+
     def totals_sink(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            write_batch(df, paths.totals, run_id, batch_id, write_partitions=config.write_partitions)
+            write_batch(df, paths.totals, _run(df), batch_id, write_partitions=config.write_partitions)
 
     def actions_sink(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            write_batch(df, paths.actions, run_id, batch_id, write_partitions=config.write_partitions)
+            write_batch(df, paths.actions, _run(df), batch_id, write_partitions=config.write_partitions)
 
     queries = []
     for name, frame, sink in (("totals", totals, totals_sink), ("actions", actions, actions_sink)):
