@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 _NUMERIC_PREFIXES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "DECIMAL", "FLOAT", "DOUBLE")
 
 
-def _truthy(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
+def _truthy(v: Column, kind: Column | None = None) -> Column:
+    """Feed-client truthiness of variant ``v``; ``kind`` is its
+    ``schema_of_variant`` when already computed."""
+    kind = F.schema_of_variant(v) if kind is None else kind
     as_text = F.try_variant_get(v, "$", "string")
     numeric = F.lit(False)
     for prefix in _NUMERIC_PREFIXES:
@@ -29,8 +31,8 @@ def _truthy(v: Column) -> Column:
     )
 
 
-def _text(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
+def _text(v: Column, kind: Column | None = None) -> Column:
+    kind = F.schema_of_variant(v) if kind is None else kind
     return (
         F.when(kind == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
         .when(kind == "STRING", F.try_variant_get(v, "$", "string"))
@@ -59,20 +61,31 @@ def message_key(raw: Column | str = "raw") -> Column:
 
 
 def with_message_key(df: DataFrame, raw: str = "raw", out: str = "message_key") -> DataFrame:
-    """Adds ``out``; the payload is parsed once (staged projections, the
-    parsed variant behind a one-element Generate so it is not re-derived)."""
+    """Adds ``out``; the payload is parsed once (the parsed variant sits behind
+    a one-element Generate) and each candidate's kind is computed once, in
+    staged projections."""
+    base = [F.col(c) for c in df.columns]
     parsed = df.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(raw)).alias("_v")))))
     ids = parsed.select(
-        *[F.col(c) for c in df.columns],
+        *base,
         F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_obj"),
         F.try_variant_get("_v", "$.meta", "variant").alias("_meta"),
         F.try_variant_get("_v", "$.id", "variant").alias("_top"),
     )
-    ids = ids.withColumn(
-        "_meta_id",
+    ids = ids.select(
+        *base, "_obj", "_top",
         F.when(F.coalesce(F.schema_of_variant("_meta").startswith("OBJECT"), F.lit(False)),
-               F.try_variant_get("_meta", "$.id", "variant")),
+               F.try_variant_get("_meta", "$.id", "variant")).alias("_meta_id"),
     )
-    chosen = F.when(_truthy(F.col("_meta_id")), F.col("_meta_id")).when(_truthy(F.col("_top")), F.col("_top"))
-    picked = ids.select(*[F.col(c) for c in df.columns], F.col("_obj"), chosen.alias("_id"))
-    return picked.select(*[F.col(c) for c in df.columns], F.when(F.col("_obj"), _text(F.col("_id"))).alias(out))
+    kinds = ids.select(
+        *base, "_obj", "_top", "_meta_id",
+        F.schema_of_variant("_top").alias("_top_kind"), F.schema_of_variant("_meta_id").alias("_meta_kind"),
+    )
+    picked = kinds.select(
+        *base, "_obj",
+        F.when(_truthy(F.col("_meta_id"), F.col("_meta_kind")), F.struct(F.col("_meta_id").alias("v"),
+                                                                        F.col("_meta_kind").alias("k")))
+        .when(_truthy(F.col("_top"), F.col("_top_kind")), F.struct(F.col("_top").alias("v"), F.col("_top_kind").alias("k")))
+        .alias("_id"),
+    )
+    return picked.select(*base, F.when(F.col("_obj"), _text(F.col("_id.v"), F.col("_id.k"))).alias(out))
