@@ -11,8 +11,9 @@ from conftest import SF_SMALL
 import __spark_entry__ as entry_mod
 from tidemark.sources.tables import TABLES
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+from tidemark.plans.suite import QUERIES
+
+SQL = {k: v for k, v in entry_mod.oracle_sql().items() if k in QUERIES}
 
 
 def _norm(v):
