@@ -182,3 +182,11 @@ def shared_file(uri: str):
 
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, math.ceil(rows / per_block))
+
+
+def with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a unique long per row, and that column's name (none of the table's own)."""
+    name = "_row"
+    while name in docs.columns:
+        name = f"_{name}"
+    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name

@@ -2,17 +2,44 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, sharding, warc
+from . import decontaminate, mixing, sharding, token_blocks, toxicity, warc
 from .common import read
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer's file: TIDEMARK_TOKENIZER, else where the tokenizer package has it."""
+    if path := os.environ.get("TIDEMARK_TOKENIZER"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score_documents(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    rows = mixing.mix(docs.withColumn("_row", F.monotonically_increasing_id()), "_row")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
     return warc.archive(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.token_output(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+
+
 def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(read(spark, sf_dir, "documents", "doc_id", "text"), 40)
 
@@ -23,7 +50,10 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op3_mixing": op3_mixing,
     "op5_warc": op5_warc,
+    "op8_token_blocks": op8_token_blocks,
     "op9_jump_shards": op9_jump_shards,
     "op10_leaks": op10_leaks,
 }
