@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, sharding, token_blocks, toxicity, warc
+from . import decontaminate, mixing, ngram_join, sharding, token_blocks, toxicity, warc
 from .common import read
 
 
@@ -25,6 +25,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(read(spark, sf_dir, "documents", "doc_id", "text"), 3, 90, 100)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
     rows = mixing.mix(docs.withColumn("_row", F.monotonically_increasing_id()), "_row")
@@ -51,6 +55,7 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_ngram_join": op2_ngram_join,
     "op3_mixing": op3_mixing,
     "op5_warc": op5_warc,
     "op8_token_blocks": op8_token_blocks,
