@@ -73,17 +73,21 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         lo = hi
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of every word of a slice."""
-    solid = ~_SPACE[data]
-    edge = np.zeros(len(data) + 1, bool)
+def runs_of(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the runs of true bytes; a row's end ends a run."""
+    edge = np.zeros(len(solid) + 1, bool)
     edge[offsets] = True
     begins, stops = solid.copy(), solid.copy()
-    if len(data):
+    if len(solid):
         begins[1:] &= ~solid[:-1] | edge[1:-1]
         stops[:-1] &= ~solid[1:] | edge[1:-1]
-    start = np.flatnonzero(begins)
-    return start, np.flatnonzero(stops) + 1, np.searchsorted(offsets, start, side="right") - 1
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every word of a slice."""
+    start, end = runs_of(~_SPACE[data], offsets)
+    return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True) -> np.ndarray:

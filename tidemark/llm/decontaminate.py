@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, shingles_of, text_slices, word_hashes, words_of
+from .common import WORD, shingles_of, small, text_slices, word_hashes, words_of
 
 BINS = 128
 #: Bytes of item text sent to the tasks at once (the broadcast's proven bound).
@@ -173,3 +173,9 @@ def _by_row(found: set[tuple[int, int]]) -> Iterator[tuple[int, list[int]]]:
     for r, item in found:
         rows.setdefault(r, []).append(item)
     yield from sorted((r, sorted(items)) for r, items in rows.items())
+
+
+def without(docs: DataFrame, row: str, leaked: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose unique ``row`` is in the written one-column table ``leaked``."""
+    leaked = small(leaked)
+    return docs.join(leaked, docs[row] == leaked[leaked.columns[0]], "left_anti")

@@ -172,3 +172,11 @@ def _front(left: DataFrame, gaps: DataFrame) -> tuple[DataFrame, DataFrame]:
     fit = materialise(fit, "mix-front")
     long = rows.where("size > gap").select(*names, F.lit(0).alias("extra"))
     return fit.where("extra = 0").drop("extra"), fit.where("extra = 1").unionByName(long)
+
+
+def repeat_rows(docs: DataFrame, row: str, **settings) -> DataFrame:
+    """Each row of ``docs`` as often as the mix takes it (``mix`` tells the settings); ``docs`` must be a written table."""
+    taken = mix(docs, row, **settings).where("copies > 0").select(F.col(row).alias(f"{row}_taken"), F.col("copies").alias(f"{row}_copies"))
+    taken = small(materialise(taken, "mix-taken"))
+    rows = docs.join(taken, docs[row] == F.col(f"{row}_taken"))
+    return rows.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), f"{row}_copies")).alias(f"{row}_copy")).drop(f"{row}_copy")

@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_join, sharding, token_blocks, toxicity, warc
-from .common import read
+from . import chat, decontaminate, mixing, ngram_join, quality, secret_scan, sharding, token_blocks, toxicity, warc
+from .common import read, with_rows
 
 
 def tokenizer_path() -> str:
@@ -35,11 +35,24 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
     return warc.archive(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, row = with_rows(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return chat.recover_turns(turns, row)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_documents(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source"))
+
+
 def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_output(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
 
@@ -57,7 +70,10 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_join": op2_ngram_join,
     "op3_mixing": op3_mixing,
+    "op4_secrets": op4_secrets,
     "op5_warc": op5_warc,
+    "op6_chat": op6_chat,
+    "op7_quality": op7_quality,
     "op8_token_blocks": op8_token_blocks,
     "op9_jump_shards": op9_jump_shards,
     "op10_leaks": op10_leaks,

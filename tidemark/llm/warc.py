@@ -223,8 +223,8 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
                         yield _parsed(read_frame(source, table[frame]), name, frame)
 
     places = index.select("bundle", "frame", (F.col("frame") / 64).cast("int").alias("run")).distinct()
-    runs = places.groupBy("bundle", "run").agg(F.sort_array(F.collect_list("frame")).alias("frames"))
-    return runs.mapInArrow(parse, PAGE_SCHEMA)
+    runs = materialise(places.groupBy("bundle", "run").agg(F.sort_array(F.collect_list("frame")).alias("frames")), "warc-runs")
+    return runs.repartition(max(1, runs.count()), "bundle", "run").mapInArrow(parse, PAGE_SCHEMA)
 
 
 def _parsed(data: bytes, name: str, frame: int) -> pa.RecordBatch:
