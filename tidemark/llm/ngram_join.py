@@ -35,7 +35,7 @@ HUB_ROUNDS = 3
 BLOCK_SETS = 512
 UNIT_PAIRS = 2000
 
-SET_SCHEMA = "row long, n long, node long, r long, tokens array<long>"
+SET_SCHEMA = "n long, node long, r long, tokens array<long>"
 
 
 class PrefixTree:
@@ -90,8 +90,8 @@ class PrefixTree:
             i += 1
 
 
-def shingle_sets(docs: DataFrame, row: str, k: int, share: float) -> DataFrame:
-    """(row, n, node, r, tokens) of each document: set size, the set's own hash and its r tokens in the lowest ``share`` of the hash space."""
+def shingle_sets(docs: DataFrame, keys: list[str], k: int, share: float) -> DataFrame:
+    """The keys of each document, its set size n, the set's own hash (node) and its r tokens in the lowest ``share`` of the hash space."""
     below = int(share * 2**63)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,19 +101,13 @@ def shingle_sets(docs: DataFrame, row: str, k: int, share: float) -> DataFrame:
             for i, h in sets_of(batch.column("text"), k):
                 tokens = (h >> np.uint64(1)).astype(np.int64)
                 n[i], node[i], low[i] = len(tokens), _set_hash(h), tokens[: np.searchsorted(tokens, below)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    pa.array(n),
-                    pa.array(node, pa.int64()),
-                    pa.array([0 if x is None else len(x) for x in low], pa.int64()),
-                    pa.array(low, pa.list_(pa.int64())),
-                ],
-                names=["row", "n", "node", "r", "tokens"],
-            )
+            r = [0 if x is None else len(x) for x in low]
+            made = [pa.array(n), pa.array(node, pa.int64()), pa.array(r, pa.int64()), pa.array(low, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), *made], names=[*keys, "n", "node", "r", "tokens"])
 
-    rows = docs.select(F.col(row).cast("long").alias("row"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(sets, SET_SCHEMA)
+    rows = docs.select(*keys, F.col("text").cast("string").alias("text"))
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(sets, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + f", {SET_SCHEMA}")
 
 
 def _set_hash(h: np.ndarray) -> int:
@@ -122,8 +116,8 @@ def _set_hash(h: np.ndarray) -> int:
         return int((a + np.uint64(len(h))) >> np.uint64(1))
 
 
-def _full_sets(docs: DataFrame, row: str, nodes: DataFrame, k: int, least: int = 0) -> DataFrame:
-    """(node, tokens) of nodes (node, rep): all tokens from ``least`` on, from the text of the row ``rep``."""
+def _full_sets(docs: DataFrame, keys: list[str], nodes: DataFrame, k: int, least: int = 0) -> DataFrame:
+    """(node, tokens) of nodes (node, rep): all tokens from ``least`` on, from the text of the row with the keys ``rep``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -133,8 +127,13 @@ def _full_sets(docs: DataFrame, row: str, nodes: DataFrame, k: int, least: int =
                 tokens = tokens[np.searchsorted(tokens, least) :]
                 yield pa.RecordBatch.from_arrays([pa.array([node[i]]), pa.array([tokens], pa.list_(pa.int64()))], names=["node", "tokens"])
 
-    rows = docs.select(F.col(row).cast("long").alias("rep"), F.col("text").cast("string").alias("text"))
-    return materialise(rows.join(small(nodes), "rep").select("node", "text").mapInArrow(sets, "node long, tokens array<long>"), "join-sets")
+    wanted = small(materialise(nodes.select("node", *[F.col("rep")[c].alias(f"rep_{c}") for c in keys]), "join-wanted"))
+    rows = docs.select(*keys, F.col("text").cast("string").alias("text"))
+    rows = rows.join(wanted, [F.col(c).eqNullSafe(F.col(f"rep_{c}")) for c in keys]).select("node", "text")
+    found = materialise(rows.mapInArrow(sets, "node long, tokens array<long>"), "join-sets")
+    if found.count() > wanted.count():  # repeated rows of equal keys
+        found = materialise(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "join-sets")
+    return found
 
 
 def _lists(tokens: DataFrame) -> DataFrame:
@@ -230,18 +229,18 @@ def _blocks(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return materialise(rows.groupBy("cluster", "i", "j").applyInArrow(join, "a long, b long"), "join-block-links")
 
 
-def node_links(docs: DataFrame, row: str, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """(rows: row, n, node; links: a, b) where the links connect every two nodes that links connect.
+def node_links(docs: DataFrame, keys: list[str], k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(rows: keys, n, node; parts: node, component) by all links; nodes without links have no part.
 
-    Links among the nodes of large groups of frequent tokens may be left out where other links join
-    the same nodes; all others are listed.
+    Links among the nodes of large groups of frequent tokens need not be found where other links
+    join the same nodes; all others are.
     """
     share = min(1.0, 1.5 * (1 - num / den))
-    found = materialise(shingle_sets(docs, row, k, share), "join-signatures")
-    rows = found.select("row", "n", "node")
+    found = materialise(shingle_sets(docs, keys, k, share), "join-signatures")
+    rows = found.select(*keys, "n", "node")
     least = num // (den - num) if num < den else 1 << 62  # smaller sets link with equal sets only
     nodes = found.where(F.col("n") >= least).groupBy("node").agg(
-        F.min("row").alias("rep"), F.first("n").alias("n"), F.first("r").alias("r"), F.first("tokens").alias("tokens")
+        F.min(F.struct(*keys)).alias("rep"), F.first("n").alias("n"), F.first("r").alias("r"), F.first("tokens").alias("tokens")
     )
     nodes = materialise(nodes, "join-nodes")
 
@@ -257,7 +256,7 @@ def node_links(docs: DataFrame, row: str, k: int, num: int, den: int) -> tuple[D
     rest = materialise(facts.where(F.col("r") - F.col("hot") < _prefix(F.col("n"), num, den)), "join-rest")
     lack = None
     if not rest.isEmpty():
-        more = _full_sets(docs, row, rest.select("node", "rep"), k, int(share * 2**63))
+        more = _full_sets(docs, keys, rest.select("node", "rep"), k, int(share * 2**63))
         tokens2 = more.select("node", F.explode("tokens").alias("token"))
         lists2 = _lists(tokens2)
         frequent2 = lists2.where(F.size("nodes") > RARE).select("token")
@@ -284,10 +283,10 @@ def node_links(docs: DataFrame, row: str, k: int, num: int, den: int) -> tuple[D
     if lack is not None:
         wanted = wanted.union(lack.select("node"))
     wanted = materialise(wanted.distinct().join(facts.select("node", "rep"), "node"), "join-wanted")
-    sets = _full_sets(docs, row, wanted, k)
+    sets = _full_sets(docs, keys, wanted, k)
     links = _links(pairs, sets, num, den)
     if lack is None:
-        return rows, links
+        return rows, materialise(components(links), "join-components")
 
     first = F.row_number().over(Window.partitionBy("node").orderBy("token"))
     meets = common.union(common2.select("token", "node")).join(lack.select("node", "n", "lacks"), "node")
@@ -298,7 +297,7 @@ def node_links(docs: DataFrame, row: str, k: int, num: int, den: int) -> tuple[D
         star = here.join(hubs, "token").select(F.col("hub.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
         links = links.union(_links(star, sets, num, den))
     links = materialise(links, "join-links")
-    known = components(links)
+    known = materialise(components(links), "join-components")
     apart = meets.select("token", "node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     apart = materialise(apart, "join-apart")
     split = apart.groupBy("token").agg(F.min("node").alias("hub"), F.min("component").alias("x"), F.max("component").alias("y"))
@@ -307,21 +306,36 @@ def node_links(docs: DataFrame, row: str, k: int, num: int, den: int) -> tuple[D
         open_rows = materialise(apart.join(split, "token"), "join-open")
         clusters = components(open_rows.select(F.col("node").alias("a"), F.col("hub").alias("b")))
         members = open_rows.select("node", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), "node")
-        links = links.union(_blocks(materialise(members, "join-members"), sets, num, den))
-    return rows, links
+        more = _blocks(materialise(members, "join-members"), sets, num, den)
+        known = _merged(known, more)
+    return rows, known
 
 
-def groups(docs: DataFrame, row: str, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(row, n_shingles, group) of each row of ``docs`` (text and a unique long ``row``).
-
-    ``group`` is one number per connected component of links, equal sets included; null for rows
-    without words, which link with nothing.  Repeated rows are equal sets.  An empty table gives
-    no rows; other columns are ignored.
+def _merged(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links (a, b): those join components, of which there are far fewer than nodes."""
+    ends = links
+    for side in ("a", "b"):
+        names = parts.select(F.col("node").alias(f"node_{side}"), F.col("component").alias(f"part_{side}"))
+        ends = ends.join(names, F.col(side) == F.col(f"node_{side}"), "left").withColumn(side, F.coalesce(f"part_{side}", side))
+    joined = materialise(components(ends.select("a", "b")), "join-merged")
+    joined = joined.select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    lone = links.select(F.col("a").alias("node")).union(links.select("b")).distinct().join(parts, "node", "left_anti")
+    rows = parts.union(lone.select("node", F.col("node").alias("component")))
+    rows = rows.join(joined, F.col("component") == F.col("part"), "left")
+    return materialise(rows.select("node", F.coalesce("whole", "component").alias("component")), "join-components")
+
+
+def groups(docs: DataFrame, keys: list[str], k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The keys of each row of ``docs``, n_shingles and group.
+
+    ``keys`` tell a row's text from any other's, whenever the rows are read again: a stored row number, or
+    an id with a hash of the text.  ``group`` is one number per connected component of links, equal
+    sets included; null for rows without words, which link with nothing.  Repeated rows are equal
+    sets.  An empty table gives no rows; other columns are ignored.
     """
-    rows, links = node_links(docs, row, k, num, den)
-    parts = materialise(components(links), "join-components")
+    rows, parts = node_links(docs, keys, k, num, den)
     joined = rows.join(small(parts), "node", "left")
-    return joined.select("row", F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("group"))
+    return joined.select(*keys, F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("group"))
 
 
 def link_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
@@ -330,24 +344,25 @@ def link_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100)
     Rows without words are components of their own.  A null doc_id is never a component's smallest
     unless all its ids are null.
     """
-    keyed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
-    ids = materialise(keyed.select("doc_id", "_row"), "join-ids")
-    found = materialise(groups(keyed, "_row", k, num, den), "join-groups")
-    rows = found.join(ids, F.col("row") == F.col("_row")).select("doc_id", "n_shingles", "group")
-    rows = materialise(rows, "join-rows")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
+    rows = materialise(groups(keyed, ["doc_id", "_text"], k, num, den), "join-rows")
     least = rows.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
     least = materialise(least.where("members > 1"), "join-least")
     return rows.join(least, "group", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, row: str, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` without all but one row of each group: that of the smallest (doc_id, row); rows without words stay."""
-    found = materialise(groups(docs, row, k, num, den), "join-groups")
-    ids = docs.select("doc_id", F.col(row).alias("row"))
-    rows = materialise(found.where("group is not null").join(ids, "row"), "join-rows")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    """The rows of the written table ``docs`` without all but one row of each group: that of the smallest (doc_id, row).
+
+    ``row`` is a unique long.  Rows without words stay; a null doc_id comes last.
+    """
+    ids = docs.select("doc_id", F.col(row).alias("_kept"))
+    found = materialise(groups(docs, [row], k, num, den), "join-groups")
+    rows = found.where("group is not null").join(ids, F.col(row) == F.col("_kept")).select("doc_id", "group", row)
+    rows = materialise(rows, "join-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(row).alias("row"))
     first = rows.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("members")).where("members > 1")
-    first = materialise(first.select("group", F.col("first.row").alias("kept")), "join-first")
-    drop = rows.join(first, "group").where("row <> kept").select(F.col("row").alias("_dropped"))
+    first = materialise(first.select("group", F.col("first.row").alias("_kept")), "join-first")
+    drop = rows.join(first, "group").where(F.col(row) != F.col("_kept")).select(F.col(row).alias("_dropped"))
     drop = small(materialise(drop, "join-drop"))
     return docs.join(drop, docs[row] == F.col("_dropped"), "left_anti")
