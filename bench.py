@@ -19,6 +19,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+# one-file test input: deal it to all cores, as a cluster's many files would be
+os.environ.setdefault("TIDEMARK_INPUT_PARTITIONS", os.environ.get("BENCH_CPUS", "8"))
+
 from tidemark.plans.suite import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
@@ -52,7 +55,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app_name="tidemark-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g"),
+                                 "spark.sql.shuffle.partitions": cpus})
     spark.sparkContext.setLogLevel("ERROR")
     reps = max(1, int(os.environ.get("BENCH_REPS", "3")))
     runs: dict[str, list[float]] = {name: [] for name in names}

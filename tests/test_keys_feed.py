@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import raw_df
-from tidemark.functions.keys import message_key, with_message_key
+from tidemark.functions.keys import with_message_key
 from tidemark.sources.feed import clean_feed, publishable
 
 KEY_CASES = [
@@ -19,13 +19,29 @@ KEY_CASES = [
     ('bad', None),
     ('{"id":false}', None),
     ('{}', None),
+    ('{"id":1,"id":2}', "2"),
+    ('{"id":NaN}', "nan"),
+    ('{"id":-Infinity}', "-inf"),
+    ('{"id":1.0}', "1.0"),
+    ('{"id":0.0}', None),
+    ('{"id":1e20}', "1e+20"),
+    ('{"id":-1.5E300}', "-1.5e+300"),
+    ('{"id":12345678.5}', "12345678.5"),
+    ('{"id":1e-7}', "1e-07"),
+    ('{"id":0.0005}', "0.0005"),
+    ('{"id":12345678901234567890123456789012345678901234567890}', "12345678901234567890123456789012345678901234567890"),
+    ('{"id":12345678901234567890123456789012345678901234567891}', "12345678901234567890123456789012345678901234567891"),
+    ('{"meta":"text","id":7}', "7"),
+    ('{"meta":{"id":[]},"id":"false"}', "false"),
+    ('{"id":{}}', None),
+    ('{"id":1} rest', None),
+    ("{'id':1}", None),
+    ('{"id":1},{"id":2}', None),
 ]
 
 
-@pytest.mark.parametrize("fn", ["staged", "column"])
-def test_message_key(spark, fn):
-    df = raw_df(spark, [r for r, _ in KEY_CASES])
-    out = with_message_key(df) if fn == "staged" else df.withColumn("message_key", message_key("raw"))
+def test_message_key(spark):
+    out = with_message_key(raw_df(spark, [r for r, _ in KEY_CASES]))
     got = {r["raw"]: r["message_key"] for r in out.collect()}
     assert got == dict(KEY_CASES)
 
@@ -41,6 +57,10 @@ def test_feed_clean_rules(spark):
             ("message", "[DONE]"),
             ("message", "{bad"),
             (" message ", "[1]"),
+            ("\u00a0message", '\u2003{"id":1,"id":2}\u00a0'),
+            ("message", '{"id":NaN}'),
+            ("message", '{"id":1} rest'),
+            ("message", "{'id':1}"),
         ],
         "event string, data string",
     )
@@ -54,6 +74,10 @@ def test_feed_clean_rules(spark):
         (False, "done", "[DONE]"),
         (False, "bad_json", "{bad"),
         (True, None, "[1]"),
+        (True, None, '{"id":1,"id":2}'),
+        (True, None, '{"id":NaN}'),
+        (False, "bad_json", '{"id":1} rest'),
+        (False, "bad_json", "{'id':1}"),
     ]
 
 

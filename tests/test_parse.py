@@ -75,10 +75,16 @@ def test_type_normalisation(spark, type_value, expected):  # D7
     assert _parse(spark, [raw])[raw]["event_type"] == expected
 
 
-def test_type_clipped_to_64(spark):  # P15 / B4
+def test_type_keeps_its_length_until_delivery(spark):  # P15 / B4
+    from tidemark.functions.parse import delivered_type
+
     long_type = "x" * 80
     raw = '{"wiki":"w","timestamp":1,"type":"' + long_type + '"}'
-    assert _parse(spark, [raw])[raw]["event_type"] == "x" * 64
+    assert _parse(spark, [raw])[raw]["event_type"] == long_type
+    types = ["x" * 80, "edit\n", "\t", "\u3000log\u00a0", None, "a b"]
+    df = spark.createDataFrame([(t,) for t in types], "event_type string")
+    got = [r[0] for r in df.select(delivered_type("event_type", 64)).collect()]
+    assert got == ["x" * 64, "edit", "unknown", "log", "unknown", "a b"]
 
 
 def test_minor_json_path_rule(spark):  # D8

@@ -41,7 +41,7 @@ def test_lookback_on_warehouse_prunes_partitions(spark, tmp_dir):
     from tidemark.plans import reports
     from tidemark.sinks.warehouse import read_rollup, write_batch
 
-    rows = suite._totals(spark, SF_SMALL).drop("updated_at")
+    rows = suite._totals(spark, SF_SMALL).drop("updated_at", "ds")
     write_batch(rows, f"{tmp_dir}/t", "r", 0)
     stored = read_rollup(spark, f"{tmp_dir}/t")
     view = reports.lookback(stored, dt.datetime(2024, 1, 31), 10_080)

@@ -1,9 +1,10 @@
 """Q1-Q18 branches the oracle suite does not reach."""
 
 import datetime as dt
+import os
 
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, plan_text
 from tidemark.plans import reports, suite
 
 SCHEMA = ("window_end timestamp, wiki string, wiki_label string, language string, edit_count long, "
@@ -64,8 +65,18 @@ def test_event_mix_case_distinct_types(spark):
         ASCHEMA,
     )
     got = {(r["window_end"], r["event_type"]): r["event_count"] for r in reports.event_mix_long(df).collect()}
-    assert got == {(_t(1), "Edit"): 3, (_t(1), "edit"): 2, (_t(1), "log"): 0,
-                   (_t(2), "Edit"): 0, (_t(2), "edit"): 0, (_t(2), "log"): 1}
+    assert got == {(_t(1), "Edit"): 3, (_t(1), "edit"): 2, (_t(2), "log"): 1}
+    wide = reports.event_mix_wide(df, ["Edit", "edit", "log"]).orderBy("window_end").collect()
+    assert [tuple(r) for r in wide] == [(_t(1), 3, 2, 0), (_t(2), 0, 0, 1)]
+
+
+def test_event_mix_of_many_types(spark):
+    from pyspark.sql import functions as F
+
+    types = spark.range(12_000).select(
+        F.lit(_t(1)).alias("window_end"), F.concat(F.lit("t"), "id").alias("event_type"), F.lit(2).cast("long").alias("event_count")
+    )
+    assert reports.event_mix_long(types.union(types)).filter("event_count = 4").count() == 12_000
 
 
 def test_log_share_needs_both_types(spark):
@@ -95,20 +106,29 @@ def test_table_row_estimate_from_catalog(spark, tmp_dir):  # Q2
     assert reports.row_estimate(spark, "no_such_table") is None
 
 
+def _files_under(spark):
+    from tidemark.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    return sum(len(files) for _, _, files in os.walk(root))
+
+
 def test_dashboard_refresh_from_warehouse(spark, tmp_dir):
     from pyspark.sql import functions as F
 
     from tidemark.plans.backfill import WarehousePaths, current_actions, current_totals, run_backfill
     from tidemark.plans.dashboard import refresh
+    from tidemark.sinks.warehouse import read_rollup
     from tidemark.sources import synthetic
 
     cfg = suite.QUERY_CONFIG
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     paths = run_backfill(spark, synthetic.raw_events(events, keep_id=False), suite._lookup(spark, SF_SMALL),
-                         WarehousePaths(tmp_dir), cfg)
+                         WarehousePaths(tmp_dir), "all", cfg)
     totals, actions = current_totals(spark, paths), current_actions(spark, paths)
     as_of = totals.agg(F.max("window_end")).first()[0]
-    d = refresh(spark, totals, actions, as_of, cfg)
+    before = _files_under(spark)
+    d = refresh(spark, totals, actions, as_of, cfg, read_rollup(spark, paths.totals))
     assert d.totals_fallback is False and d.actions_fallback is False
     n_view = d.totals.count()
     assert 0 < n_view <= totals.count()
@@ -116,6 +136,9 @@ def test_dashboard_refresh_from_warehouse(spark, tmp_dir):
     assert sum(r["edit_count"] for r in d.top_wikis.collect()) <= d.totals.agg(F.sum("edit_count")).first()[0]
     assert d.volume_pivot.count() == d.totals.select("window_end").distinct().count()
     assert d.stats.first()["total_rows"] == totals.count()
+    assert "Window" not in plan_text(d.stats) and "Window" not in plan_text(d.staleness)
+    assert _files_under(spark) == before  # a refresh leaves nothing on the shared folder
+    d.release()
     # far in the future: the look-back is empty, the latest rows are shown instead
     later = refresh(spark, totals, actions, as_of + dt.timedelta(days=60), cfg)
     assert later.totals_fallback is True and later.totals.count() == min(cfg.latest_rows, totals.count())

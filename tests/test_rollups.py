@@ -68,6 +68,14 @@ def test_duplicate_lookup_keys_do_not_fan_out(spark):  # B3, V3
     assert len(totals) == 1 and totals[0]["edit_count"] == 3 and totals[0]["wiki_label"] == "A label"
 
 
+def test_labelled_row_beats_one_without(spark):  # B3
+    from tidemark.sources.lookup import dedupe_lookup
+
+    rows = [("a", None, "x"), ("a", "English", "en"), ("a", "English", None), ("b", None, None)]
+    got = {r[0]: (r[1], r[2]) for r in dedupe_lookup(_lookup(spark, rows)).collect()}
+    assert got == {"a": ("English", "en"), "b": (None, None)}
+
+
 def test_threshold_inclusive_and_minor_all_types(spark):  # D9, D12
     rows = ['{"wiki":"w","timestamp":60,"type":"edit","minor":true}'] * 2 + [
         '{"wiki":"w","timestamp":61,"type":"log","minor":true,"bot":true}'

@@ -68,12 +68,12 @@ def test_backfill_equals_batch_rollup(spark, tmp_dir):
     cfg = suite.QUERY_CONFIG
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     lookup = suite._lookup(spark, SF_SMALL)
-    paths = run_backfill(spark, synthetic.raw_events(events, keep_id=False), lookup, WarehousePaths(tmp_dir), cfg)
+    paths = run_backfill(spark, synthetic.raw_events(events, keep_id=False), lookup, WarehousePaths(tmp_dir), "all", cfg)
     stored = current_totals(spark, paths).select(*TOTALS_COLUMNS)
     direct = suite.totals_rollup(suite._parsed(spark, SF_SMALL), lookup, cfg)
     assert stored.exceptAll(direct).count() == 0 and direct.exceptAll(stored).count() == 0
     # a re-run of the same batch replaces itself
-    run_backfill(spark, synthetic.raw_events(events, keep_id=False), lookup, paths, cfg)
+    run_backfill(spark, synthetic.raw_events(events, keep_id=False), lookup, paths, "all", cfg)
     assert read_rollup(spark, paths.totals).count() == direct.count()
 
 
@@ -95,20 +95,39 @@ print("RESULT", r["window_end_ts"], r["ds"], r["hr"])
     assert "RESULT 2024-01-01 12:00:00 2024-01-01 12" in out.stdout, out.stderr[-2000:]
 
 
-def test_contract_quarantine_in_backfill(spark, tmp_dir):  # K5 per batch
+def test_two_backfills_of_one_hour_both_stay(spark, tmp_dir):  # S2
+    from tidemark.config import DEFAULT
+    from tidemark.plans.backfill import input_run_id
+
+    lookup = spark.createDataFrame([("ok", "OK", "en")], "lk_wiki_key string, lk_wiki_label string, lk_language string")
+    paths = WarehousePaths(tmp_dir)
+    for run_id, wikis in (("one", "ac"), ("two", "d"), ("two", "d")):
+        raw = spark.createDataFrame([(f'{{"wiki":"{w}","timestamp":60}}',) for w in wikis], "raw string")
+        run_backfill(spark, raw, lookup, paths, run_id, DEFAULT)
+    assert sorted(r["wiki"] for r in current_totals(spark, paths).collect()) == ["a", "c", "d"]
+    assert read_rollup(spark, paths.totals).count() == 3
+    assert input_run_id(["b", "a"]) == input_run_id(["a", "b"]) != input_run_id(["a"])
+
+
+def test_contract_rows_stay_and_are_listed(spark, tmp_dir):  # K5 per batch
     from tidemark.config import DEFAULT
 
     rows = ['{"wiki":"' + "w" * 300 + '","timestamp":60}', '{"wiki":"ok","timestamp":60}']
     raw = spark.createDataFrame([(r,) for r in rows], "raw string")
     lookup = spark.createDataFrame([("ok", "OK", "en")], "lk_wiki_key string, lk_wiki_label string, lk_language string")
-    paths = run_backfill(spark, raw, lookup, WarehousePaths(tmp_dir), DEFAULT)
-    assert [r["wiki"] for r in current_totals(spark, paths).collect()] == ["ok"]
-    q = spark.read.parquet(paths.quarantine).collect()
+    paths = run_backfill(spark, raw, lookup, WarehousePaths(tmp_dir), "r", DEFAULT)
+    assert sorted(r["wiki"] for r in current_totals(spark, paths).collect()) == ["ok", "w" * 300]
+    q = spark.read.parquet(paths.violations).collect()
     assert len(q) == 1 and q[0]["contract_reason"] == "wiki_too_long"
+    from tidemark.plans.backfill import current_actions
+    from tidemark.sinks.delivery import deliverable, delivery_actions
+
+    good, bad = deliverable(delivery_actions(current_actions(spark, paths)))
+    assert [r["wiki"] for r in good.collect()] == ["ok"] and bad.count() == 1
     import pytest
 
     with pytest.raises(ValueError, match="wiki_too_long"):
-        run_backfill(spark, raw, lookup, WarehousePaths(tmp_dir + "/f"), DEFAULT.with_(contract_mode="fail"))
+        run_backfill(spark, raw, lookup, WarehousePaths(tmp_dir + "/f"), "r", DEFAULT.with_(contract_mode="fail"))
 
 
 def test_batches_register_their_partitions(spark, tmp_dir):  # S6 without MSCK at scale

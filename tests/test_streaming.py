@@ -237,8 +237,10 @@ def test_publish_stream_to_files(spark, tmp_dir):  # K6 on a file sink
         fh.write(json.dumps({"event": "ping", "data": "{}"}) + "\n")
         fh.write(json.dumps({"event": "", "data": "[DONE]"}) + "\n")
     lines = spark.readStream.schema("event string, data string").json(src)
-    q = publish_stream(lines, f"{tmp_dir}/ck", file_path=f"{tmp_dir}/out", available_now=True)
+    q = publish_stream(lines, f"{tmp_dir}/ck", f"{tmp_dir}/rejects", file_path=f"{tmp_dir}/out", available_now=True)
     q.awaitTermination()
+    rejects = spark.read.parquet(f"{tmp_dir}/rejects").collect()
+    assert sorted((r["reject_reason"], r["data"]) for r in rejects) == [("done", "[DONE]"), ("event", "{}")]
     out = spark.read.parquet(f"{tmp_dir}/out").selectExpr("CAST(key AS STRING) k", "CAST(value AS STRING) v").collect()
     assert [(r["k"], r["v"]) for r in out] == [("k1", '{"meta":{"id":"k1"},"wiki":"a"}')]
 

@@ -1,8 +1,8 @@
 """Pipeline parameters (one frozen dataclass, overridable from the environment).
 
 The defaults are the streaming job's published defaults: 30 s trigger, 2 min
-watermark, 1 min tumbling window, burst threshold 200, 8 shuffle partitions,
-50,000 input rows per trigger, UTC session zone.
+watermark, 1 min tumbling window, burst threshold 200, 50,000 input rows per
+trigger, UTC session zone.  The shuffle width is the cluster's unless set.
 """
 
 from __future__ import annotations
@@ -41,33 +41,37 @@ class PipelineConfig:
     # 0001-9999) always applies.
     max_future: str | None = None
     # ST4: "previous" filters late rows by the previous batch's watermark
-    # (Spark's default); "current" by the current one (stricter)
+    # (this Spark version's default); "current" by the current one (stricter)
     late_policy: str = "previous"
 
     # storage
     warehouse_path: str | None = None
     checkpoint_path: str | None = None
     lookup_path: str | None = None
+    max_files_per_trigger: int | None = None  # back-pressure of the file source
     write_partitions: int | None = None  # None = rebalance by (ds, hr); n = coalesce(n)
     # catalog tables over the warehouse (S6); when set, every batch registers
     # the partitions it wrote, so readers prune through the catalog
     totals_table: str | None = None
     actions_table: str | None = None
 
-    # K5 per batch: "quarantine" moves rows that break the keyed-table
-    # contract aside (with the rule), "fail" stops the batch, "off" skips it
-    contract_mode: str = "quarantine"
+    # K5 per batch: "report" lists rows that break the keyed-table contract
+    # beside the warehouse (which keeps them), "fail" stops the batch, "off"
+    # skips the check.  Delivery rejects such rows in any mode.
+    contract_mode: str = "report"
 
     # lookup dimension
     lookup_broadcast_max_rows: int = 1_000_000
 
     # session
-    shuffle_partitions: int = 8  # fixed into a stateful checkpoint at first start
+    # None leaves the cluster's setting; a number is fixed into a stateful
+    # checkpoint at first start
+    shuffle_partitions: int | None = None
     session_time_zone: str = "UTC"
     # "rocksdb" keeps streaming state off the JVM heap (large key counts)
     state_store: str | None = None
 
-    # Postgres-path clipping limits (VARCHAR sizes of the keyed tables)
+    # column sizes of the keyed tables (checked and clipped on delivery only)
     max_wiki_len: int = 256
     max_event_type_len: int = 64
     max_label_len: int = 512
@@ -118,9 +122,10 @@ class PipelineConfig:
             warehouse_path=os.environ.get("TIDEMARK_WAREHOUSE") or base.warehouse_path,
             checkpoint_path=os.environ.get("TIDEMARK_CHECKPOINT") or base.checkpoint_path,
             lookup_path=os.environ.get("TIDEMARK_LOOKUP_CSV") or base.lookup_path,
+            max_files_per_trigger=int(os.environ.get("TIDEMARK_MAX_FILES_PER_TRIGGER") or 0) or None,
             totals_table=os.environ.get("TIDEMARK_TOTALS_TABLE") or base.totals_table,
             actions_table=os.environ.get("TIDEMARK_ACTIONS_TABLE") or base.actions_table,
-            shuffle_partitions=int(_env("SPARK_SQL_SHUFFLE_PARTITIONS", str(base.shuffle_partitions))),
+            shuffle_partitions=int(os.environ.get("SPARK_SQL_SHUFFLE_PARTITIONS") or 0) or base.shuffle_partitions,
             state_store=os.environ.get("TIDEMARK_STATE_STORE") or base.state_store,
             lookback_minutes=int(_env("TIDEMARK_LOOKBACK_MINUTES", str(base.lookback_minutes))),
             stale_minutes=float(_env("TIDEMARK_STALE_MINUTES", str(base.stale_minutes))),

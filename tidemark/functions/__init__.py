@@ -10,12 +10,12 @@ from .parse import (
     raw_text,
 )
 from .timefmt import partition_columns, window_end_text
-from .keys import message_key
+from .keys import with_message_key
 
 __all__ = [
     "epoch_seconds",
     "event_time",
-    "message_key",
+    "with_message_key",
     "minor_flag",
     "normalise_type",
     "parse_events",

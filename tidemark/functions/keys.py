@@ -1,8 +1,16 @@
 """Message key of a raw payload -- ``meta.id``, else ``id``; falsy -> no key.
 
+The payload is read once, as the one element of an array: that refuses text
+after the value and anything that is not JSON, and takes what the feed
+client's parser takes (repeated names, the last one counting, and NaN).  Both
+ids are read as text, so numbers keep their digits.
+
 Truthiness follows the feed client: an empty string, zero, false, null, an
-empty object or array are falsy; the string "0" is truthy.  A payload that is
-not a JSON object cannot carry a key and is flagged for quarantine.
+empty object or array are falsy; the string "0" is truthy.  Text alone cannot
+tell the string "0" from the number 0, so only rows with such a text look at
+the value's type; there, a payload with repeated names or NaN counts as not a
+string.  Floats are written as the client writes them (``1e+20``, ``1.0``).
+An object or array id keeps its JSON text.
 """
 
 from __future__ import annotations
@@ -10,82 +18,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NUMERIC_PREFIXES = ("TINYINT", "SMALLINT", "INT", "BIGINT", "DECIMAL", "FLOAT", "DOUBLE")
+_OPTIONS = {"allowSingleQuotes": "false"}
+_ONE = "array<struct<id: string, meta: string>>"
+# texts whose JSON type decides: numbers equal to zero, booleans, empty containers
+_UNCLEAR = r"^(-?0+(\.0*)?([eE][-+]?[0-9]+)?|true|false|\{\}|\[\])$"
 
 
-def _truthy(v: Column, kind: Column | None = None) -> Column:
-    """Feed-client truthiness of variant ``v``; ``kind`` is its
-    ``schema_of_variant`` when already computed."""
-    kind = F.schema_of_variant(v) if kind is None else kind
-    as_text = F.try_variant_get(v, "$", "string")
-    numeric = F.lit(False)
-    for prefix in _NUMERIC_PREFIXES:
-        numeric = numeric | kind.startswith(prefix)
-    return (
-        F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
-        .when(kind == "STRING", as_text != "")
-        .when(numeric, F.try_variant_get(v, "$", "double") != 0)
-        .when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v).isin("{}", "[]") == F.lit(False))
-        .otherwise(F.lit(True))
-    )
+def _element(raw: Column) -> Column:
+    return F.concat(F.lit("["), raw, F.lit("]"))
 
 
-def _text(v: Column, kind: Column | None = None) -> Column:
-    kind = F.schema_of_variant(v) if kind is None else kind
-    return (
-        F.when(kind == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), "True").otherwise("False"))
-        .when(kind == "STRING", F.try_variant_get(v, "$", "string"))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v))
-        .otherwise(F.try_variant_get(v, "$", "string"))
-    )
+def payload(raw: Column) -> Column:
+    """The payload's id and meta as text; null unless it is one JSON object."""
+    read = F.from_json(_element(raw), _ONE, _OPTIONS)
+    return F.when(raw.startswith("{") & (F.size(read) == 1), read[0])
 
 
-def is_object_payload(raw: Column | str = "raw") -> Column:
-    col = F.col(raw) if isinstance(raw, str) else raw
-    v = F.try_parse_json(col)
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+def is_json(raw: Column) -> Column:
+    """True for one JSON value of any kind."""
+    return F.coalesce(F.size(F.from_json(_element(raw), "array<string>", _OPTIONS)) == 1, F.lit(False))
 
 
-def message_key(raw: Column | str = "raw") -> Column:
-    """Single-expression form (parses the payload more than once; prefer
-    ``with_message_key`` on large inputs)."""
-    col = F.col(raw) if isinstance(raw, str) else raw
-    v = F.try_parse_json(col)
-    meta = F.try_variant_get(v, "$.meta", "variant")
-    meta_obj = F.coalesce(F.schema_of_variant(meta).startswith("OBJECT"), F.lit(False))
-    meta_id = F.when(meta_obj, F.try_variant_get(meta, "$.id", "variant"))
-    top_id = F.try_variant_get(v, "$.id", "variant")
-    chosen = F.when(_truthy(meta_id), meta_id).when(_truthy(top_id), top_id)
-    return F.when(is_object_payload(col), _text(chosen))
+def _is_text(raw: Column, path: str) -> Column:
+    value = F.try_variant_get(F.try_parse_json(raw), path, "variant")
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
 
-def with_message_key(df: DataFrame, raw: str = "raw", out: str = "message_key") -> DataFrame:
-    """Adds ``out``; the payload is parsed once (the parsed variant sits behind
-    a one-element Generate) and each candidate's kind is computed once, in
-    staged projections."""
-    base = [F.col(c) for c in df.columns]
-    parsed = df.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(raw)).alias("_v")))))
-    ids = parsed.select(
-        *base,
-        F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)).alias("_obj"),
-        F.try_variant_get("_v", "$.meta", "variant").alias("_meta"),
-        F.try_variant_get("_v", "$.id", "variant").alias("_top"),
-    )
-    ids = ids.select(
-        *base, "_obj", "_top",
-        F.when(F.coalesce(F.schema_of_variant("_meta").startswith("OBJECT"), F.lit(False)),
-               F.try_variant_get("_meta", "$.id", "variant")).alias("_meta_id"),
-    )
-    kinds = ids.select(
-        *base, "_obj", "_top", "_meta_id",
-        F.schema_of_variant("_top").alias("_top_kind"), F.schema_of_variant("_meta_id").alias("_meta_kind"),
-    )
-    picked = kinds.select(
-        *base, "_obj",
-        F.when(_truthy(F.col("_meta_id"), F.col("_meta_kind")), F.struct(F.col("_meta_id").alias("v"),
-                                                                        F.col("_meta_kind").alias("k")))
-        .when(_truthy(F.col("_top"), F.col("_top_kind")), F.struct(F.col("_top").alias("v"), F.col("_top_kind").alias("k")))
-        .alias("_id"),
+def _float_text(text: Column) -> Column:
+    """A float in exponent form as the feed client writes it."""
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).cast("int")
+    plain = F.regexp_replace(text.cast("double").cast("decimal(38,10)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    digits = F.regexp_replace(F.regexp_extract(text, r"^(-?[0-9.]+)E", 1), r"\.0$", "")
+    size = F.lpad(F.abs(power).cast("string"), 2, "0")
+    size = F.when(F.abs(power) >= 100, F.abs(power).cast("string")).otherwise(size)
+    exponent = F.concat(digits, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), size)
+    return F.when(power.between(-4, 15), plain).otherwise(exponent)
+
+
+def _key(text: Column, raw: Column, path: str) -> Column:
+    """The id as the key's text; null when it is falsy."""
+    unclear = text.rlike(_UNCLEAR)
+    settled = F.when(_is_text(raw, path), text).when(text == "true", F.lit("True"))
+    return (
+        F.when(text.isNull() | (text == ""), F.lit(None).cast("string"))
+        .when(unclear, settled)
+        .when(text == '"NaN"', F.lit("nan")).when(text == '"Infinity"', F.lit("inf")).when(text == '"-Infinity"', F.lit("-inf"))
+        .when(text.rlike(r"^-?[0-9]+\.[0-9]+E-?[0-9]+$"), _float_text(text))
+        .otherwise(text)
     )
-    return picked.select(*base, F.when(F.col("_obj"), _text(F.col("_id.v"), F.col("_id.k"))).alias(out))
+
+
+def with_message_key(df: DataFrame, raw: str = "raw", out: str = "message_key", valid: str | None = None) -> DataFrame:
+    """Adds ``out`` (and ``valid``: the payload is one JSON object).
+
+    The parsed payload sits behind a one-element Generate, so it is computed once per row.
+    """
+    base = [F.col(c) for c in df.columns]
+    parsed = df.select("*", F.inline(F.array(F.struct(payload(F.col(raw)).alias("_p")))))
+    inner = F.when(F.col("_p.meta").startswith("{"), F.from_json("_p.meta", "id string", _OPTIONS)["id"])
+    ids = parsed.select("*", F.inline(F.array(F.struct(inner.alias("_meta_id")))))
+    key = F.coalesce(_key(F.col("_meta_id"), F.col(raw), "$.meta.id"), _key(F.col("_p.id"), F.col(raw), "$.id"))
+    extra = [F.col("_p").isNotNull().alias(valid)] if valid else []
+    return ids.select(*base, key.alias(out), *extra)

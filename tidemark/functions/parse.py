@@ -22,6 +22,8 @@ MIN_EPOCH_SECONDS = -62_135_596_800.0
 MAX_EPOCH_SECONDS = 253_402_300_799.0
 MINOR_TRUE_TEXTS = ("true", "1")
 UNKNOWN_TYPE = "unknown"
+# White space as Unicode knows it, for a regular expression's class.
+WHITE_SPACE = "\\x09-\\x0D\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 
 
 def raw_text(value: Column | str = "value") -> Column:
@@ -79,13 +81,23 @@ def event_time(seconds: Column | str = "event_unix_sec") -> Column:
     return F.when(in_range, F.timestamp_seconds(col.cast("bigint")))
 
 
-def normalise_type(type_col: Column | str = "mw_type", max_len: int | None = DEFAULT.max_event_type_len) -> Column:
-    """P10 + P15: trim, blank or absent -> "unknown", clipped before grouping."""
+def normalise_type(type_col: Column | str = "type") -> Column:
+    """P10: trim spaces, blank or absent -> "unknown".  Types keep their length;
+    the clip of the keyed tables belongs to delivery (P15)."""
     col = F.col(type_col) if isinstance(type_col, str) else type_col
-    cleaned = F.coalesce(F.nullif(F.trim(col), F.lit("")), F.lit(UNKNOWN_TYPE))
-    if max_len is None:
-        return cleaned
-    return F.substring(cleaned, 1, max_len)
+    return F.coalesce(F.nullif(F.trim(col), F.lit("")), F.lit(UNKNOWN_TYPE))
+
+
+def strip_text(col: Column) -> Column:
+    """Both ends without white space as Unicode knows it (what text stripping in the feed client removes)."""
+    return F.regexp_replace(col, f"^[{WHITE_SPACE}]+|[{WHITE_SPACE}]+$", "")
+
+
+def delivered_type(type_col: Column | str, max_len: int) -> Column:
+    """All white space stripped, blank -> "unknown", clipped to the keyed table's column."""
+    col = F.col(type_col) if isinstance(type_col, str) else type_col
+    stripped = strip_text(F.coalesce(col, F.lit(UNKNOWN_TYPE)))
+    return F.substring(F.coalesce(F.nullif(stripped, F.lit("")), F.lit(UNKNOWN_TYPE)), 1, max_len)
 
 
 def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -101,7 +113,7 @@ def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAU
     projected = fields.select(
         *[F.col(c) for c in keep],
         F.col("wiki"),
-        F.col("type").alias("mw_type"),
+        F.col("type"),
         F.col("bot"),
         F.col("timestamp").alias("event_unix_ts"),
         minor_text_flag("minor").alias("is_minor"),
@@ -112,8 +124,8 @@ def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAU
         .withColumn("event_ts", event_time("event_unix_sec"))
         .filter(F.col("event_ts").isNotNull())
         .withColumn("bot", F.coalesce(F.col("bot"), F.lit(False)))
-        .withColumn("event_type", normalise_type("mw_type", config.max_event_type_len))
-        .drop("mw_type")
+        .withColumn("event_type", normalise_type("type"))
+        .drop("type")
     )
     if config.max_future:
         horizon = F.current_timestamp() + F.expr(f"INTERVAL {config.max_future}")

@@ -1,7 +1,7 @@
 """Time formatting for the warehouse layout.
 
 All formatting runs in the session time zone, which the job pins to UTC
-(``session.apply_job_settings``); event time is never converted through
+(``session.job_settings``); event time is never converted through
 driver-side Python datetimes.
 """
 

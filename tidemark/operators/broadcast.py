@@ -1,8 +1,8 @@
 """Broadcast only behind a measured size bound.
 
-``bounded_broadcast`` measures the candidate side with one distributed
-aggregate (row count, serialized bytes, distinct keys -- partial aggregation
-on every partition, nothing funnelled through one task).  Within both bounds
+``measure`` sizes the candidate side with one distributed aggregate (row
+count, serialized bytes, distinct keys -- partial aggregation on every
+partition, nothing funnelled through one task).  Within both bounds
 the side is hinted for broadcast; beyond them it is returned unhinted, so the
 planner keeps a shuffle join (sort merge or shuffled hash, with AQE skew
 splitting) and nothing unbounded is ever shipped to every executor.
@@ -16,12 +16,8 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
 
-def measure(df: DataFrame, max_rows: int | None = None, key: str | None = None) -> tuple[int, int, int | None]:
-    """(rows, approximate serialized bytes, distinct non-null keys) of ``df``.
-
-    One distributed aggregate; ``max_rows`` is accepted for symmetry with the
-    bound it is compared against and does not truncate the measurement.
-    """
+def measure(df: DataFrame, key: str | None = None) -> tuple[int, int, int | None]:
+    """(rows, approximate serialized bytes, distinct non-null keys) of ``df``, by one distributed aggregate."""
     row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
     aggs = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")]
     if key is not None:
@@ -29,13 +25,3 @@ def measure(df: DataFrame, max_rows: int | None = None, key: str | None = None)
     stats = df.agg(*aggs).first()
     return int(stats["n"]), int(stats["b"]), (int(stats["k"]) if key is not None else None)
 
-
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
-    rows, size, _ = measure(df, max_rows)
-    return rows <= max_rows and size <= max_bytes
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
-    if fits_broadcast(df, max_rows, max_bytes):
-        return F.broadcast(df)
-    return df

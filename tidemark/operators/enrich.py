@@ -26,7 +26,7 @@ def prepare_lookup(lookup: DataFrame, max_rows: int = DEFAULT.lookup_broadcast_m
     fits.  The size is measured before de-duplication, which can only shrink
     it; the same distributed aggregate counts distinct keys, and a dimension
     whose keys are already unique skips the dedupe shuffle."""
-    rows, size, keys = measure(lookup, max_rows, key="lk_wiki_key")
+    rows, size, keys = measure(lookup, key="lk_wiki_key")
     fits = rows <= max_rows and size <= DEFAULT_MAX_BYTES
     unique = keys == rows  # distinct counts skip nulls: equality also rules out null keys
     side = dedupe_lookup(lookup) if dedupe and not unique else lookup

@@ -9,6 +9,7 @@ totals derived from it (A4), so the input is parsed once.
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -39,8 +40,8 @@ class WarehousePaths:
         return f"{self.root}/actions"
 
     @property
-    def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
+    def violations(self) -> str:
+        return f"{self.root}/contract_violations"
 
 
 def write_rollups(
@@ -57,11 +58,12 @@ def write_rollups(
     ``actions`` must be materialised by the caller (a persisted micro-batch or
     a checkpoint): it is read more than once.  Totals come from it directly --
     re-reading the table root would list every partition directory of the
-    warehouse on each batch.  Rows that break the keyed-table contract (K5)
-    are quarantined, or fail the batch, per ``config.contract_mode``.
+    warehouse on each batch.  Every row is stored; rows that break the
+    keyed-table contract (K5) are listed beside the tables with their rule, or
+    fail the batch, per ``config.contract_mode``.
     """
     if config.contract_mode != "off":
-        actions, bad = split_contract(actions, config)
+        _, bad = split_contract(actions, config)
         if config.contract_mode == "fail":
             broken = bad.select("contract_reason").limit(1).collect()
             if broken:
@@ -69,7 +71,7 @@ def write_rollups(
         elif not bad.isEmpty():
             (bad.withColumn("run_id", F.lit(str(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("run_id", "batch_id").parquet(paths.quarantine))
+             .partitionBy("run_id", "batch_id").parquet(paths.violations))
     totals = totals_from_actions(actions.select(*ACTIONS_COLUMNS), config)
     # Both read the materialised actions and nothing else: submit the two
     # writes as concurrent Spark jobs.  Either failing fails the batch, whose
@@ -85,16 +87,27 @@ def write_rollups(
             job.result()
 
 
+def input_run_id(files: list[str]) -> str:
+    """A run id from the input's identity: its file names, in any order."""
+    return "backfill-" + hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:16]
+
+
 def run_backfill(
     spark: SparkSession,
     raw: DataFrame,
     lookup: DataFrame,
     paths: WarehousePaths,
+    run_id: str,
     config: PipelineConfig = DEFAULT,
-    run_id: str = "backfill",
     batch_id: int = 0,
     updated_at: Column | None = None,
 ) -> WarehousePaths:
+    """Backfill ``raw`` into the warehouse.
+
+    ``run_id`` names the input: the same id replaces the earlier run over that
+    input, another id adds to it.  It has no default, so two inputs never
+    replace each other by accident; ``input_run_id`` derives one from files.
+    """
     parsed = parse_events(raw, config=config)
     checked = prepare_lookup(lookup, config.lookup_broadcast_max_rows)
     actions = actions_rollup(parsed, checked, config, lookup_checked=True)

@@ -61,6 +61,11 @@ actions AS (
 
 TOTALS = _totals_cte()
 
+# the middle of the time range, in whole seconds, and the watermark that the first file leaves
+_HALVES = """half AS (
+  SELECT mid, (SELECT MAX(sec) FROM ev WHERE sec < mid AND event_id % 7 <> 0) - 120 AS watermark
+  FROM (SELECT (MIN(sec) + MAX(sec)) // 2 AS mid FROM ev))"""
+
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
@@ -100,7 +105,7 @@ FROM (SELECT event_id, {EPOCH_TS} AS event_unix_ts, strftime(ts, {FMT}) AS event
       FROM events WHERE {KEPT_PERTURBED})""",
     "type_normalise": """
 SELECT event_id,
-       CASE WHEN event_id % 17 = 0 THEN substr(rpad(event_type || '-', 80, 'x'), 1, 64)
+       CASE WHEN event_id % 17 = 0 THEN rpad(event_type || '-', 80, 'x')
             WHEN event_id % 8 = 0 THEN 'unknown'
             WHEN event_id % 6 = 0 THEN 'unknown'
             ELSE event_type END AS event_type
@@ -120,8 +125,46 @@ SELECT event_id, reject_reason IS NULL AS accepted, reject_reason
 FROM (SELECT event_id,
              CASE WHEN event_id % 9 = 0 THEN 'event'
                   WHEN event_id % 13 = 0 THEN 'bad_json'
-                  WHEN event_id % 10 = 0 THEN 'done' END AS reject_reason
+                  WHEN event_id % 10 = 0 THEN 'done'
+                  WHEN event_id % 16 = 5 THEN 'done'
+                  WHEN event_id % 16 = 9 THEN 'bad_json' END AS reject_reason
       FROM events)""",
+    "message_key_forms": """
+SELECT event_id, CASE event_id % 12
+  WHEN 0 THEN CASE WHEN event_id = 0 THEN NULL  -- 0.0 is falsy
+                   ELSE event_id || '.0' END
+  WHEN 1 THEN (event_id % 9 + 1) || 'e+20'
+  WHEN 2 THEN rpad('9' || event_id, 50, '7')
+  WHEN 3 THEN 'r' || event_id
+  WHEN 4 THEN '0'
+  WHEN 6 THEN 'True'
+  WHEN 7 THEN 'f' || event_id
+  WHEN 8 THEN 'n' || event_id
+  WHEN 9 THEN CAST(event_id AS VARCHAR)
+  WHEN 11 THEN (event_id % 9 + 1) || 'e-07' END AS message_key
+FROM events""",
+    # the key of each message, the last id its value names, and whether the value starts and ends as an object
+    "publish_payload": """
+WITH lines AS (
+  SELECT event_id,
+         CASE WHEN event_id % 9 = 0 THEN 'event'
+              WHEN event_id % 13 = 0 THEN 'bad_json'
+              WHEN event_id % 10 = 0 THEN 'done'
+              WHEN event_id % 16 = 5 THEN 'done'
+              WHEN event_id % 16 = 9 THEN 'bad_json'
+              WHEN event_id % 16 = 11 THEN 'not_object' END AS reject_reason
+  FROM events),
+sent AS (
+  SELECT CASE WHEN event_id % 16 IN (1, 3, 7) THEN NULLIF(CAST(event_id AS VARCHAR), '0')
+              WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN NULLIF(CAST(event_id AS VARCHAR), '0')
+              ELSE 'u-' || event_id END AS message_key,
+         CAST(event_id AS BIGINT) AS value_id
+  FROM lines WHERE reject_reason IS NULL)
+SELECT message_key, value_id, TRUE AS whole, CAST(COUNT(*) AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS reject_reason
+FROM sent GROUP BY message_key, value_id
+UNION ALL
+SELECT NULL, NULL, NULL, CAST(COUNT(*) AS BIGINT), reject_reason FROM lines WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+    "lookup_csv": _with(LK) + "SELECT lk_wiki_key, lk_wiki_label, lk_language FROM lk",
     "lookup_dim": _with(LK) + "SELECT lk_wiki_key, lk_wiki_label, lk_language FROM lk",
     "lookup_dup_keys": """
 SELECT CAST(n_nationkey AS VARCHAR) AS lk_wiki_key, CAST(2 AS BIGINT) AS copies
@@ -167,6 +210,49 @@ FROM totals""",
     "stream_totals": _with(EV, LK, TOTALS) + f"""
 SELECT {TOTALS_OUT} FROM totals
 WHERE window_end <= (SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(MAX(sec)) FROM ev) - INTERVAL 2 MINUTE""",
+    "stream_actions": _with(EV, LK, ACTIONS) + f"""
+SELECT {ACTIONS_OUT} FROM actions
+WHERE window_end <= (SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(MAX(sec)) FROM ev) - INTERVAL 2 MINUTE""",
+    # the third file holds every seventh event of the first half of the time range.  Late rows are judged
+    # by the previous batch's watermark, the one that the first file left: rows of windows closed by it are dropped
+    "stream_multi_batch": _with(EV, LK, _HALVES, _totals_cte().replace(
+        "FROM ev ", "FROM ev, half WHERE NOT (sec < mid AND event_id % 7 = 0 AND (sec // 86400 + 1) * 86400 <= watermark) ")) + f"""
+SELECT {TOTALS_OUT} FROM totals
+WHERE window_end <= (SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(MAX(sec)) FROM ev) - INTERVAL 2 MINUTE""",
+    "stream_restart": _with(EV, LK, _HALVES, _totals_cte().replace(
+        "FROM ev ", "FROM ev, half WHERE NOT (sec < mid AND event_id % 7 = 0) ")) + f"""
+SELECT {TOTALS_OUT} FROM totals
+WHERE window_end <= (SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(MAX(sec)) FROM ev) - INTERVAL 2 MINUTE""",
+    "backfill_two_inputs": _with(EV, LK, TOTALS) + f"SELECT {TOTALS_OUT} FROM totals",
+    "contract_kept_rows": _with(EV, LK, TOTALS) + f"""
+SELECT strftime(window_end, {FMT}) AS window_end, wiki,
+       CAST(CASE WHEN wiki = '3' THEN 600 ELSE length(wiki_label) END AS INTEGER) AS label_length, edit_count,
+       CASE WHEN wiki = '3' THEN 'wiki_label_too_long' END AS rule
+FROM totals""",
+    "delivery_actions": _with(EV, LK) + f""",
+typed AS (
+  SELECT {_window_end(86_400)} AS window_end, wiki, bot, is_minor,
+         CASE event_id % 5 WHEN 2 THEN 'unknown' WHEN 3 THEN substr(rpad(event_type, 64, 'x'), 1, 64)
+              ELSE event_type END AS event_type
+  FROM ev)
+SELECT strftime(window_end, {FMT}) AS window_end, wiki, COALESCE(lk_wiki_label, wiki) AS wiki_label,
+       COALESCE(lk_language, 'unknown') AS language, event_type, CAST(COUNT(*) AS BIGINT) AS event_count,
+       CAST(COUNT(*) FILTER (WHERE bot) AS BIGINT) AS bot_count,
+       CAST(COUNT(*) FILTER (WHERE NOT bot) AS BIGINT) AS human_count,
+       CAST(COUNT(*) FILTER (WHERE is_minor) AS BIGINT) AS minor_count
+FROM typed LEFT JOIN lk ON wiki = lk_wiki_key GROUP BY ALL""",
+    "lookback_present": _with(EV, LK, TOTALS) + f"""
+SELECT {TOTALS_OUT_UPDATED}, FALSE AS used_fallback FROM totals
+WHERE window_end >= (SELECT MAX(window_end) FROM totals) - INTERVAL 10080 MINUTE""",
+    "lookback_no_rows": _with(EV, LK, TOTALS) + f"""
+SELECT {TOTALS_OUT_UPDATED}, FALSE AS used_fallback FROM totals WHERE wiki = 'no such wiki'""",
+    "recent_actions": _with(EV, LK, ACTIONS) + f"""
+SELECT {ACTIONS_OUT_UPDATED} FROM actions ORDER BY window_end DESC, wiki, event_type LIMIT 200""",
+    # all stored versions: the batch over even events, then the batch over all
+    "row_estimate": _with(EV) + f""",
+one AS (SELECT DISTINCT {_window_end(86_400)} AS window_end, wiki FROM ev WHERE event_id % 2 = 0),
+two AS (SELECT DISTINCT {_window_end(86_400)} AS window_end, wiki FROM ev)
+SELECT CAST((SELECT COUNT(*) FROM one) + (SELECT COUNT(*) FROM two) AS BIGINT) AS estimated_rows""",
     "table_stats": _with(EV, LK, TOTALS) + f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, strftime(MAX(updated_at), {FMT}) AS last_upsert,
        strftime(MAX(window_end), {FMT}) AS newest_window_end
@@ -202,13 +288,10 @@ FROM wins w CROSS JOIN top t""",
     "burst_windows": _with(EV, LK, TOTALS) + f"""
 SELECT {TOTALS_OUT_UPDATED} FROM totals WHERE anomaly_flag
 ORDER BY edit_count DESC, window_end, wiki LIMIT 20""",
-    "event_mix": _with(EV, LK, ACTIONS) + f""",
-types AS (SELECT DISTINCT event_type FROM actions),
-wins AS (SELECT DISTINCT window_end FROM actions)
-SELECT strftime(w.window_end, {FMT}) AS window_end, t.event_type,
-       CAST(COALESCE((SELECT SUM(event_count) FROM actions x
-                      WHERE x.window_end = w.window_end AND x.event_type = t.event_type), 0) AS BIGINT) AS event_count
-FROM wins w CROSS JOIN types t""",
+    # the long form: one row per pair that occurs, however many types there are
+    "event_mix": _with(EV, LK, ACTIONS) + f"""
+SELECT strftime(window_end, {FMT}) AS window_end, event_type, CAST(SUM(event_count) AS BIGINT) AS event_count
+FROM actions GROUP BY window_end, event_type""",
     "type_totals": _with(EV, LK, ACTIONS) + """
 SELECT event_type, CAST(SUM(event_count) AS BIGINT) AS event_count FROM actions GROUP BY event_type""",
     "minor_share": _with(EV, LK, ACTIONS) + f"""

@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..schemas import ACTIONS_KEY, TOTALS_KEY
 
-MAX_PIVOT_VALUES = 10_000
-
-
 def _as_of(as_of: Column | _dt.datetime | str) -> Column:
     if isinstance(as_of, Column):
         return as_of
@@ -40,8 +37,13 @@ def _no_null(df: DataFrame, *cols: str) -> DataFrame:
 # ---- Q1 / Q17 / Q18: freshness ------------------------------------------------
 
 def table_stats(rollup: DataFrame) -> DataFrame:
-    """Q1: row count, last update and newest window (one row)."""
-    return rollup.agg(
+    """Q1: row count, last update and newest window (one row).
+
+    Over stored versions or their current view alike: rows are counted by key, and the newest
+    version has the latest times, so no version has to be picked first.
+    """
+    per_key = rollup.groupBy(*_key_for(rollup)).agg(F.max("updated_at").alias("updated_at"))
+    return per_key.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.max("updated_at").alias("last_upsert"),
         F.max("window_end").alias("newest_window_end"),
@@ -72,7 +74,7 @@ def view_last_update(view: DataFrame) -> DataFrame:
 # ---- Q3-Q8: look-back and latest rows -----------------------------------------
 
 def lookback(rollup: DataFrame, as_of, minutes: int = DEFAULT.lookback_minutes) -> DataFrame:
-    """Q3/Q5: rows with ``window_end >= as_of - minutes`` (inclusive), ascending.
+    """Q3/Q5: rows with ``window_end >= as_of - minutes`` (inclusive); ``in_order`` sorts them for display.
 
     On the warehouse layout the same bound is repeated on the ``ds`` partition
     column so Spark prunes whole day directories before reading.
@@ -81,7 +83,12 @@ def lookback(rollup: DataFrame, as_of, minutes: int = DEFAULT.lookback_minutes)
     out = rollup.filter(F.col("window_end") >= start)
     if "ds" in rollup.columns:
         out = out.filter(F.col("ds") >= F.date_format(start, "yyyy-MM-dd"))
-    return out.orderBy(F.col("window_end").asc(), *[F.col(k).asc() for k in _key_for(rollup)[1:]])
+    return out
+
+
+def in_order(view: DataFrame) -> DataFrame:
+    """Look-back rows as they are shown: by window, then key."""
+    return view.orderBy(F.col("window_end").asc(), *[F.col(k).asc() for k in _key_for(view)[1:]])
 
 
 def latest(rollup: DataFrame, n: int = DEFAULT.latest_rows) -> DataFrame:
@@ -130,13 +137,6 @@ def bot_vs_human(totals: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def _pivot_values(df: DataFrame, col: str, limit: int = MAX_PIVOT_VALUES) -> list:
-    values = [r[0] for r in df.select(col).distinct().orderBy(col).limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"more than {limit} distinct values of {col!r} to pivot on")
-    return values
-
-
 def _pivot_sum(df: DataFrame, index: str, column: str, value: str, values: list) -> DataFrame:
     """Wide pivot with 0 for missing cells; every index value keeps a row.
 
@@ -193,16 +193,20 @@ def burst_windows(totals: DataFrame, n: int = 20) -> DataFrame:
 
 # ---- Q13-Q16: action reports --------------------------------------------------
 
-def event_mix(actions: DataFrame) -> tuple[DataFrame, list]:
-    """Q13: window x event_type sums, 0-filled (wide, positional columns)."""
+def event_mix_long(actions: DataFrame) -> DataFrame:
+    """Q13: sums per window and event type, one row per pair that occurs.
+
+    Types are free text of the feed, so their number has no bound: the long form takes one
+    aggregate however many there are.  ``event_mix_wide`` fills the missing pairs with 0.
+    """
     clean = _no_null(actions, "window_end", "event_type")
-    types = _pivot_values(clean, "event_type")
-    return _pivot_sum(clean, "window_end", "event_type", "event_count", types), types
+    return clean.groupBy("window_end", "event_type").agg(F.sum("event_count").alias("event_count"))
 
 
-def event_mix_long(actions: DataFrame) -> DataFrame:
-    wide, types = event_mix(actions)
-    return _pivot_long(wide, "window_end", "event_type", "event_count", types)
+def event_mix_wide(actions: DataFrame, types: list) -> DataFrame:
+    """Q13 for display: window x the given types, 0-filled, positional columns in the order of ``types``."""
+    clean = _no_null(actions, "window_end", "event_type")
+    return _pivot_sum(clean, "window_end", "event_type", "event_count", types)
 
 
 def type_totals(actions: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ a burst threshold of 15 suit the sparse test events.  Timestamps leave as
 
 from __future__ import annotations
 
+import functools
+import os
+import time
 import uuid
 from collections.abc import Callable
 
@@ -20,37 +23,42 @@ from pyspark.sql.types import TimestampType
 from ..config import DEFAULT, PipelineConfig
 from ..functions.keys import with_message_key
 from ..functions.parse import minor_flag, parse_events, parsed_columns
-from ..schemas import RAW_EVENT_SCHEMA
+from ..schemas import ACTIONS_COLUMNS, LOOKUP_HEADER, RAW_EVENT_SCHEMA, TOTALS_COLUMNS
 from ..functions.timefmt import WINDOW_END_FORMAT, partition_columns
 from ..operators.checks import contract_violations, lookup_dup_keys
 from ..operators.current import current_view
 from ..operators.enrich import enrich, prepare_lookup
 from ..operators.rollups import actions_rollup, totals_from_actions, totals_rollup
-from ..session import apply_job_settings, checkpoint_root, scratch_path
+from ..session import checkpoint_root, scratch_path, utc_session
+from ..sinks.delivery import deliverable, delivery_actions
+from ..sinks.kafka import write_files
 from ..sinks.warehouse import read_rollup, write_batch
 from ..sources import synthetic
 from ..sources.feed import clean_feed
 from ..sources.files import events_stream
-from ..sources.lookup import dedupe_lookup, lookup_from_tables
+from ..sources.lookup import dedupe_lookup, ensure_lookup_readable, lookup_from_tables, read_lookup_csv
 from ..sources.tables import spread, table
 from . import reports
 from .backfill import WarehousePaths, current_actions, current_totals, run_backfill
 
 # Fixed parameters of the registered queries.
-QUERY_CONFIG = DEFAULT.with_(window="1 day", burst_threshold=15)
+# The shuffle width is configured for the small test events (it is fixed into a streaming checkpoint).
+QUERY_CONFIG = DEFAULT.with_(window="1 day", burst_threshold=15, shuffle_partitions=8)
 UPDATED_AFTER = "INTERVAL 2 MINUTES"  # updated_at = window_end + 2 minutes
 LOOKBACK_MINUTES = 10_080
 FALLBACK_SHIFT = "INTERVAL 30 DAYS"    # as_of beyond every window: look-back empty
 STALENESS_SHIFT = "INTERVAL 1 HOUR"
 
+#: Tasks to deal the one-file events input to; unset leaves its own splits (the cluster's case).
+INPUT_PARTITIONS = int(os.environ.get("TIDEMARK_INPUT_PARTITIONS") or 0) or None
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 # ---- shared inputs ------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_job_settings(spark, QUERY_CONFIG)
-    return spread(table(spark, sf_dir, "events"))
+    return spread(table(spark, sf_dir, "events"), INPUT_PARTITIONS)
 
 
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,14 +83,17 @@ def _all_ts_text(df: DataFrame) -> DataFrame:
 
 
 def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch-built totals as the read side sees them (with updated_at)."""
-    t = totals_rollup(_parsed(spark, sf_dir), _lookup(spark, sf_dir), QUERY_CONFIG)
-    return t.withColumn("updated_at", F.col("window_end") + F.expr(UPDATED_AFTER))
+    """Current view of the stored totals, as the reports read it."""
+    return current_totals(spark, _stored(spark, sf_dir)).select(*TOTALS_COLUMNS, "updated_at", "ds")
 
 
 def _actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = actions_rollup(_parsed(spark, sf_dir), _lookup(spark, sf_dir), QUERY_CONFIG)
-    return a.withColumn("updated_at", F.col("window_end") + F.expr(UPDATED_AFTER))
+    return current_actions(spark, _stored(spark, sf_dir)).select(*ACTIONS_COLUMNS, "updated_at", "ds")
+
+
+def _total_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stored versions of the totals."""
+    return read_rollup(spark, _stored(spark, sf_dir).totals, "totals")
 
 
 def _materialised(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -93,6 +104,11 @@ def _materialised(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _shown(df: DataFrame) -> DataFrame:
+    """A report's rows without the partition column that only prunes."""
+    return _all_ts_text(df.drop("ds"))
+
+
 def _max_window(df: DataFrame) -> Column:
     return df.agg(F.max("window_end")).scalar()
 
@@ -174,6 +190,11 @@ def q_feed_clean(spark, sf_dir):
     return clean_feed(lines).select("event_id", "accepted", "reject_reason")
 
 
+def q_message_key_forms(spark, sf_dir):
+    """P18 on ids of every JSON form: numbers keep their digits, so distinct ids keep distinct keys."""
+    return with_message_key(synthetic.id_forms(_events(spark, sf_dir))).select("event_id", "message_key")
+
+
 def q_lookup_dim(spark, sf_dir):
     return dedupe_lookup(_lookup(spark, sf_dir))
 
@@ -233,6 +254,28 @@ def _upsert_versions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return _all_ts_text(view.drop("window_end_ts", "ds", "hr", "run_id"))
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> WarehousePaths:
+    """The warehouse the reports read: an early batch over the even events, superseded by one over all.
+
+    It is built once per application and input (its files and their times) and then only read,
+    as reports do.
+    """
+    files = table(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_modification_time").distinct()
+    key = (spark.sparkContext.applicationId, *sorted(str(tuple(r)) for r in files.collect()))
+    if key not in _STORED:
+        paths = WarehousePaths(scratch_path(spark, "stored"))
+        lookup = prepare_lookup(_lookup(spark, sf_dir))
+        for batch_id, keep in ((0, F.col("event_id") % 2 == 0), (1, F.lit(True))):
+            raw = synthetic.raw_events(_events(spark, sf_dir).filter(keep), keep_id=False)
+            stamp = F.col("window_end") + F.expr(f"INTERVAL {1 + batch_id} MINUTES")
+            run_backfill(spark, raw, lookup, paths, "stored", QUERY_CONFIG, batch_id=batch_id, updated_at=stamp)
+        _STORED[key] = paths
+    return _STORED[key]
+
+
+_STORED: dict[tuple, WarehousePaths] = {}
+
+
 def q_upsert_latest_totals(spark, sf_dir):
     return _upsert_versions(spark, sf_dir, "totals")
 
@@ -245,41 +288,38 @@ def _backfilled(spark: SparkSession, sf_dir: str) -> WarehousePaths:
     paths = WarehousePaths(scratch_path(spark, "backfill"))
     raw = synthetic.raw_events(_events(spark, sf_dir), keep_id=False)
     stamp = F.col("window_end") + F.expr(UPDATED_AFTER)
-    return run_backfill(spark, raw, _lookup(spark, sf_dir), paths, QUERY_CONFIG, updated_at=stamp)
+    return run_backfill(spark, raw, _lookup(spark, sf_dir), paths, "all-events", QUERY_CONFIG, updated_at=stamp)
 
 
 def q_backfill_totals(spark, sf_dir):
-    view = current_totals(spark, _backfilled(spark, sf_dir))
-    return _text(view.select("window_end", "wiki", "wiki_label", "language", "edit_count", "bot_count",
-                             "human_count", "anomaly_flag"), "window_end")
+    return _totals_out(current_totals(spark, _backfilled(spark, sf_dir)))
 
 
 def q_backfill_actions(spark, sf_dir):
-    view = current_actions(spark, _backfilled(spark, sf_dir))
-    return _text(view.select("window_end", "wiki", "wiki_label", "language", "event_type", "event_count",
-                             "bot_count", "human_count", "minor_count"), "window_end")
+    return _actions_out(current_actions(spark, _backfilled(spark, sf_dir)))
 
 
 def q_warehouse_scan(spark, sf_dir):
     """The warehouse registered as a partitioned catalog table and scanned."""
     paths = _backfilled(spark, sf_dir)
     name = f"tidemark_wh_{uuid.uuid4().hex[:10]}"
-    from ..sources.warehouse import register_totals_table
+    from ..sources.warehouse import drop_table, register_totals_table
 
     register_totals_table(spark, name, paths.totals)
-    return spark.table(name).select(
-        "window_end_ts", "wiki", "wiki_label", "edit_count", "bot_count", "human_count", "language",
-        "anomaly_flag", "ds", "hr",
-    )
-
-
-def q_stream_totals(spark, sf_dir):
-    """ST1-ST9: the streaming job run to completion (availableNow) over the
-    events file, then its totals table read back through the current view."""
+    try:
+        rows = spark.table(name).select(
+            "window_end_ts", "wiki", "wiki_label", "edit_count", "bot_count", "human_count", "language",
+            "anomaly_flag", "ds", "hr",
+        )
+        return _materialised(spark, rows)
+    finally:
+        drop_table(spark, name)
+
+
+def _streamed(spark: SparkSession, sf_dir: str, raw: DataFrame, paths: WarehousePaths) -> None:
+    """Run the streaming job on ``raw`` to the end of its input."""
     from ..streaming.rollup_stream import start_pipeline
 
-    paths = WarehousePaths(scratch_path(spark, "stream"))
-    raw = events_stream(spark, sf_dir)
     query = start_pipeline(
         spark, raw, lambda: _lookup(spark, sf_dir), paths, f"{paths.root}/_checkpoint", run_id="stream",
         config=QUERY_CONFIG, available_now=True,
@@ -287,44 +327,203 @@ def q_stream_totals(spark, sf_dir):
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    view = current_totals(spark, paths)
-    return _text(view.select("window_end", "wiki", "wiki_label", "language", "edit_count", "bot_count",
-                             "human_count", "anomaly_flag"), "window_end")
+
+
+def _totals_out(view: DataFrame) -> DataFrame:
+    return _text(view.select(*TOTALS_COLUMNS), "window_end")
+
+
+def _actions_out(view: DataFrame) -> DataFrame:
+    return _text(view.select(*ACTIONS_COLUMNS), "window_end")
+
+
+def q_stream_totals(spark, sf_dir):
+    """ST1-ST9: the streaming job run to completion (availableNow) over the
+    events file, then its totals table read back through the current view."""
+    paths = WarehousePaths(scratch_path(spark, "stream"))
+    _streamed(spark, sf_dir, events_stream(spark, sf_dir), paths)
+    return _totals_out(current_totals(spark, paths))
+
+
+def q_stream_actions(spark, sf_dir):
+    """The same run's actions table."""
+    paths = WarehousePaths(scratch_path(spark, "stream"))
+    _streamed(spark, sf_dir, events_stream(spark, sf_dir), paths)
+    return _actions_out(current_actions(spark, paths))
+
+
+def _event_files(spark: SparkSession, sf_dir: str, folder: str, first: int, last: int) -> str:
+    """The raw events as text files of a stream, one folder per part and one file in each.
+
+    Part 0 has the first half of the time range, part 1 the second half, part 2 the late rows:
+    every seventh event of the first half, which part 0 leaves out.  Parts ``first`` to ``last`` are
+    written, each after the one before, so the file source takes them in this order.
+    """
+    events = table(spark, sf_dir, "events")
+    seconds = F.floor(synthetic.epoch_micros(events) / 1_000_000)
+    bounds = events.agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi")).first()
+    early = seconds < (bounds["lo"] + bounds["hi"]) // 2
+    late = early & (F.col("event_id") % 7 == 0)
+    parts = (early & ~late, ~early, late)
+    for at in range(first, last + 1):
+        part = synthetic.raw_events(events.filter(parts[at]), keep_id=False)
+        part.coalesce(1).write.mode("overwrite").text(f"{folder}/part={at}")
+        time.sleep(1.1)  # the file source orders files by modification time, which counts in seconds on some stores
+    return folder
+
+
+def _text_parts(spark: SparkSession, folder: str) -> DataFrame:
+    reader = spark.readStream.option("maxFilesPerTrigger", "1").schema("value string")
+    return reader.text(folder).select(F.col("value").alias("raw"))
+
+
+def q_stream_multi_batch(spark, sf_dir):
+    """ST4: three files, one per trigger; rows of the third in windows that the first file's watermark closed are dropped."""
+    paths = WarehousePaths(scratch_path(spark, "stream"))
+    folder = _event_files(spark, sf_dir, f"{paths.root}/_input", 0, 2)
+    _streamed(spark, sf_dir, _text_parts(spark, folder), paths)
+    return _totals_out(current_totals(spark, paths))
+
+
+def q_stream_restart(spark, sf_dir):
+    """ST6: stopped after the first file and started again on the same checkpoint with the second."""
+    paths = WarehousePaths(scratch_path(spark, "stream"))
+    for at in (0, 1):
+        folder = _event_files(spark, sf_dir, f"{paths.root}/_input", at, at)
+        _streamed(spark, sf_dir, _text_parts(spark, folder), paths)
+    return _totals_out(current_totals(spark, paths))
+
+
+def q_backfill_two_inputs(spark, sf_dir):
+    """Two backfills over inputs that share hours but no wiki; both stay."""
+    paths = WarehousePaths(scratch_path(spark, "backfill"))
+    stamp = F.col("window_end") + F.expr(UPDATED_AFTER)
+    for run_id, half in (("low", F.col("user_id") % 40 < 20), ("high", F.col("user_id") % 40 >= 20)):
+        raw = synthetic.raw_events(_events(spark, sf_dir).filter(half), keep_id=False)
+        run_backfill(spark, raw, _lookup(spark, sf_dir), paths, run_id, QUERY_CONFIG, updated_at=stamp)
+    return _totals_out(current_totals(spark, paths))
+
+
+def q_contract_kept_rows(spark, sf_dir):
+    """K5: wiki '3' has a label of 600 characters; its rows stay in the warehouse and are listed beside it."""
+    paths = WarehousePaths(scratch_path(spark, "backfill"))
+    label = F.when(F.col("lk_wiki_key") == "3", F.rpad("lk_wiki_label", 600, "x")).otherwise(F.col("lk_wiki_label"))
+    lookup = _lookup(spark, sf_dir).withColumn("lk_wiki_label", label)
+    raw = synthetic.raw_events(_events(spark, sf_dir), keep_id=False)
+    run_backfill(spark, raw, lookup, paths, "long-label", QUERY_CONFIG,
+                 updated_at=F.col("window_end") + F.expr(UPDATED_AFTER))
+    listed = spark.read.parquet(paths.violations).groupBy("window_end", "wiki").agg(F.min("contract_reason").alias("rule"))
+    totals = current_totals(spark, paths).join(listed, ["window_end", "wiki"], "left")
+    return _text(totals.select("window_end", "wiki", F.char_length("wiki_label").alias("label_length"),
+                               "edit_count", "rule"), "window_end")
+
+
+def q_delivery_actions(spark, sf_dir):
+    """Types with white space around them and types that are equal once clipped, delivered as one key."""
+    eid = F.col("event_id")
+    odd = (
+        F.when(eid % 5 == 1, F.concat(F.col("event_type"), F.lit("\n")))
+        .when(eid % 5 == 2, F.lit("\t"))
+        .when(eid % 5 == 3, F.concat(F.rpad("event_type", 64, "x"), (eid % 3).cast("string")))
+        .when(eid % 5 == 4, F.concat(F.lit("\u3000"), F.col("event_type")))
+        .otherwise(F.col("event_type"))
+    )
+    raw = synthetic.raw_events_with_type(_events(spark, sf_dir), odd)
+    actions = actions_rollup(parse_events(raw, config=QUERY_CONFIG), _lookup(spark, sf_dir), QUERY_CONFIG)
+    rows, _ = deliverable(delivery_actions(actions, QUERY_CONFIG), QUERY_CONFIG)
+    return _text(rows, "window_end")
+
+
+def q_publish_payload(spark, sf_dir):
+    """K6: keys and values as they would be published, and the rejects with their reason."""
+    path = scratch_path(spark, "publish")
+    lines = synthetic.feed_lines(_events(spark, sf_dir))
+    write_files(lines.select("event", "data"), f"{path}/messages", f"{path}/rejects")
+    value = F.col("value").cast("string")
+    messages = spark.read.parquet(f"{path}/messages").select(
+        F.col("key").cast("string").alias("message_key"),
+        F.regexp_extract(value, r'.*"id":([0-9]+)', 1).cast("bigint").alias("value_id"),
+        (value.startswith("{") & value.endswith("}")).alias("whole"),
+    )
+    sent = messages.groupBy(*messages.columns).agg(F.count("*").alias("n"))
+    rejects = spark.read.parquet(f"{path}/rejects").groupBy("reject_reason").agg(F.count("*").alias("n"))
+    return sent.unionByName(rejects, allowMissingColumns=True)
+
+
+def q_lookup_csv(spark, sf_dir):
+    """The dimension written as a CSV with its columns in another order, then read by header."""
+    path = scratch_path(spark, "lookup")
+    dim = _lookup(spark, sf_dir).select(*[F.col(ours).alias(name) for name, ours in reversed(LOOKUP_HEADER.items())])
+    dim.write.csv(path, header=True)
+    ensure_lookup_readable(spark, path)
+    return read_lookup_csv(spark, path)
 
 
 # ---- read-side reports ---------------------------------------------------------------
 
 def q_table_stats(spark, sf_dir):
-    return _all_ts_text(reports.table_stats(_totals(spark, sf_dir)))
+    return _shown(reports.table_stats(_total_versions(spark, sf_dir)))
 
 
 def q_lookback_totals(spark, sf_dir):
-    t = _materialised(spark, _totals(spark, sf_dir))
-    return _all_ts_text(reports.lookback(t, _max_window(t), LOOKBACK_MINUTES))
+    t = _totals(spark, sf_dir)
+    return _shown(reports.in_order(reports.lookback(t, _max_window(_total_versions(spark, sf_dir)), LOOKBACK_MINUTES)))
 
 
 def q_latest_totals(spark, sf_dir):
-    return _all_ts_text(reports.latest(_totals(spark, sf_dir), QUERY_CONFIG.latest_rows))
+    return _shown(reports.latest(_totals(spark, sf_dir), QUERY_CONFIG.latest_rows))
 
 
 def q_lookback_actions(spark, sf_dir):
-    a = _materialised(spark, _actions(spark, sf_dir))
-    return _all_ts_text(reports.lookback(a, _max_window(a), LOOKBACK_MINUTES))
+    a = _actions(spark, sf_dir)
+    return _shown(reports.in_order(reports.lookback(a, _max_window(_total_versions(spark, sf_dir)), LOOKBACK_MINUTES)))
 
 
 def q_latest_actions(spark, sf_dir):
-    return _all_ts_text(reports.latest(_actions(spark, sf_dir), QUERY_CONFIG.latest_rows))
+    return _shown(reports.latest(_actions(spark, sf_dir), QUERY_CONFIG.latest_rows))
+
+
+def _seven(spark: SparkSession, sf_dir: str, rows: DataFrame, shift: str) -> DataFrame:
+    as_of = _max_window(_total_versions(spark, sf_dir)) + F.expr(shift)
+    view, used_fallback = reports.lookback_or_latest(rows, as_of, LOOKBACK_MINUTES, QUERY_CONFIG.latest_rows)
+    return _shown(view.withColumn("used_fallback", F.lit(used_fallback)))
 
 
 def q_lookback_or_latest(spark, sf_dir):
-    t = _materialised(spark, _totals(spark, sf_dir))
-    as_of = _max_window(t) + F.expr(FALLBACK_SHIFT)
-    rows, used_fallback = reports.lookback_or_latest(t, as_of, LOOKBACK_MINUTES, QUERY_CONFIG.latest_rows)
-    return _all_ts_text(rows.withColumn("used_fallback", F.lit(used_fallback)))
+    """Q7, the look-back empty: the latest rows."""
+    return _seven(spark, sf_dir, _totals(spark, sf_dir), FALLBACK_SHIFT)
+
+
+def q_lookback_present(spark, sf_dir):
+    """Q7, the look-back not empty: its rows."""
+    return _seven(spark, sf_dir, _totals(spark, sf_dir), "INTERVAL 0 DAYS")
+
+
+def q_lookback_no_rows(spark, sf_dir):
+    """Q7 over a view without rows (a wiki that no event has): nothing, and no fallback."""
+    return _seven(spark, sf_dir, _totals(spark, sf_dir).filter(F.col("wiki") == "no such wiki"), "INTERVAL 0 DAYS")
 
 
 def q_recent_rows(spark, sf_dir):
-    return _all_ts_text(reports.recent_rows(_totals(spark, sf_dir), 150))
+    return _shown(reports.recent_rows(_totals(spark, sf_dir), 150))
+
+
+def q_recent_actions(spark, sf_dir):
+    return _shown(reports.recent_rows(_actions(spark, sf_dir), 200))
+
+
+def q_row_estimate(spark, sf_dir):
+    """Q2: the catalog's row count of the stored totals, all versions, after ANALYZE."""
+    name = f"tidemark_est_{uuid.uuid4().hex[:10]}"
+    from ..sources.warehouse import drop_table, register_totals_table
+
+    register_totals_table(spark, name, _stored(spark, sf_dir).totals)
+    try:
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+        rows = reports.row_estimate(spark, name)
+    finally:
+        drop_table(spark, name)
+    return spark.range(1).select(F.lit(rows).cast("bigint").alias("estimated_rows"))
 
 
 def q_top_wikis(spark, sf_dir):
@@ -336,15 +535,15 @@ def q_bot_vs_human(spark, sf_dir):
 
 
 def q_volume_pivot(spark, sf_dir):
-    return _all_ts_text(reports.volume_pivot_long(_materialised(spark, _totals(spark, sf_dir)), 6))
+    return _shown(reports.volume_pivot_long(_totals(spark, sf_dir), 6))
 
 
 def q_burst_windows(spark, sf_dir):
-    return _all_ts_text(reports.burst_windows(_totals(spark, sf_dir), 20))
+    return _shown(reports.burst_windows(_totals(spark, sf_dir), 20))
 
 
 def q_event_mix(spark, sf_dir):
-    return _all_ts_text(reports.event_mix_long(_materialised(spark, _actions(spark, sf_dir))))
+    return _shown(reports.event_mix_long(_actions(spark, sf_dir)))
 
 
 def q_type_totals(spark, sf_dir):
@@ -353,26 +552,35 @@ def q_type_totals(spark, sf_dir):
 
 def q_minor_share(spark, sf_dir):
     # the test events have no 'edit' type: 'view' plays its part
-    return _all_ts_text(reports.minor_share(_actions(spark, sf_dir), edit_type="view"))
+    return _shown(reports.minor_share(_actions(spark, sf_dir), edit_type="view"))
 
 
 def q_log_share(spark, sf_dir):
     # 'error' plays 'log' and 'view' plays 'edit'
-    return reports.log_share(_materialised(spark, _actions(spark, sf_dir)), log_type="error", edit_type="view", n=12)
+    return reports.log_share(_actions(spark, sf_dir), log_type="error", edit_type="view", n=12)
 
 
 def q_staleness(spark, sf_dir):
-    t = _materialised(spark, _totals(spark, sf_dir))
-    as_of = _max_window(t) + F.expr(STALENESS_SHIFT)
-    return _all_ts_text(reports.staleness(t, as_of, QUERY_CONFIG.stale_minutes))
+    t = _total_versions(spark, sf_dir)
+    return _shown(reports.staleness(t, _max_window(t) + F.expr(STALENESS_SHIFT), QUERY_CONFIG.stale_minutes))
 
 
 def q_view_last_update(spark, sf_dir):
-    t = _materialised(spark, _totals(spark, sf_dir))
-    return _all_ts_text(reports.view_last_update(reports.lookback(t, _max_window(t), LOOKBACK_MINUTES)))
+    t = _totals(spark, sf_dir)
+    return _shown(reports.view_last_update(reports.lookback(t, _max_window(_total_versions(spark, sf_dir)), LOOKBACK_MINUTES)))
+
 
+def _in_utc(query: QueryFn) -> QueryFn:
+    """The query on the caller's session, or on a sibling in UTC; the caller's settings stay."""
 
-QUERIES: dict[str, QueryFn] = {
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(utc_session(spark, QUERY_CONFIG), sf_dir)
+
+    return run
+
+
+_ALL: dict[str, QueryFn] = {
     # sources, parsing, scalar functions
     "event_parse": q_event_parse,
     "minor_flag": q_minor_flag,
@@ -381,7 +589,10 @@ QUERIES: dict[str, QueryFn] = {
     "type_normalise": q_type_normalise,
     "partition_cols": q_partition_cols,
     "message_key": q_message_key,
+    "message_key_forms": q_message_key_forms,
     "feed_clean": q_feed_clean,
+    "publish_payload": q_publish_payload,
+    "lookup_csv": q_lookup_csv,
     "lookup_dim": q_lookup_dim,
     "lookup_dup_keys": q_lookup_dup_keys,
     # join and aggregations
@@ -396,7 +607,13 @@ QUERIES: dict[str, QueryFn] = {
     "backfill_totals": q_backfill_totals,
     "backfill_actions": q_backfill_actions,
     "warehouse_scan": q_warehouse_scan,
+    "backfill_two_inputs": q_backfill_two_inputs,
+    "contract_kept_rows": q_contract_kept_rows,
+    "delivery_actions": q_delivery_actions,
     "stream_totals": q_stream_totals,
+    "stream_actions": q_stream_actions,
+    "stream_multi_batch": q_stream_multi_batch,
+    "stream_restart": q_stream_restart,
     # read-side reports
     "table_stats": q_table_stats,
     "lookback_totals": q_lookback_totals,
@@ -404,7 +621,11 @@ QUERIES: dict[str, QueryFn] = {
     "lookback_actions": q_lookback_actions,
     "latest_actions": q_latest_actions,
     "lookback_or_latest": q_lookback_or_latest,
+    "lookback_present": q_lookback_present,
+    "lookback_no_rows": q_lookback_no_rows,
     "recent_rows": q_recent_rows,
+    "recent_actions": q_recent_actions,
+    "row_estimate": q_row_estimate,
     "top_wikis": q_top_wikis,
     "bot_vs_human": q_bot_vs_human,
     "volume_pivot": q_volume_pivot,
@@ -416,3 +637,5 @@ QUERIES: dict[str, QueryFn] = {
     "staleness": q_staleness,
     "view_last_update": q_view_last_update,
 }
+
+QUERIES: dict[str, QueryFn] = {name: _in_utc(query) for name, query in _ALL.items()}

@@ -28,21 +28,8 @@ RAW_EVENT_SCHEMA = StructType(
 # "TRUE ", {...}), the same text a JSON-path read of ``$.minor`` returns.
 PARSE_SCHEMA = StructType(list(RAW_EVENT_SCHEMA.fields) + [StructField("minor", StringType(), True)])
 
-# Header names of the lookup CSV (all strings) and our prefixed names.
-LOOKUP_CSV_COLUMNS = ("wiki_key", "wiki_label", "language")
-LOOKUP_COLUMNS = ("lk_wiki_key", "lk_wiki_label", "lk_language")
-
-ENRICHED_COLUMNS = (
-    "wiki",
-    "bot",
-    "event_unix_ts",
-    "event_unix_sec",
-    "event_ts",
-    "is_minor",
-    "event_type",
-    "wiki_label",
-    "language",
-)
+# Header names of the lookup CSV (all text) and the names they get here.
+LOOKUP_HEADER = {"wiki_key": "lk_wiki_key", "wiki_label": "lk_wiki_label", "language": "lk_language"}
 
 TOTALS_COLUMNS = (
     "window_end",
@@ -70,19 +57,6 @@ ACTIONS_COLUMNS = (
 TOTALS_KEY = ("window_end", "wiki")
 ACTIONS_KEY = ("window_end", "wiki", "event_type")
 
-# Warehouse layout of the totals table: window end as text, partitioned by
-# day and hour strings.
-WAREHOUSE_TOTALS_COLUMNS = (
-    "window_end_ts",
-    "wiki",
-    "wiki_label",
-    "edit_count",
-    "bot_count",
-    "human_count",
-    "language",
-    "anomaly_flag",
-)
-PARTITION_COLUMNS = ("ds", "hr")
 BATCH_PARTITION_COLUMNS = ("ds", "hr", "run_id", "batch_id")
 
 TOTALS_SCHEMA = StructType(
@@ -97,7 +71,3 @@ TOTALS_SCHEMA = StructType(
         StructField("anomaly_flag", BooleanType(), True),
     ]
 )
-
-FEED_LINE_SCHEMA = StructType(
-    [StructField("event", StringType(), True), StructField("data", StringType(), True)]
-)

@@ -27,7 +27,6 @@ def build_session(
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": config.session_time_zone,
-        "spark.sql.shuffle.partitions": str(config.shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,6 +36,8 @@ def build_session(
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
+    if config.shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(config.shuffle_partitions)
     if config.state_store == "rocksdb":
         settings["spark.sql.streaming.stateStore.providerClass"] = (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -47,14 +48,25 @@ def build_session(
     return builder.getOrCreate()
 
 
-def apply_job_settings(spark: SparkSession, config: PipelineConfig = DEFAULT) -> None:
-    """Settings the pipeline relies on for correct results on any session.
+def job_settings(config: PipelineConfig = DEFAULT) -> dict[str, str]:
+    """Settings the streaming job relies on: event time is UTC end to end, and sink retries
+    replace only their own partitions (writers also ask for that themselves)."""
+    return {
+        "spark.sql.session.timeZone": config.session_time_zone,
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+
+
+def utc_session(spark: SparkSession, config: PipelineConfig = DEFAULT) -> SparkSession:
+    """``spark`` itself when its zone is the job's, else a sibling session in that zone.
 
-    Event time is UTC end to end (never round-tripped through Python
-    datetimes), and sink retries replace only their own partitions.
+    Windows and partition texts need the zone; the caller's session stays as it is.
     """
-    spark.conf.set("spark.sql.session.timeZone", config.session_time_zone)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if spark.conf.get("spark.sql.session.timeZone") == config.session_time_zone:
+        return spark
+    sibling = spark.newSession()
+    sibling.conf.set("spark.sql.session.timeZone", config.session_time_zone)
+    return sibling
 
 
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:

@@ -86,8 +86,10 @@ def write_batch(
     if table:
         from ..sources.warehouse import add_partitions
 
-        hours = [(r["ds"], r["hr"]) for r in df.select(parts["ds"].alias("ds"), parts["hr"].alias("hr"))
-                 .distinct().collect()]
+        # the hours of the files just written, never a second run of the batch's plan
+        written = read_rollup(df.sparkSession, path, kind)
+        mine = written.filter((F.col("run_id") == F.lit(str(run_id))) & (F.col("batch_id") == F.lit(int(batch_id))))
+        hours = [(r["ds"], r["hr"]) for r in mine.select("ds", "hr").distinct().toLocalIterator()]
         add_partitions(df.sparkSession, table, hours, run_id, batch_id)
 
 

@@ -65,17 +65,53 @@ def raw_events_with_type(events: DataFrame, type_col: Column) -> DataFrame:
     )
 
 
+def id_forms(events: DataFrame) -> DataFrame:
+    """``(event_id, raw)``: payload texts whose id takes each JSON form in turn (event_id % 12).
+
+    0 a float, 1 a large float, 2 a 50-digit integer, 3 a repeated name, 4 the string "0",
+    5 zero, 6 true, 7 false, 8 NaN in another field, 9 a string meta, 10 an empty object, 11 a small float.
+    """
+    eid = F.col("event_id").cast("string")
+    texts = [
+        F.concat(F.lit('{"id":'), eid, F.lit(".0}")),
+        F.concat(F.lit('{"id":'), (F.col("event_id") % 9 + 1).cast("string"), F.lit("e20}")),
+        F.concat(F.lit('{"id":'), F.rpad(F.concat(F.lit("9"), eid), 50, "7"), F.lit("}")),
+        F.concat(F.lit('{"id":"first","id":"r'), eid, F.lit('"}')),
+        F.lit('{"id":"0"}'),
+        F.lit('{"meta":{"id":0},"id":0.0}'),
+        F.lit('{"id":true}'),
+        F.concat(F.lit('{"meta":{"id":false},"id":"f'), eid, F.lit('"}')),
+        F.concat(F.lit('{"x":NaN,"id":"n'), eid, F.lit('"}')),
+        F.concat(F.lit('{"meta":"text","id":'), eid, F.lit("}")),
+        F.lit('{"id":{}}'),
+        F.concat(F.lit('{"id":'), (F.col("event_id") % 9 + 1).cast("string"), F.lit("e-7}")),
+    ]
+    raw = F.lit(None).cast("string")
+    for form, text in enumerate(texts):
+        raw = F.when(F.col("event_id") % len(texts) == form, text).otherwise(raw)
+    return events.select("event_id", raw.alias("raw"))
+
+
 def feed_lines(events: DataFrame) -> DataFrame:
     """Server-sent feed lines ``(event_id, event, data)``; later rules win.
 
     event = 'message'; '' when event_id % 4 = 0; 'ping' when event_id % 9 = 0.
-    data  = raw JSON; '[DONE]' when event_id % 10 = 0; '{bad' when event_id % 13 = 0.
+    data  = raw JSON; '[DONE]' when event_id % 10 = 0; '{bad' when event_id % 13 = 0;
+            a payload with a repeated name when event_id % 16 = 1, one with NaN when % 16 = 3,
+            the end marker in no-break spaces when % 16 = 5, a payload in them when % 16 = 7,
+            a payload with text after it when % 16 = 9, an array when % 16 = 11.
     """
     eid = F.col("event_id")
     event = F.when(eid % 9 == 0, "ping").when(eid % 4 == 0, "").otherwise("message")
     data = (
         F.when(eid % 13 == 0, "{bad")
         .when(eid % 10 == 0, "[DONE]")
+        .when(eid % 16 == 1, F.concat(F.lit('{"id":1,"id":'), eid.cast("string"), F.lit("}")))
+        .when(eid % 16 == 3, F.concat(F.lit('{"id":'), eid.cast("string"), F.lit(',"x":NaN}')))
+        .when(eid % 16 == 5, F.lit("\u00a0[DONE]\u2003"))
+        .when(eid % 16 == 7, F.concat(F.lit('\u00a0{"id":'), eid.cast("string"), F.lit("}\u00a0")))
+        .when(eid % 16 == 9, F.lit('{"id":1} rest'))
+        .when(eid % 16 == 11, F.lit("[1, 2]"))
         .otherwise(F.to_json(event_struct(events)))
     )
     return events.select("event_id", event.alias("event"), data.alias("data"))

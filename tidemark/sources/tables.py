@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -11,37 +10,15 @@ TABLES = (
 ).split()
 
 
-# Schemas of the given (read-only) tables, inferred once per path: later reads
-# pass the schema to the reader and skip the footer-reading inference job.
-_SCHEMAS: dict[str, StructType] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a batch input over the cluster's cores when it arrives in
-    fewer splits than that (one unsplittable file or row group).
-
-    The per-row JSON work that follows is the costliest step of the job; on a
-    real cluster the input has far more splits than cores and this is a
-    no-op.  Round-robin sorts before distributing, so a retried task sees the
-    same rows (safe under executor loss).
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal a batch input's rows to ``partitions`` tasks, if the caller asks for it.
+
+    For an input of few unsplittable files whose per-row JSON work is the costliest step.
+    None, the default everywhere, leaves the input's own splits.  Round-robin sorts before it
+    deals, so a retried task sees the same rows.
     """
-    if df.isStreaming:
-        return df
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect exposes no partition count: leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target)
+    return df if df.isStreaming or not partitions else df.repartition(partitions)

@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 from ..sinks.warehouse import _stored_schema
 
 _PARTITIONS = ("ds", "hr", "run_id", "batch_id")
+#: Partitions named in one ALTER TABLE: a long backfill sends several statements.
+PARTITIONS_PER_STATEMENT = 500
 
 
 def _ddl_columns(kind: str) -> str:
@@ -64,10 +66,15 @@ def add_partitions(spark: SparkSession, name: str, hours: list[tuple[str, str]],
     ``hours`` is the (ds, hr) list of the batch -- a few hours for a
     micro-batch, at most the backfilled time range.
     """
-    if not hours:
-        return
-    specs = " ".join(
+    specs = [
         f"PARTITION (ds = {_quote(ds)}, hr = {_quote(hr)}, run_id = {_quote(run_id)}, batch_id = {int(batch_id)})"
         for ds, hr in hours
-    )
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+    ]
+    for at in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(specs[at:at + PARTITIONS_PER_STATEMENT])}")
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove the catalog table and its view; the files stay."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}_current")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")

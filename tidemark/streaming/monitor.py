@@ -31,6 +31,7 @@ class ProgressRecorder(StreamingQueryListener):
         self._lock = threading.Lock()
         self._last_input: dict[str, float] = {}
         self._started: dict[str, float] = {}
+        self._totals: dict[str, list[int]] = {}  # query id -> [rows, batches] since the query started
         self.idle_events = 0
 
     # -- listener callbacks
@@ -53,6 +54,9 @@ class ProgressRecorder(StreamingQueryListener):
         with self._lock:
             self._rows.append(row)
             del self._rows[: max(0, len(self._rows) - self._keep)]
+            total = self._totals.setdefault(row["query_id"], [0, 0])
+            total[0] += row["num_input_rows"]
+            total[1] += 1
             if row["num_input_rows"] > 0:
                 self._last_input[row["query_id"]] = time.time()
 
@@ -67,7 +71,14 @@ class ProgressRecorder(StreamingQueryListener):
         with self._lock:
             return list(self._rows)
 
+    def totals(self, query_id: str) -> tuple[int, int]:
+        """(input rows, batches) of a query over its whole life, not only the kept progress rows."""
+        with self._lock:
+            rows, batches = self._totals.get(query_id, (0, 0))
+        return rows, batches
+
     def progress_frame(self, spark: SparkSession):
+        """The newest kept progress rows (``keep``); ``totals`` covers all."""
         rows = self.rows()
         schema = (
             "query_id string, name string, batch_id long, timestamp string, num_input_rows long, "
@@ -97,7 +108,7 @@ def detach(spark: SparkSession, recorder: ProgressRecorder) -> None:
 def heartbeat(recorder: ProgressRecorder, query_id: str) -> str:
     """One log line like the feed client's heartbeat: totals and rate."""
     rows = [r for r in recorder.rows() if r["query_id"] == query_id]
-    total = sum(r["num_input_rows"] for r in rows)
+    total, batches = recorder.totals(query_id)
     rate = rows[-1]["input_rows_per_second"] if rows else 0.0
     stamp = _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
-    return f"{stamp} heartbeat rows={total} rate={rate:.1f}/s batches={len(rows)}"
+    return f"{stamp} heartbeat rows={total} rate={rate:.1f}/s batches={batches}"

@@ -29,7 +29,7 @@ from ..functions.parse import parse_events
 from ..operators.enrich import enrich, prepare_lookup
 from ..operators.rollups import aggregate_actions, finish_actions, totals_rollup_enriched
 from ..plans.backfill import WarehousePaths, write_rollups
-from ..session import apply_job_settings
+from ..session import job_settings
 from ..sinks.warehouse import write_batch
 
 LATE_POLICY_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
@@ -101,7 +101,6 @@ def start_pipeline(
     ``checkpoint`` and new for a new checkpoint.  Leave it None to use the
     query id, which has exactly that lifetime.
     """
-    apply_job_settings(spark, config)
     writer = (
         windowed_actions(raw_stream, config)
         .writeStream.queryName(query_name)
@@ -114,11 +113,12 @@ def start_pipeline(
 
 
 def _start_with_job_conf(spark: SparkSession, writer, config: PipelineConfig) -> StreamingQuery:
-    """Start with the job's shuffle width (the stateful operator's partition
-    count, fixed into a new checkpoint) and late-row policy, without changing
-    the caller's session: a query runs on a clone of the session taken at
-    start."""
-    settings = {"spark.sql.shuffle.partitions": str(config.shuffle_partitions)}
+    """Start with the job's settings, without changing the caller's session: a
+    query runs on a clone of the session taken at start.  The shuffle width is
+    set only if configured (it is fixed into a new checkpoint)."""
+    settings = dict(job_settings(config))
+    if config.shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(config.shuffle_partitions)
     if config.late_policy == "current":
         settings[LATE_POLICY_CONF] = "false"
     previous = {k: spark.conf.get(k, None) for k in settings}
@@ -147,7 +147,6 @@ def start_two_queries(
     """ST7 parity mode: two named queries as in the original job -- totals at
     the enriched grain (stream-static broadcast join before the aggregate) and
     actions -- each with its own checkpoint and source read."""
-    apply_job_settings(spark, config)
     checked = prepare_lookup(lookup, config.lookup_broadcast_max_rows)
 
     def enriched_stream() -> DataFrame:
@@ -161,11 +160,13 @@ def start_two_queries(
 
     def totals_sink(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            write_batch(df, paths.totals, _run(df), batch_id, write_partitions=config.write_partitions)
+            write_batch(df, paths.totals, _run(df), batch_id, write_partitions=config.write_partitions,
+                        table=config.totals_table)
 
     def actions_sink(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            write_batch(df, paths.actions, _run(df), batch_id, write_partitions=config.write_partitions)
+            write_batch(df, paths.actions, _run(df), batch_id, write_partitions=config.write_partitions,
+                        table=config.actions_table)
 
     queries = []
     for name, frame, sink in (("totals", totals, totals_sink), ("actions", actions, actions_sink)):

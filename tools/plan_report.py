@@ -23,7 +23,7 @@ KEY_QUERIES = ["totals_rollup", "actions_rollup", "enrich_join", "lookback_total
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", extra={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     print(f"# Physical plans of the key queries ({os.path.basename(sf_dir)}, local[8])\n")
     print("Generated by `tools/plan_report.py`: the physical plan Spark picks up front (AQE may still coalesce\n"
