@@ -176,3 +176,55 @@ def test_compaction_keeps_current_view(spark, tmp_dir):
     assert by_path == before
     assert compact_day(spark, "wh_compact", path, "2024-01-01") == 0  # idempotent
     assert sorted((r["wiki"], r["edit_count"]) for r in spark.table("wh_compact_current").collect()) == before
+
+
+def test_many_batches_one_partition_per_hour(spark, tmp_dir):
+    """As the job does it: closed hours end as one partition each; the newest hour stays open."""
+    from tidemark.streaming.job import compact
+
+    spark.sql("DROP TABLE IF EXISTS wh_many")
+    path = f"{tmp_dir}/t"
+    register_table(spark, "wh_many", path)
+
+    def batch(batch_id, hour, minute):
+        end = dt.datetime(2024, 1, 1, hour, minute)
+        write_batch(_totals(spark, [(end, "a", "a", "x", batch_id, 0, batch_id, False)]), path, "r", batch_id, table="wh_many")
+
+    def per_hour():
+        hours = [r[0].split("/")[1] for r in spark.sql("SHOW PARTITIONS wh_many").collect()]
+        return {h: hours.count(h) for h in sorted(set(hours))}
+
+    for i in range(9):
+        batch(i, 5 + i // 4, 1 + i % 4)
+    assert per_hour() == {"hr=05": 4, "hr=06": 4, "hr=07": 1}
+    compact(spark, [("wh_many", path, "totals")])
+    assert per_hour() == {"hr=05": 1, "hr=06": 1, "hr=07": 1}
+    batch(9, 5, 1)  # a replay of a closed window
+    compact(spark, [("wh_many", path, "totals")])
+    assert per_hour() == {"hr=05": 1, "hr=06": 1, "hr=07": 1}
+    rows = {r["window_end_ts"]: r["edit_count"] for r in spark.table("wh_many").collect()}
+    assert len(rows) == 9 and rows["2024-01-01 05:01:00"] == 9
+
+
+def test_lookup_measured_once_per_version(spark, tmp_dir, monkeypatch):
+    from tidemark.sources.lookup import lookup_version, read_lookup_csv
+    from tidemark.streaming import rollup_stream
+
+    file = f"{tmp_dir}/l.csv"
+    calls = []
+    real = rollup_stream.prepare_lookup
+    monkeypatch.setattr(rollup_stream, "prepare_lookup", lambda *a: calls.append(1) or real(*a))
+    events = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 5, 1), "a", "edit", 1, 0, 0)],
+        "window_end timestamp, wiki string, event_type string, event_count long, bot_count long, minor_count long",
+    )
+    paths = WarehousePaths(f"{tmp_dir}/wh")
+    write = rollup_stream.batch_writer(spark, lambda: read_lookup_csv(spark, file), paths, "r",
+                                       lookup_version=lambda: lookup_version(spark, file))
+    for batch_id, label in enumerate(["A", "A", "Longer"]):
+        with open(file, "w") as f:
+            f.write(f"wiki_key,wiki_label,language\na,{label},x\n")
+        os.utime(file, (1_700_000_000, 1_700_000_000))  # the length tells the versions apart
+        write(events, batch_id)
+    assert len(calls) == 2
+    assert [r["wiki_label"] for r in current_totals(spark, paths).collect()] == ["Longer"]

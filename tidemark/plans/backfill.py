@@ -2,9 +2,9 @@
 
 Batch mode closes every window (no watermark), so a backfill over stored raw
 events -- a Kafka batch read from ``earliest`` or raw files -- gives the final
-rollups.  The action rollup is materialised once (reliable checkpoint in the
-shared folder, which also cuts the lineage); actions are written from it and
-totals derived from it (A4), so the input is parsed once.
+rollups.  The action rollup is persisted once; actions are written from it and
+totals derived from it (A4), so the input is parsed once and no checkpoint is
+left behind.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from ..operators.current import current_view
 from ..operators.enrich import prepare_lookup
 from ..operators.rollups import actions_rollup, totals_from_actions
 from ..schemas import ACTIONS_COLUMNS
-from ..session import checkpoint_root
 from ..sinks.warehouse import read_rollup, write_batch
 
 
@@ -44,6 +43,22 @@ class WarehousePaths:
         return f"{self.root}/contract_violations"
 
 
+def check_contract(actions: DataFrame, paths: WarehousePaths, run_id: str, batch_id: int,
+                   config: PipelineConfig = DEFAULT) -> None:
+    """K5 on one batch of action rows: list the rows that break the contract, or fail the batch."""
+    if config.contract_mode == "off":
+        return
+    _, bad = split_contract(actions, config)
+    if config.contract_mode == "fail":
+        broken = bad.select("contract_reason").limit(1).collect()
+        if broken:
+            raise ValueError(f"batch {batch_id} breaks the table contract: {broken[0][0]}")
+    elif not bad.isEmpty():
+        stamped = bad.withColumn("run_id", F.lit(str(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
+        writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run_id", "batch_id").parquet(paths.violations)
+
+
 def write_rollups(
     spark: SparkSession,
     actions: DataFrame,
@@ -62,16 +77,7 @@ def write_rollups(
     keyed-table contract (K5) are listed beside the tables with their rule, or
     fail the batch, per ``config.contract_mode``.
     """
-    if config.contract_mode != "off":
-        _, bad = split_contract(actions, config)
-        if config.contract_mode == "fail":
-            broken = bad.select("contract_reason").limit(1).collect()
-            if broken:
-                raise ValueError(f"batch {batch_id} breaks the table contract: {broken[0][0]}")
-        elif not bad.isEmpty():
-            (bad.withColumn("run_id", F.lit(str(run_id))).withColumn("batch_id", F.lit(int(batch_id)))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("run_id", "batch_id").parquet(paths.violations))
+    check_contract(actions, paths, run_id, batch_id, config)
     totals = totals_from_actions(actions.select(*ACTIONS_COLUMNS), config)
     # Both read the materialised actions and nothing else: submit the two
     # writes as concurrent Spark jobs.  Either failing fails the batch, whose
@@ -111,11 +117,13 @@ def run_backfill(
     parsed = parse_events(raw, config=config)
     checked = prepare_lookup(lookup, config.lookup_broadcast_max_rows)
     actions = actions_rollup(parsed, checked, config, lookup_checked=True)
-    # read several times below: materialise once in the shared checkpoint
-    # folder (reliable, cuts the lineage) instead of re-parsing the input
-    checkpoint_root(spark)
-    actions = actions.checkpoint(eager=True)
-    write_rollups(spark, actions, paths, run_id, batch_id, config, updated_at)
+    # read several times below: kept once instead of re-parsing the input for
+    # each; what a lost executor held is computed again from the input
+    actions = actions.persist()
+    try:
+        write_rollups(spark, actions, paths, run_id, batch_id, config, updated_at)
+    finally:
+        actions.unpersist()
     return paths
 
 

@@ -7,24 +7,32 @@ TIDEMARK_WAREHOUSE, TIDEMARK_CHECKPOINT, TIDEMARK_LOOKUP_CSV, TIDEMARK_RUN_ID
 (default: the streaming query id, which lives exactly as long as the checkpoint),
 TIDEMARK_TOTALS_TABLE / TIDEMARK_ACTIONS_TABLE (catalog tables kept in step),
 SPARK_SQL_SHUFFLE_PARTITIONS, TIDEMARK_RAW_DIR to read JSON lines from a
-directory instead of Kafka, and TIDEMARK_AVAILABLE_NOW=1 to process what is
-there and stop (replay / catch-up runs).
+directory instead of Kafka (TIDEMARK_MAX_FILES_PER_TRIGGER bounds a batch),
+and TIDEMARK_AVAILABLE_NOW=1 to process what is there and stop (replay /
+catch-up runs).
 
-Steps: session -> preflight (lookup readable, V2) -> one stateful query ->
-foreachBatch sinks -> wait until any query ends (a failure ends the job).
+Steps: session -> preflight (lookup readable, V2; tables exist, V1) -> one
+stateful query -> foreachBatch sinks -> wait until any query ends (a failure
+ends the job).  Closed hours of the catalog tables are compacted once an hour
+and at the end of a catch-up run.
 """
 
 from __future__ import annotations
 
 import logging
 import os
+import time
+
+from pyspark.sql import SparkSession
 
 from ..config import PipelineConfig
 from ..plans.backfill import WarehousePaths
 from ..session import build_session, checkpoint_root
 from ..sources.files import text_stream
 from ..sources.kafka import kafka_raw
-from ..sources.lookup import ensure_lookup_readable, read_lookup_csv
+from ..operators.checks import ensure_table
+from ..sinks.compaction import compact_day, open_days
+from ..sources.lookup import ensure_lookup_readable, lookup_version, read_lookup_csv
 from ..sources.warehouse import register_table
 from .monitor import attach, heartbeat
 from .rollup_stream import await_any, start_pipeline
@@ -32,6 +40,14 @@ from .rollup_stream import await_any, start_pipeline
 log = logging.getLogger("tidemark")
 
 
+def compact(spark: SparkSession, tables: list[tuple[str, str, str]]) -> None:
+    """Compact every closed hour that still has per-batch partitions: those before the newest hour written."""
+    for table, path, _ in tables:
+        for ds, before in open_days(spark, table):
+            dropped = compact_day(spark, table, path, ds, before)
+            log.info("compacted %s of %s: %d partitions dropped", ds, table, dropped)
+
+
 def main() -> None:
     logging.basicConfig(level=os.environ.get("TIDEMARK_LOG_LEVEL", "INFO"),
                         format="%(asctime)s %(levelname)s %(message)s")
@@ -44,26 +60,33 @@ def main() -> None:
         raise SystemExit("TIDEMARK_LOOKUP_CSV is required (header wiki_key,wiki_label,language)")
     ensure_lookup_readable(spark, config.lookup_path)
     paths = WarehousePaths(warehouse)
-    for table, path, kind in ((config.totals_table, paths.totals, "totals"),
-                              (config.actions_table, paths.actions, "actions")):
-        if table:
-            register_table(spark, table, path, kind)  # one full registration at start-up
+    tables = [(table, path, kind) for table, path, kind in ((config.totals_table, paths.totals, "totals"),
+                                                            (config.actions_table, paths.actions, "actions")) if table]
+    for table, path, kind in tables:
+        register_table(spark, table, path, kind)  # one full registration at start-up
+        ensure_table(spark, table)
     raw_dir = os.environ.get("TIDEMARK_RAW_DIR")
-    raw = text_stream(spark, raw_dir) if raw_dir else kafka_raw(spark, config)
+    raw = text_stream(spark, raw_dir, config.max_files_per_trigger) if raw_dir else kafka_raw(spark, config)
     run_id = os.environ.get("TIDEMARK_RUN_ID") or None  # default: the query id kept in the checkpoint
     available_now = os.environ.get("TIDEMARK_AVAILABLE_NOW", "").lower() in ("1", "true", "yes")
     recorder = attach(spark)
     query = start_pipeline(
         spark, raw, lambda: read_lookup_csv(spark, config.lookup_path), paths,
         checkpoint, run_id, config, available_now=available_now,
+        lookup_version=lambda: lookup_version(spark, config.lookup_path),
     )
     log.info("started query id=%s run_id=%s warehouse=%s checkpoint=%s", query.id, run_id, warehouse, checkpoint)
     if available_now:
         query.awaitTermination()
         log.info(heartbeat(recorder, str(query.id)))
+        compact(spark, tables)
         return
+    hour = time.time() // 3600
     while not await_any(spark, timeout=60):
         log.info(heartbeat(recorder, str(query.id)))
+        if time.time() // 3600 > hour:
+            hour = time.time() // 3600
+            compact(spark, tables)
         if recorder.stalled(str(query.id), limit_seconds=15 * 60):
             log.warning("no input rows for 15 minutes (query %s)", query.id)
 

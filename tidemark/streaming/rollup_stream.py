@@ -28,7 +28,7 @@ from ..config import DEFAULT, PipelineConfig
 from ..functions.parse import parse_events
 from ..operators.enrich import enrich, prepare_lookup
 from ..operators.rollups import aggregate_actions, finish_actions, totals_rollup_enriched
-from ..plans.backfill import WarehousePaths, write_rollups
+from ..plans.backfill import WarehousePaths, check_contract, write_rollups
 from ..session import job_settings
 from ..sinks.warehouse import write_batch
 
@@ -58,15 +58,25 @@ def batch_writer(
     paths: WarehousePaths,
     run_id: str | None,
     config: PipelineConfig = DEFAULT,
+    lookup_version: Callable[[], object] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """ST8/ST9: per-batch multi-sink callback; skips empty batches.
 
     The lookup is re-read every batch, so edits to the dimension file show up
-    without a restart.  Without an explicit ``run_id`` the streaming query's
+    without a restart.  With ``lookup_version`` (a cheap look at the file's
+    time and length) it is measured and checked only when that changes.  Without an explicit ``run_id`` the streaming query's
     id is used: Spark keeps it in the checkpoint, so it is stable across
     restarts and new for a new checkpoint (whose batch ids restart at 0).
     """
 
+    known: dict = {}
+
+    def prepared() -> DataFrame:
+        version = lookup_version() if lookup_version else None
+        if version is None or known.get("version") != version:
+            known.update(version=version, lookup=prepare_lookup(lookup_loader(), config.lookup_broadcast_max_rows))
+        return known["lookup"]
+
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist()
         try:
@@ -75,8 +85,7 @@ def batch_writer(
             run = run_id or batch_df.sparkSession.sparkContext.getLocalProperty(QUERY_ID_PROPERTY)
             if not run:
                 raise RuntimeError("no run_id given and no streaming query id available")
-            lookup = prepare_lookup(lookup_loader(), config.lookup_broadcast_max_rows)
-            actions = finish_actions(enrich(batch, lookup, checked=True))
+            actions = finish_actions(enrich(batch, prepared(), checked=True))
             write_rollups(spark, actions, paths, run, batch_id, config)
         finally:
             batch.unpersist()
@@ -94,6 +103,7 @@ def start_pipeline(
     config: PipelineConfig = DEFAULT,
     available_now: bool = False,
     query_name: str = "tidemark_rollups",
+    lookup_version: Callable[[], object] | None = None,
 ) -> StreamingQuery:
     """Start the one-query pipeline (ST3 append, ST5 trigger, ST6 checkpoint).
 
@@ -106,7 +116,7 @@ def start_pipeline(
         .writeStream.queryName(query_name)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(spark, lookup_loader, paths, run_id, config))
+        .foreachBatch(batch_writer(spark, lookup_loader, paths, run_id, config, lookup_version))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=config.trigger)
     return _start_with_job_conf(spark, writer, config)
@@ -165,6 +175,7 @@ def start_two_queries(
 
     def actions_sink(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
+            check_contract(df, paths, _run(df), batch_id, config)
             write_batch(df, paths.actions, _run(df), batch_id, write_partitions=config.write_partitions,
                         table=config.actions_table)
 
