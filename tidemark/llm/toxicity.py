@@ -82,7 +82,7 @@ class Scorer:
             weight = max((self.lexicon.get(s, 0.0) for s in stems(letters)), default=0.0)
             person = letters in SECOND_PERSON
             found = (weight, hidden, person) if weight or hidden or person else None
-            if len(self.seen) > 500_000:
+            if len(self.seen) > 150_000:
                 self.seen.clear()
             self.seen[word] = found
         return found
