@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -49,6 +49,13 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so what is made of a batch stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -155,8 +162,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
     pairs = materialise(pairs, "cc")
-    before = None
-    while True:
+    while not _are_stars(pairs):
         both = materialise(pairs.union(pairs.select("v", "u")), "cc")
         least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -167,14 +173,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         pairs = materialise(star.distinct(), "cc")
-        state = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
 
 
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether each larger node has one smaller one, which has none itself: nothing is left to contract."""
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(pairs.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def shared_file(uri: str):
     """(file system, path) for a URI under the shared folder, from a task."""
     from pyarrow import fs

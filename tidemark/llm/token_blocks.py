@@ -37,6 +37,8 @@ PERCENTILE = 0.9
 #: Ids after which a task begins another file.
 FILE_IDS = 1 << 24
 REMEMBERED = 3_000_000
+#: Larger slices repeat more pieces, so fewer are looked up.
+SLICE_BYTES = 1 << 20
 END_ID = 1
 
 HEADER, TRAILER = struct.Struct("<IHBH"), struct.Struct("<QQQQ4s")
@@ -261,7 +263,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, file_ids: in
         writer, name, seq, done = None, "", 0, []
         for batch in batches:
             ids_of = batch.column("doc_id").to_pylist()
-            for lo, hi, data, offsets in text_slices(batch.column("text")):
+            for lo, hi, data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
                 if writer is None:
                     files.create_dir(root, recursive=True)
                     name = f"tokens-{task.partitionId():06d}-{task.taskAttemptId()}-{seq}.pfb"
