@@ -24,8 +24,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: five-word shingles, Jaccard similarity of 0.8 or more."""
-    rows, row = with_rows(docs)
-    return ngram_join.keep_one(rows, row, 5, 80, 100).select(*docs.columns)
+    return ngram_join.keep_one(docs, 5, 80, 100)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,6 +108,9 @@ def test_edges(spark, tmp_dir):
 
 def test_one_of_each_group_stays(spark):
     docs = corpus(4)
-    df = spark.createDataFrame([(d, t, r) for r, (d, t) in enumerate(docs)], "doc_id long, text string, _row long")
-    kept = {r[0] for r in ngram_join.keep_one(df, "_row", 5, 80, 100).collect()}
-    assert kept == {c for _, _, c in brute(docs, 5, 80, 100)}
+    docs += [docs[0], docs[0], (500, None), (500, None), (None, "some words of nobody at all here"), (None, "some words of nobody at all here")]
+    df = spark.createDataFrame([(d, t, r) for r, (d, t) in enumerate(docs)], "doc_id long, text string, _text long").repartition(3)
+    rows = ngram_join.keep_one(df, 5, 80, 100).collect()
+    kept = [r[0] for r in rows if (r[1] or "").strip()]
+    assert sorted(kept, key=str) == sorted({c for _, n, c in brute(docs, 5, 80, 100) if n}, key=str)
+    assert len(rows) == len(kept) + sum(not (t or "").strip() for _, t in docs)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_for, components, materialise, sets_of, small
+from .common import blocks_for, components, materialise, pieces_of, sets_of, small
 
 RARE = 16
 HUB_ROUNDS = 3
@@ -95,12 +95,12 @@ def shingle_sets(docs: DataFrame, keys: list[str], k: int, share: float) -> Data
     below = int(share * 2**63)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             m = batch.num_rows
             n, node, low = np.zeros(m, np.int64), [None] * m, [None] * m
             for i, h in sets_of(batch.column("text"), k):
                 tokens = (h >> np.uint64(1)).astype(np.int64)
-                n[i], node[i], low[i] = len(tokens), _set_hash(h), tokens[: np.searchsorted(tokens, below)]
+                n[i], node[i], low[i] = len(tokens), _set_hash(h), tokens[: np.searchsorted(tokens, below)].copy()
             r = [0 if x is None else len(x) for x in low]
             made = [pa.array(n), pa.array(node, pa.int64()), pa.array(r, pa.int64()), pa.array(low, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), *made], names=[*keys, "n", "node", "r", "tokens"])
@@ -236,20 +236,22 @@ def node_links(docs: DataFrame, keys: list[str], k: int, num: int, den: int) ->
     join the same nodes; all others are.
     """
     share = min(1.0, 1.5 * (1 - num / den))
-    found = materialise(shingle_sets(docs, keys, k, share), "join-signatures")
+    found = shingle_sets(docs, keys, k, share).withColumn("sig", F.monotonically_increasing_id())
+    found = materialise(found, "join-signatures")
     rows = found.select(*keys, "n", "node")
     least = num // (den - num) if num < den else 1 << 62  # smaller sets link with equal sets only
     nodes = found.where(F.col("n") >= least).groupBy("node").agg(
-        F.min(F.struct(*keys)).alias("rep"), F.first("n").alias("n"), F.first("r").alias("r"), F.first("tokens").alias("tokens")
+        F.min(F.struct("sig", *keys)).alias("rep"), F.first("n").alias("n"), F.first("r").alias("r")
     )
     nodes = materialise(nodes, "join-nodes")
 
-    tokens = nodes.select("node", F.explode("tokens").alias("token"))
+    chosen = small(materialise(nodes.select(F.col("rep.sig").alias("sig")), "join-chosen"))
+    tokens = found.select("sig", "node", "tokens").join(chosen, "sig").select("node", F.explode("tokens").alias("token"))
     lists = _lists(tokens)
     frequent = lists.where(F.size("nodes") > RARE).select("token")
     common = materialise(tokens.join(small(frequent), "token"), "join-frequent")
     hot = common.groupBy("node").agg(F.count("*").alias("hot"))
-    facts = nodes.drop("tokens").join(hot, "node", "left").fillna(0, ["hot"])
+    facts = nodes.join(hot, "node", "left").fillna(0, ["hot"])
     facts = materialise(facts, "join-facts")
     pairs = _pairs(lists)
 
@@ -351,18 +353,30 @@ def link_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100)
     return rows.join(least, "group", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, row: str, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of the written table ``docs`` without all but one row of each group: that of the smallest (doc_id, row).
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` without all but one row of each group: a row of the smallest doc_id, then of the smallest text hash.
 
-    ``row`` is a unique long.  Rows without words stay; a null doc_id comes last.
+    Rows without words stay; a null doc_id comes last; of rows that are equal in id and text one stays.
     """
-    ids = docs.select("doc_id", F.col(row).alias("_kept"))
-    found = materialise(groups(docs, [row], k, num, den), "join-groups")
-    rows = found.where("group is not null").join(ids, F.col(row) == F.col("_kept")).select("doc_id", "group", row)
-    rows = materialise(rows, "join-rows")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col(row).alias("row"))
-    first = rows.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("members")).where("members > 1")
-    first = materialise(first.select("group", F.col("first.row").alias("_kept")), "join-first")
-    drop = rows.join(first, "group").where(F.col(row) != F.col("_kept")).select(F.col(row).alias("_dropped"))
+    text = "_text"
+    while text in docs.columns:
+        text = f"_{text}"
+    keyed = docs.withColumn(text, F.xxhash64("text"))
+    keys = ["doc_id", text]
+    found = groups(keyed.select(*keys, "text"), keys, k, num, den).where("group is not null")
+    found = materialise(found.groupBy("group", *keys).agg(F.count("*").alias("rows")), "join-groups")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(text).alias("hash"))
+    first = found.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("keys")).where("keys > 1")
+    first = materialise(first, "join-first")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col(text) == F.col("first.hash"))
+    drop = found.join(first, "group").where(~kept).select(F.col("doc_id").alias("_id"), F.col(text).alias("_hash"))
     drop = small(materialise(drop, "join-drop"))
-    return docs.join(drop, docs[row] == F.col("_dropped"), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(text) == F.col("_hash"))
+    left = keyed.join(drop, same, "left_anti")
+    again = found.where("rows > 1").select(F.col("doc_id").alias("_id"), F.col(text).alias("_hash"))
+    again = materialise(again, "join-repeated")
+    if not again.isEmpty():
+        again = small(again)
+        one = left.join(again, same, "left_semi").dropDuplicates(keys)
+        left = left.join(again, same, "left_anti").unionByName(one)
+    return left.drop(text)
