@@ -26,3 +26,16 @@ hit AS (SELECT doc_id, item_id, count(*) AS shared FROM dsh JOIN ish USING (s) W
 SELECT doc_id, item_id, n AS item_shingles, shared AS shared_shingles, shared / n AS containment
 FROM hit JOIN cnt USING (item_id) WHERE shared >= 0.8 * n
 """
+
+ORACLE_SQL["op2_ngram_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 1, 2)), lambda i: array_to_string(w[i:i+2], ' '))) AS s FROM w),
+own AS (SELECT doc_id, s FROM sh WHERE s <> ''),
+n AS (SELECT doc_id, count(*) AS n FROM own GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM own a JOIN own b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT y, root FROM reach JOIN edges ON x = node)
+SELECT node AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(root) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node
+"""
