@@ -10,7 +10,6 @@ an empty table gives an empty result of the same columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, mixing, ngram_join, token_blocks, toxicity
 from tidemark.llm.common import materialise, read, with_rows
@@ -29,10 +28,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold 0.8 or more of a benchmark item's five-word shingles go."""
-    rows, row = with_rows(docs)
-    found = decontaminate.find_leaks(rows.select(F.col(row).alias("doc_id"), "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
-    leaked = materialise(found.select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return decontaminate.without(rows, row, leaked).select(*docs.columns)
+    return decontaminate.drop_leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

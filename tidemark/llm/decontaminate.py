@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, shingles_of, small, text_slices, word_hashes, words_of
+from .common import WORD, materialise, shingles_of, small, text_slices, word_hashes, words_of
 
 BINS = 128
 #: Bytes of item text sent to the tasks at once (the broadcast's proven bound).
@@ -175,7 +175,8 @@ def _by_row(found: set[tuple[int, int]]) -> Iterator[tuple[int, list[int]]]:
     yield from sorted((r, sorted(items)) for r, items in rows.items())
 
 
-def without(docs: DataFrame, row: str, leaked: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose unique ``row`` is in the written one-column table ``leaked``."""
-    leaked = small(leaked)
-    return docs.join(leaked, docs[row] == leaked[leaked.columns[0]], "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
+    """``docs`` without the rows that leak an item; a text decides alone, so rows are told by its 64-bit hash."""
+    found = find_leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark, k, threshold)
+    leaked = small(materialise(found.select(F.col("doc_id").alias("_leaked")).distinct(), "leaked"))
+    return docs.join(leaked, F.xxhash64(docs["text"]) == F.col("_leaked"), "left_anti")
