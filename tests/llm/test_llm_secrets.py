@@ -74,6 +74,34 @@ def test_layers(wrap):
     assert all(at <= a < z <= at + len(inner) for a, z, k in spans)
 
 
+def zstd_stream(data):
+    packer = zstandard.ZstdCompressor().compressobj()
+    return packer.compress(data) + packer.flush()
+
+
+@pytest.mark.parametrize(
+    "pack",
+    [
+        lambda s: zstd_stream(s),
+        lambda s: gzip.compress(b"first, ") + gzip.compress(s),
+        lambda s: gzip.compress(b"first, ") + bytes(7) + gzip.compress(s),
+        lambda s: gzip.compress(b"first, " + s[:12]) + gzip.compress(s[12:]),
+        lambda s: zlib.compress(b"first, ") + zlib.compress(s),
+        lambda s: zstd_stream(b"first, ") + b"\x50\x2a\x4d\x18\x02\0\0\0hi" + zstandard.ZstdCompressor().compress(s),
+        lambda s: gzip.compress(b"first, ") + s,
+        lambda s: gzip.compress(np.random.default_rng(1).bytes(30_000).hex().encode().upper() + b" " + s) + gzip.compress(b"x"),
+    ],
+)
+def test_packed_members(pack):
+    inner = B64(pack(SECRET.encode()))
+    assert (2, 2 + len(inner.rstrip("=")), 0) in scan.scan(f"x {inner} tail")[1]
+
+
+def test_many_small_members():
+    inner = B64(gzip.compress(b"a") * 20_000 + gzip.compress(SECRET.encode()))
+    assert (0, len(inner.rstrip("=")), 0) in scan.scan(inner)[1]
+
+
 def test_spans_map_to_characters():
     text = "x " + SECRET.replace("a", "%61")
     _, spans, _ = scan.scan(text)

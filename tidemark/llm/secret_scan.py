@@ -2,7 +2,7 @@
 
 The base rules scan a text; then every encoded part is unwrapped into a layer of its own and
 scanned too: percent (URL) escapes, Unicode and character-reference escapes, base64, and what is
-zlib-, gzip- or Zstandard-compressed inside base64.  Layers are unwrapped again until
+zlib-, gzip- or Zstandard-compressed inside base64, in one member or frame or several.  Layers are unwrapped again until
 nothing new comes; a layer that was met before at the same place is not followed again, so
 cycles end.  Each character of a layer knows the span of the original text that it comes from, so
 all spans are code points of the original.
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import gzip
 import hashlib
 import re
 import zlib
@@ -77,25 +76,56 @@ def _decoded(data: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """Decompressed bytes of a known format, at most LAYER_BYTES."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            out = zlib.decompressobj(31).decompress(data, LAYER_BYTES + 1)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            out = zstandard.ZstdDecompressor().decompressobj().decompress(data) if _zstd_small(data) else b""
-        elif len(data) > 2 and data[0] & 0x0F == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-            out = zlib.decompressobj().decompress(data, LAYER_BYTES + 1)
-        else:
-            return None
-    except (zlib.error, zstandard.ZstdError, gzip.BadGzipFile, EOFError):
-        return None
-    return out if 0 < len(out) <= LAYER_BYTES else None
+class Inflated:
+    """Iterates over what compressed bytes hold, in pieces of at most 8 MB, through all gzip members, zlib streams and zstd frames.
 
+    Then ``rest`` is what follows them, or begins with a damaged one; what came before the damage is kept.
+    """
 
-def _zstd_small(data: bytes) -> bool:
-    size = zstandard.frame_content_size(data)
-    return 0 <= size <= LAYER_BYTES
+    def __init__(self, data: bytes):
+        self.data, self.at = data, 0
+
+    @property
+    def rest(self) -> bytes:
+        return self.data[self.at :]
+
+    def __iter__(self) -> Iterator[bytes]:
+        while known := _format(self.data[self.at : self.at + 4]):
+            make, feed = known
+            member, at = make(), self.at
+            try:
+                while at < len(self.data) and not member.eof:
+                    piece = member.decompress(self.data[at : at + feed])
+                    at = min(at + feed, len(self.data))
+                    if piece:
+                        yield piece
+            except (zlib.error, zstandard.ZstdError):
+                return
+            self.at = at - len(member.unused_data)
+            while self.data[self.at : self.at + 1] == b"\0":  # gzip may be padded
+                self.at += 1
+
+
+def _format(head: bytes):
+    """(decompressor, bytes to feed at once) for the first bytes of a known format; bounded input bounds the output."""
+    if head[:2] == b"\x1f\x8b":
+        return lambda: zlib.decompressobj(31), 4096
+    if head == b"\x28\xb5\x2f\xfd" or len(head) == 4 and head[0] & 0xF0 == 0x50 and head[1:] == b"\x2a\x4d\x18":
+        return lambda: zstandard.ZstdDecompressor().decompressobj(), 256
+    if len(head) > 2 and head[0] & 0x0F == 8 and (head[0] << 8 | head[1]) % 31 == 0:
+        return zlib.decompressobj, 4096
+    return None
+
+
+def _inflated(data: bytes) -> tuple[bytes, bytes]:
+    """(decompressed bytes, none if over LAYER_BYTES; the bytes that are in no known format)."""
+    source, out, size = Inflated(data), [], 0
+    for piece in source:
+        size += len(piece)
+        if size > LAYER_BYTES:
+            return b"", b""
+        out.append(piece)
+    return b"".join(out), source.rest
 
 
 def unwrap_percent(layer: Layer) -> Layer | None:
@@ -170,14 +200,13 @@ def unwrap_base64(layer: Layer) -> Iterator[Layer]:
             data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        plain = _inflated(data)
-        if plain is not None:
-            text = _decoded(plain)
+        plain, rest = _inflated(data)
+        for part in (plain, rest if len(rest) < len(data) else b""):
+            text = _decoded(part)
             if text:
                 a, z = layer.span(m.start(), m.start() + len(run))
                 yield Layer(text, [a] * len(text), [z] * len(text))
-            continue
-        text = _decoded(data)
+        text = None if plain and len(rest) < len(data) else _decoded(data)
         if text:
             begin, end, at = [], [], 0
             for c in text:  # byte i takes bits 8i to 8i + 8, six to a base64 character
