@@ -102,6 +102,52 @@ def test_many_small_members():
     assert (0, len(inner.rstrip("=")), 0) in scan.scan(inner)[1]
 
 
+def wrapped(data, width, end="\n"):
+    text = B64(data)
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+NOISE = np.random.default_rng(2).bytes(2_000).hex().encode().upper()
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "x\n" + wrapped(gzip.compress(NOISE + b" " + SECRET.encode()), 76) + "\ntail of it",
+        "x: " + wrapped(zlib.compress(SECRET.encode() + NOISE), 64, "\r\n    ") + "\r\n",
+        "some words\nbefore\n" + wrapped(b"a long first line of plain words, then " + SECRET.encode(), 60) + "\nand\nafter it\n",
+        "see\n" + wrapped(SECRET.encode(), 12) + "\n",
+        "GET /v1/" + B64(SECRET.encode()) + " HTTP",
+        "GET /v1/" + B64(SECRET.encode()).rstrip("=") + "/download/file HTTP",
+        "GET /a/bc/" + B64(gzip.compress(SECRET.encode())) + " HTTP",
+        "sk_" + B64(SECRET.encode()).rstrip("="),
+        "key-id_" + base64.urlsafe_b64encode("??>>ÿÿ ".encode() + SECRET.encode()).decode().rstrip("="),
+        "sk_" + wrapped(b"first line of a token of plain words and so on, " + SECRET.encode(), 40),
+    ],
+)
+def test_wrapped_and_prefixed(text):
+    base, spans, _ = scan.scan(text)
+    assert 0 in {k for a, z, k in spans if (a, z, k) not in base}
+    data = np.frombuffer(("xx" + text).encode(), np.uint8)
+    assert 1 in scan.marked_rows(data, np.array([0, 2, len(data)]))
+
+
+def test_wrapped_spans():
+    lead = b"0123456789 some words before the secret of the file, "
+    text = "see: " + wrapped(lead + SECRET.encode() + b" tail", 20)
+    (a, z, _), = [s for s in scan.scan(text)[1] if s[2] == 0]
+    joined, before = "".join(text[5:].split("\n")), len("".join(text[5:a].split("\n")))
+    size = len("".join(text[a:z].split("\n")))
+    assert before == 8 * len(lead) // 6 and before + size == -(-8 * len(lead + SECRET.encode()) // 6)
+    assert SECRET.encode() in base64.b64decode(joined[before // 4 * 4 :])
+
+
+def test_long_runs_end():
+    noise = base64.b64encode(np.random.default_rng(3).bytes(1_000_000)).decode()
+    assert [s for s in scan.scan(noise)[1] if s[2] != 2] == [] == [s for s in scan.scan("\n".join(noise[i : i + 76] for i in range(0, len(noise), 76)))[1] if s[2] != 2]
+    assert scan.scan("/" * 1_000_000 + "A" * 1_000_000 + "-A_A" * 200_000)[1] == []
+
+
 def test_spans_map_to_characters():
     text = "x " + SECRET.replace("a", "%61")
     _, spans, _ = scan.scan(text)

@@ -14,10 +14,10 @@ texts with a mark are scanned one by one.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +40,11 @@ LAYER_BYTES = 16 << 20
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|%u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_BASE64)
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++")
+_BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_PART = re.compile(r"[/_-]")
+_ODD = re.compile(r"([\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]+)")
+_NO_TEXT = frozenset([*range(0x80, 0xC2), *range(0xF5, 0x100)])  # begin no UTF-8 character
 _LINE = re.compile(r"[^\n]+")
 
 SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long"
@@ -191,30 +196,102 @@ def _replaced(layer: Layer, pattern: re.Pattern, one) -> Layer | None:
 
 
 def unwrap_base64(layer: Layer) -> Iterator[Layer]:
-    """A layer for each base64 run that decodes to text or to compressed text."""
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        plain, rest = _inflated(data)
-        for part in (plain, rest if len(rest) < len(data) else b""):
+    """A layer for each base64 run that decodes to text or to compressed text, also for runs wrapped over lines.
+
+    Of a run that does not decode as a whole, what decodes from a line's start or after one of ``/-_`` is taken.
+    """
+    for run, lines, places in _base64_runs(layer.text):
+        yield from _run_layers(layer, run, lines, places)
+
+
+def _base64_runs(text: str) -> Iterator[tuple[str, list[int], list[int]]]:
+    """(run, places in it where lines begin, the same places in the text) of single and of wrapped runs."""
+    for m in _BASE64.finditer(text):
+        yield m[0].rstrip("="), [0], [m.start()]
+    if "\n" in text or "\r" in text:
+        for m in _WRAPPED.finditer(text):
+            lines, places, run, size = [], [], [], 0
+            for line in _BASE64_LINE.finditer(text, m.start(), m.end()):
+                lines.append(size)
+                places.append(line.start())
+                run.append(line[0])
+                size += len(line[0])
+            if size >= LEAST_BASE64:
+                yield "".join(run), lines, places
+
+
+def _base64_bytes(run: str) -> bytes:
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    return base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
+
+
+def _run_layers(layer: Layer, run: str, lines: list[int], places: list[int]) -> Iterator[Layer]:
+    def place(i: int) -> int:
+        k = bisect_right(lines, i) - 1 if len(lines) > 1 else 0
+        return places[k] + i - lines[k]
+
+    def mapped(text: str, start: int, at: int = 0) -> Layer:
+        """The layer of a text whose first byte is byte ``at`` of what the run holds from ``start``."""
+        begin, end = [], []
+        for c in text:  # byte i takes bits 8i to 8i + 8, six to a base64 character
+            size = len(c.encode())
+            begin.append(layer.begin[place(start + 8 * at // 6)])
+            at += size
+            end.append(layer.end[place(start + (8 * at + 5) // 6 - 1)])
+        return Layer(text, begin, end)
+
+    def unpacked(parts: tuple[bytes, ...], start: int) -> Iterator[Layer]:
+        for part in parts:
             text = _decoded(part)
             if text:
-                a, z = layer.span(m.start(), m.start() + len(run))
+                a, z = layer.span(place(start), place(len(run) - 1) + 1)
                 yield Layer(text, [a] * len(text), [z] * len(text))
-        text = None if plain and len(rest) < len(data) else _decoded(data)
-        if text:
-            begin, end, at = [], [], 0
-            for c in text:  # byte i takes bits 8i to 8i + 8, six to a base64 character
-                size = len(c.encode())
-                begin.append(layer.begin[m.start() + 8 * at // 6])
-                at += size
-                end.append(layer.end[m.start() + (8 * at + 5) // 6 - 1])
-            yield Layer(text, begin, end)
+
+    done = 0
+    if len(run) % 4 != 1:
+        data = _base64_bytes(run)
+        plain, rest = _inflated(data)
+        done = 8 * (len(data) - len(rest)) // 6
+        yield from unpacked((plain, rest if done else b""), 0)
+        if done and (not rest or _decoded(rest)):
+            return
+        if not done and (text := _decoded(data)):
+            yield mapped(text, 0)
+            return
+    until = [done] * 4  # by alignment, how far the run was read
+    for start in sorted({0, *lines, *(m.end() for m in _PART.finditer(run))}):
+        if start < until[start % 4] or len(run) - start < LEAST_BASE64:
+            continue
+        head = _base64_bytes(run[start : start + 8])
+        if head[0] in _NO_TEXT and not _format(head[:4]):
+            continue
+        if _format(head[:4]) and any(True for _ in Inflated(_base64_bytes(run[start : start + 2048]))):
+            plain, rest = _inflated(_base64_bytes(run[start:]))
+            yield from unpacked((plain, rest), start)
+        text = _leading_text(run, start)
+        until[start % 4] = start + 8 * len(text.encode()) // 6
+        at = 0
+        for part in [text] if _decoded(text.encode()) else _ODD.split(text):
+            size = len(part.encode())
+            if size >= LEAST_BASE64 * 3 // 4 and not _ODD.fullmatch(part):
+                yield mapped(part, start, at)
+            at += size
+
+
+def _leading_text(run: str, start: int) -> str:
+    """The UTF-8 text that base64 from ``start`` begins with."""
+    size = 64
+    while True:
+        data = _base64_bytes(run[start : start + size])
+        try:
+            text = data.decode()
+        except UnicodeDecodeError as e:
+            text = data[: e.start].decode()
+            if e.start + 4 <= len(data):
+                return text
+        if start + size >= len(run):
+            return text
+        size *= 4
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -249,12 +326,14 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
 _HEX_BYTES = np.isin(np.arange(256), list(b"0123456789abcdef"))
 _HEX_ANY = np.isin(np.arange(256), list(b"0123456789abcdefABCDEF"))
 _BASE64_BYTES = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"))
+_BLANK_BYTES = np.isin(np.arange(256), list(b" \t\r\n"))
 _WORDS = (b"passw", b"secret", b"token", b"api")
 
 
 def marked_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows of a slice that hold a mark of a rule or of an encoding."""
     at = [_long_runs(_HEX_BYTES[data], offsets, LEAST_HEX), _long_runs(_BASE64_BYTES[data], offsets, LEAST_BASE64)]
+    at.append(_wrapped_runs(data, offsets))
     raw = data.tobytes()
     low = raw.lower()
     at += [np.array(_places(low, w), np.int64) for w in _WORDS] + [np.array(_places(raw, b"AKIA"), np.int64)]
@@ -272,6 +351,21 @@ def _long_runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> np.ndarray:
     return start[end - start >= least]
 
 
+def _wrapped_runs(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Starts of runs that are long enough only when joined over single line breaks and indents."""
+    solid = _BASE64_BYTES[data]
+    start, end = runs_of(_BLANK_BYTES[data], offsets)
+    breaks = [np.concatenate([[0], np.cumsum(data == b)]) for b in (0x0A, 0x0D)]
+    lf, cr = ((n[end] - n[start]) for n in breaks)
+    keep = (lf + cr > 0) & (lf <= 1) & (cr <= 1)
+    edge = np.zeros(len(data) + 1, np.int64)
+    np.add.at(edge, start[keep], 1)
+    np.add.at(edge, end[keep], -1)
+    start, end = runs_of(solid | (np.cumsum(edge[:-1]) > 0), offsets)
+    count = np.concatenate([[0], np.cumsum(solid)])
+    return start[count[end] - count[start] >= LEAST_BASE64]
+
+
 def _places(data: bytes, word: bytes) -> list[int]:
     out, at = [], data.find(word)
     while at >= 0:
