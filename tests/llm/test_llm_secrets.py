@@ -148,6 +148,51 @@ def test_long_runs_end():
     assert scan.scan("/" * 1_000_000 + "A" * 1_000_000 + "-A_A" * 200_000)[1] == []
 
 
+WORDS = b"some plain words of a dump, line by line, with nothing to be found in them\n"
+LONG = WORDS * 225_000  # over a layer's bytes
+
+
+@pytest.mark.parametrize(
+    "pack, text",
+    [
+        (zlib.compress, LONG + SECRET.encode()),
+        (gzip.compress, SECRET.encode() + LONG),
+        (zstd_stream, LONG + B64(SECRET.encode()).encode() + b"\n" + LONG[:999]),
+        (lambda s: gzip.compress(s[:99]) + gzip.compress(s[99:]), LONG.replace(b"\n", b" ") + SECRET.encode()),
+    ],
+)
+def test_long_layers(pack, text):
+    inner = B64(pack(text))
+    _, spans, _, streamed = scan.scan_counted(f"x {inner} tail")
+    assert (2, 2 + len(inner.rstrip("=")), 0) in spans and streamed
+
+
+def test_long_layers_without_a_secret():
+    assert scan.scan_counted(B64(zlib.compress(LONG)))[1:] == ([], 0, 1)
+    assert scan.scan_counted(B64(zlib.compress(b"password=abcdef1234567890zz" * 2_000_000)))[1][0][2] == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        lambda n: B64(WORDS * n + SECRET.encode()).encode(),
+        lambda n: wrapped(WORDS * n + SECRET.encode(), 76).encode(),
+        lambda n: b"see /v1/" + B64(WORDS * n + SECRET.encode()).encode(),
+        lambda n: B64(zlib.compress(np.random.default_rng(4).bytes(50 * n).hex().encode().upper() + b" " + SECRET.encode(), 0)).encode(),
+        lambda n: b"".join(b"%%%02X" % c for c in WORDS.replace(b"\n", b" ") * n + SECRET.encode()),
+        lambda n: b"".join(b"&#%d;" % c for c in WORDS.replace(b"\n", b" ") * n + SECRET.encode()),
+        lambda n: b"password" + b" " * 80 * n + b"= abcdef1234567890zz",
+    ],
+)
+def test_streams_without_a_cut(text, monkeypatch):
+    monkeypatch.setattr(scan, "LAYER_BYTES", 20_000)
+    monkeypatch.setattr(scan, "STREAM_BYTES", 5_000)
+    monkeypatch.setattr(scan, "UNWRAP_BYTES", 1_000)
+    data = text(1_000)
+    step = lambda: (data[i : i + 3_000] for i in range(0, len(data), 3_000))
+    assert 0 in scan._stream_kinds(step)
+
+
 def test_spans_map_to_characters():
     text = "x " + SECRET.replace("a", "%61")
     _, spans, _ = scan.scan(text)

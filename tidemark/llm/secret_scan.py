@@ -18,7 +18,8 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX, LEAST_BASE64 = 12, 18, 16, 16
-#: A decompressed layer may be this long; longer ones are no text to scan but a decompression bomb.
+#: A decompressed layer may be this long; longer ones are not held but scanned as a stream.
 LAYER_BYTES = 16 << 20
+#: Of a stream, so much is scanned at once if it can be cut, and so much of a long line is decoded at once.
+STREAM_BYTES, UNWRAP_BYTES = 4 << 20, 1 << 18
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|%u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
@@ -46,14 +49,44 @@ _PART = re.compile(r"[/_-]")
 _ODD = re.compile(r"([\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]+)")
 _NO_TEXT = frozenset([*range(0x80, 0xC2), *range(0xF5, 0x100)])  # begin no UTF-8 character
 _LINE = re.compile(r"[^\n]+")
+_MARK = re.compile(rb"[%\\&]")
+_BASE64_BYTE = re.compile(rb"[A-Za-z0-9+/_-]")
+_NOT_BASE64 = re.compile(rb"[^A-Za-z0-9+/_-]+")
+_RUN_END = re.compile(rb"[!-*,.:-@\[-^`{-~\xc2-\xf4]|(?<!\s)[ \t]+(?=[^\s])")
+_LAST_WORD = re.compile(rb"(?:[^\sA-Za-z0-9+/_-]|[^\s][ \t])([A-Za-z0-9+/_-]+)\Z")
+_FIRST_WORD = re.compile(rb"([A-Za-z0-9+/_-]+)(?:[^\sA-Za-z0-9+/_-]|[ \t]+[^\s])")
+_START = re.compile(rb"(?:^|[/_-]|[\r\n][ \t]*)(?=[A-Za-z0-9+/_-])")
 
-SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long"
+SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, n_streamed long"
+
+
+class Streamed:
+    """What was found in a layer too long to be held: the kinds, and the span that it comes from."""
+
+    def __init__(self, kinds: set[int], begin: int, end: int):
+        self.kinds, self.begin, self.end = kinds, begin, end
+
+
+class Same:
+    """A sequence of one value."""
+
+    def __init__(self, value: int, size: int):
+        self.value, self.size = value, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, i):
+        return Same(self.value, len(range(self.size)[i])) if isinstance(i, slice) else self.value
+
+    def __iter__(self) -> Iterator[int]:
+        return repeat(self.value, self.size)
 
 
 class Layer:
     """A text with, for each character, its place in the original."""
 
-    def __init__(self, text: str, begin: list[int] | range, end: list[int] | range):
+    def __init__(self, text: str, begin: list[int] | range | Same, end: list[int] | range | Same):
         self.text, self.begin, self.end = text, begin, end
 
     def span(self, a: int, z: int) -> tuple[int, int]:
@@ -87,27 +120,35 @@ class Inflated:
     Then ``rest`` is what follows them, or begins with a damaged one; what came before the damage is kept.
     """
 
-    def __init__(self, data: bytes):
-        self.data, self.at = data, 0
+    def __init__(self, data: bytes, more: Iterator[bytes] = iter(())):
+        self.data, self.at, self.more = data, 0, more
+
+    def _ahead(self, size: int) -> bytes:
+        """The next ``size`` bytes, fewer at the end."""
+        while len(self.data) - self.at < size and (piece := next(self.more, None)) is not None:
+            self.data, self.at = self.data[self.at :] + piece, 0
+        return self.data[self.at : self.at + size]
 
     @property
     def rest(self) -> bytes:
         return self.data[self.at :]
 
     def __iter__(self) -> Iterator[bytes]:
-        while known := _format(self.data[self.at : self.at + 4]):
+        while known := _format(self._ahead(4)):
             make, feed = known
-            member, at = make(), self.at
+            member = make()
+            before = self.at
             try:
-                while at < len(self.data) and not member.eof:
-                    piece = member.decompress(self.data[at : at + feed])
-                    at = min(at + feed, len(self.data))
+                while not member.eof and (fed := self._ahead(feed)):
+                    piece = member.decompress(fed)
+                    self.at += len(fed)
                     if piece:
                         yield piece
             except (zlib.error, zstandard.ZstdError):
+                self.at = before
                 return
-            self.at = at - len(member.unused_data)
-            while self.data[self.at : self.at + 1] == b"\0":  # gzip may be padded
+            self.at -= len(member.unused_data)
+            while self._ahead(1) == b"\0":  # gzip may be padded
                 self.at += 1
 
 
@@ -122,15 +163,165 @@ def _format(head: bytes):
     return None
 
 
-def _inflated(data: bytes) -> tuple[bytes, bytes]:
-    """(decompressed bytes, none if over LAYER_BYTES; the bytes that are in no known format)."""
+def _inflated(data: bytes) -> tuple[bytes, bytes, set[int] | None]:
+    """(decompressed bytes; the bytes that are in no known format; kinds found in what is longer than LAYER_BYTES, else None)."""
     source, out, size = Inflated(data), [], 0
     for piece in source:
+        out.append(piece)
         size += len(piece)
         if size > LAYER_BYTES:
-            return b"", b""
-        out.append(piece)
-    return b"".join(out), source.rest
+            kinds = _stream_kinds(lambda: iter(Inflated(data)))
+            for _ in source:
+                pass
+            return b"", source.rest, kinds
+    return b"".join(out), source.rest, None
+
+
+def _stream_kinds(source: Callable[[], Iterator[bytes]]) -> set[int]:
+    """Kinds of the secrets in a text and its layers that is too long to be held; ``source`` reads it from its begin.
+
+    It is cut where no rule and no encoding goes on, and the pieces are scanned.  A line or a wrapped
+    run longer than LAYER_BYTES is cut with an overlap for the rules, and is then read once more through
+    its decoders as a stream of its own.
+    """
+    kinds: set[int] = set()
+    held, at, tail = b"", 0, b""
+    line = run = None  # where a long line or wrapped block, and a long base64 run in it, begin
+    marked = False
+    pieces = source()
+    while len(kinds) < len(KINDS):
+        piece = next(pieces, None)
+        held += piece or b""
+        if piece is not None and len(held) < STREAM_BYTES:
+            continue
+        while held and len(kinds) < len(KINDS):
+            cut = len(held) if piece is None else _line_cut(held)
+            whole, inner = bool(cut), False
+            if not whole:
+                if len(held) <= LAYER_BYTES:
+                    break
+                line = at if line is None else line
+                ends = []
+                for near in (1 << 12, len(held)):
+                    ends = ends or [m.start() for m in _RUN_END.finditer(held, max(1, len(held) - near)) if _no_escape(held, m.start())]
+                inner, cut = bool(ends), ends[-1] if ends else len(held) - 64
+            part = held[:cut]
+            if run is not None and (stop := _RUN_END.search(part)) or run is not None and whole:
+                kinds |= _run_kinds(source, run, at + (stop.start() if stop else cut))
+                run = None
+            if not whole and not inner and run is None and (first := _BASE64_BYTE.search(held)):
+                run = at + first.start()
+            kinds |= _text_kinds(tail + part)
+            if line is not None:
+                marked = marked or _MARK.search(part) is not None
+                tail += part
+                tail = (re.sub(b" +", b" ", tail) if b" " * 64 in tail else tail)[-256:]
+            held, at = held[cut:], at + cut
+            if whole and line is not None:
+                if marked:
+                    for unwrap in (unwrap_percent, unwrap_escapes):
+                        if _unwrapped(source, line, at, unwrap, True):
+                            kinds |= _stream_kinds(lambda a=line, z=at, u=unwrap: _unwrapped(source, a, z, u))
+                line, marked, tail = None, False, b""
+        if piece is None:
+            break
+    return kinds
+
+
+def _text_kinds(data: bytes) -> set[int]:
+    text = data.decode(errors="replace")
+    if (text.count("\ufffd") + sum(map(len, _ODD.findall(text)))) * 20 > len(text):
+        return set()
+    return {kind for _, _, kind in scan_counted(text, placed=False)[1]}
+
+
+def _line_cut(data: bytes) -> int:
+    """The last line's start that no wrapped run crosses, 0 if there is none."""
+    at = data.rfind(b"\n", 0, -1)
+    while at >= 0:
+        before, after = data[max(0, at - 256) : at].rstrip(b" \t\r"), data[at + 1 : at + 257].lstrip(b" \t")
+        if before and after:
+            if not (_BASE64_BYTE.match(before[-1:]) and _BASE64_BYTE.match(after)):
+                return at + 1
+            a, z = _LAST_WORD.search(before[-32:]), _FIRST_WORD.match(after)
+            if a and z and len(a[1]) + len(z[1]) < LEAST_BASE64:  # two words, no run
+                return at + 1
+        at = data.rfind(b"\n", 0, at)
+    return 0
+
+
+def _no_escape(data: bytes, at: int) -> bool:
+    """Whether no escape goes on at a place: one begins there, or none before it is near."""
+    return data[at] in b"%\\&" or not _MARK.search(data, max(0, at - 12), at)
+
+
+def _slice(pieces: Iterator[bytes], a: int, z: int) -> Iterator[bytes]:
+    at = 0
+    for piece in pieces:
+        if at >= z:
+            return
+        if at + len(piece) > a:
+            yield piece[max(0, a - at) : z - at]
+        at += len(piece)
+
+
+def _unwrapped(source, a: int, z: int, unwrap, only_whether: bool = False):
+    """The stretch from a to z with its escapes decoded, in pieces that end before a mark; or whether it has any."""
+
+    def decoded(data: bytes) -> Layer | None:
+        text = data.decode(errors="replace")
+        return unwrap(Layer(text, range(len(text)), range(1, len(text) + 1)))
+
+    def pieces() -> Iterator[tuple[bytes, bool]]:
+        held = b""
+        for piece in _slice(source(), a, z):
+            held += piece
+            while len(held) > UNWRAP_BYTES:
+                cut = max(held.rfind(m, 1, UNWRAP_BYTES) for m in (b"%", b"\\", b"&"))
+                cut = cut if cut > 0 else UNWRAP_BYTES - 16
+                while cut > 1 and held[cut] & 0xC0 == 0x80:
+                    cut -= 1
+                yield held[:cut]
+                held = held[cut:]
+        yield held
+
+    if only_whether:
+        return any(decoded(p) is not None for p in pieces())
+    return ((new.text.encode("utf-8", "replace") if (new := decoded(p)) else p) for p in pieces())
+
+
+def _base64_stream(pieces: Iterator[bytes], shift: int = 0) -> Iterator[bytes]:
+    held = b""
+    for piece in pieces:
+        held += _NOT_BASE64.sub(b"", piece)
+        if shift and len(held) >= shift:
+            held, shift = held[shift:], 0
+        size = len(held) // 4 * 4
+        if size and not shift:
+            yield _base64_bytes(held[:size].decode())
+            held = held[size:]
+    yield _base64_bytes(held.decode())
+
+
+def _run_kinds(source, a: int, z: int) -> set[int]:
+    """Kinds in what a long base64 run holds: text in each alignment, and what is compressed from a start on."""
+    kinds: set[int] = set()
+    for shift in range(4):
+        kinds |= _stream_kinds(lambda: _base64_stream(_slice(source(), a, z), shift))
+    held, at, opened = b"", a, set()
+    for piece in chain(_slice(source(), a, z), [b""]):
+        held += piece
+        for m in _START.finditer(held):
+            if m.end() + 4096 > len(held) and piece or at + m.end() in opened or (m.start() == 0 and m.end() == 0 and at > a):
+                continue
+            head = _base64_bytes(_NOT_BASE64.sub(b"", held[m.end() : m.end() + 4096]).decode())
+            if _format(head[:4]) and any(True for _ in Inflated(head)):
+                opened.add(at + m.end())
+                begin = at + m.end()
+                kinds |= _stream_kinds(lambda: iter(Inflated(b"", _base64_stream(_slice(source(), begin, z)))))
+        if len(held) > 8192:
+            held, at = held[-8192:], at + len(held) - 8192
+    return kinds
 
 
 def unwrap_percent(layer: Layer) -> Layer | None:
@@ -195,13 +386,21 @@ def _replaced(layer: Layer, pattern: re.Pattern, one) -> Layer | None:
     return Layer(text, begin + list(layer.begin[last:]), end + list(layer.end[last:])) if text != layer.text else None
 
 
-def unwrap_base64(layer: Layer) -> Iterator[Layer]:
+def unwrap_base64(layer: Layer) -> Iterator[Layer | Streamed]:
     """A layer for each base64 run that decodes to text or to compressed text, also for runs wrapped over lines.
 
     Of a run that does not decode as a whole, what decodes from a line's start or after one of ``/-_`` is taken.
     """
+    barren: set[str] = set()  # short runs that gave nothing need not be tried again
     for run, lines, places in _base64_runs(layer.text):
-        yield from _run_layers(layer, run, lines, places)
+        if len(lines) == 1 and run in barren:
+            continue
+        empty = True
+        for new in _run_layers(layer, run, lines, places):
+            empty = False
+            yield new
+        if empty and len(lines) == 1 and len(run) <= 256 and len(barren) < 10_000:
+            barren.add(run)
 
 
 def _base64_runs(text: str) -> Iterator[tuple[str, list[int], list[int]]]:
@@ -225,13 +424,15 @@ def _base64_bytes(run: str) -> bytes:
     return base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
 
 
-def _run_layers(layer: Layer, run: str, lines: list[int], places: list[int]) -> Iterator[Layer]:
+def _run_layers(layer: Layer, run: str, lines: list[int], places: list[int]) -> Iterator[Layer | Streamed]:
     def place(i: int) -> int:
         k = bisect_right(lines, i) - 1 if len(lines) > 1 else 0
         return places[k] + i - lines[k]
 
     def mapped(text: str, start: int, at: int = 0) -> Layer:
         """The layer of a text whose first byte is byte ``at`` of what the run holds from ``start``."""
+        if isinstance(layer.begin, Same) and isinstance(layer.end, Same):
+            return Layer(text, Same(layer.begin.value, len(text)), Same(layer.end.value, len(text)))
         begin, end = [], []
         for c in text:  # byte i takes bits 8i to 8i + 8, six to a base64 character
             size = len(c.encode())
@@ -240,19 +441,22 @@ def _run_layers(layer: Layer, run: str, lines: list[int], places: list[int]) ->
             end.append(layer.end[place(start + (8 * at + 5) // 6 - 1)])
         return Layer(text, begin, end)
 
-    def unpacked(parts: tuple[bytes, ...], start: int) -> Iterator[Layer]:
+    def unpacked(parts: tuple[bytes, ...], kinds: set[int] | None, start: int) -> Iterator[Layer | Streamed]:
+        a, z = layer.span(place(start), place(len(run) - 1) + 1)
+        if kinds is not None:
+            yield Streamed(kinds, a, z)
         for part in parts:
             text = _decoded(part)
             if text:
-                a, z = layer.span(place(start), place(len(run) - 1) + 1)
-                yield Layer(text, [a] * len(text), [z] * len(text))
+                yield Layer(text, Same(a, len(text)), Same(z, len(text)))
 
     done = 0
     if len(run) % 4 != 1:
         data = _base64_bytes(run)
-        plain, rest = _inflated(data)
-        done = 8 * (len(data) - len(rest)) // 6
-        yield from unpacked((plain, rest if done else b""), 0)
+        plain, rest, kinds = _inflated(data)
+        if plain or kinds is not None:
+            done = 8 * (len(data) - len(rest)) // 6
+        yield from unpacked((plain, rest if done else b""), kinds, 0)
         if done and (not rest or _decoded(rest)):
             return
         if not done and (text := _decoded(data)):
@@ -266,8 +470,8 @@ def _run_layers(layer: Layer, run: str, lines: list[int], places: list[int]) ->
         if head[0] in _NO_TEXT and not _format(head[:4]):
             continue
         if _format(head[:4]) and any(True for _ in Inflated(_base64_bytes(run[start : start + 2048]))):
-            plain, rest = _inflated(_base64_bytes(run[start:]))
-            yield from unpacked((plain, rest), start)
+            plain, rest, kinds = _inflated(_base64_bytes(run[start:]))
+            yield from unpacked((plain, rest), kinds, start)
         text = _leading_text(run, start)
         until[start % 4] = start + 8 * len(text.encode()) // 6
         at = 0
@@ -295,10 +499,19 @@ def _leading_text(run: str, start: int) -> str:
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
-    """(base spans, all spans, layers unwrapped) of a text."""
+    """(base spans, all spans, layers unwrapped and held) of a text."""
+    return scan_counted(text)[:3]
+
+
+def scan_counted(text: str, placed: bool = True) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
+    """What ``scan`` gives, and the number of layers too long to be held, which were scanned as streams.
+
+    Unless ``placed``, the spans found in layers are not the places but only tell the kinds.
+    """
     base = base_spans(text)
-    spans, layers = set(base), 0
-    whole = Layer(text, range(len(text)), range(1, len(text) + 1))
+    spans, layers, streamed = set(base), 0, 0
+    n = len(text)
+    whole = Layer(text, range(n), range(1, n + 1)) if placed else Layer(text, Same(0, n), Same(1, n))
     seen: set[tuple] = set()
     work = [whole]
     while work:
@@ -310,13 +523,17 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
                     if any(c in line[0] for c in marks) and (new := unwrap(layer.part(line.start(), line.end()))):
                         found.append(new)
         for new in found:
+            if isinstance(new, Streamed):
+                streamed += 1
+                spans.update((new.begin, new.end, kind) for kind in new.kinds)
+                continue
             key = (hashlib.sha256(new.text.encode("utf-8", "replace")).digest(), new.span(0, len(new.text)))
             if key not in seen:
                 seen.add(key)
                 layers += 1
                 spans.update((*new.span(a, z), kind) for a, z, kind in base_spans(new.text))
                 work.append(new)
-    return base, sorted(spans, key=lambda s: (s[0], s[2], s[1])), layers
+    return base, sorted(spans, key=lambda s: (s[0], s[2], s[1])), layers, streamed
 
 
 def spans_text(spans: list[tuple[int, int, int]]) -> str:
@@ -375,13 +592,14 @@ def _places(data: bytes, word: bytes) -> list[int]:
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_layers of every row of ``docs``.
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_layers and n_streamed of every row of ``docs``.
 
     The counts and the digest are of the base spans, ``spans`` lists those and the spans found in
-    layers.  Null and empty texts have none; repeated rows give equal rows; null ids stay null;
+    layers.  ``n_streamed`` counts layers over LAYER_BYTES, which are not held but scanned as streams and
+    are not in ``n_layers``; what they hold has the span of the run that they come from.  Null and empty texts have none; repeated rows give equal rows; null ids stay null;
     other columns are ignored; an empty table gives no rows.
     """
-    nothing = (0, 0, 0, hashlib.sha256(b"").hexdigest(), "", 0)
+    nothing = (0, 0, 0, hashlib.sha256(b"").hexdigest(), "", 0, 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -389,13 +607,13 @@ def scan_documents(docs: DataFrame) -> DataFrame:
             rows = [nothing] * batch.num_rows
             for lo, _, data, offsets in text_slices(texts):
                 for r in marked_rows(data, offsets):
-                    base, spans, layers = scan(texts[lo + int(r)].as_py() or "")
+                    base, spans, layers, streamed = scan_counted(texts[lo + int(r)].as_py() or "")
                     n = [sum(s[2] == k for s in base) for k in range(3)]
-                    rows[lo + int(r)] = (*n, hashlib.sha256(spans_text(base).encode()).hexdigest(), spans_text(spans), layers)
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
+                    rows[lo + int(r)] = (*n, hashlib.sha256(spans_text(base).encode()).hexdigest(), spans_text(spans), layers, streamed)
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()] * 2
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *columns], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers"]
+                [batch.column("doc_id"), *columns], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers", "n_streamed"]
             )
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
