@@ -1,5 +1,6 @@
 """Mixing: targets by the rule's own rounds, takes near the targets, reruns, edges."""
 
+import hashlib
 import re
 
 import numpy as np
@@ -69,6 +70,23 @@ def test_inclusion_follows_the_weights(spark):
     assert 1.3 < short / long < 3.2  # the fourth root of 16 is 2
 
 
+def test_fill_goes_on_until_nothing_fits(spark):
+    """Each round takes one document and is ended by the next, so the gap falls to 0.4 of itself: eight rounds to the tolerance."""
+    gap, sizes = 20_000, []
+    while gap > 15:
+        take = gap * 6 // 10
+        sizes += [take, gap // 2]
+        gap -= take
+    total = 20_000 * 8 // 3  # the third of three equal sources gets 3/8 of its size
+    sizes.append(total - sum(sizes))
+    ids = sorted(range(len(sizes)), key=lambda i: hashlib.md5(f"{mixing.SEED}:{i}".encode()).hexdigest())
+    docs = [(i, "w " * n, "c") for i, n in zip(ids, sizes)] + [(100, "w " * total, "a"), (101, "w " * total, "b")]
+    table = spark.createDataFrame([(i, *d) for i, d in enumerate(docs)], "_row long, doc_id long, text string, source string")
+    rows = mixing.mix(table, "_row", inclusion=lambda size: F.lit(1.0)).where("source_size > 0").collect()
+    rows = [r for r in rows if r.doc_id < 100]
+    assert 0 <= rows[0].target - sum(r.taken for r in rows) <= mixing.TOLERANCE * rows[0].target
+
+
 def test_edges(spark, tmp_dir):
     rows = op3_mixing(spark, write(tmp_dir, EDGE_DOCS)).collect()
     assert len(rows) == len(EDGE_DOCS)

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from .common import WORD, materialise, small
 
 TOLERANCE = 0.001
-MAX_ROUNDS = 6
 SEED = "mix"
 
 
@@ -127,7 +126,7 @@ def mix(
 
     done = [ranked.where("part = 0").withColumn("extra", F.lit(0))]
     left, gaps = ranked.where("part > 0"), needs.select("source", "target", "gap")
-    for _ in range(MAX_ROUNDS):
+    while True:  # a round decides at least one row of each source that has any left
         left, chosen = _front(left, gaps)
         done.append(chosen)
         won = chosen.where("extra = 1").groupBy("source").agg(F.sum("size").alias("won"))
