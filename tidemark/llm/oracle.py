@@ -39,3 +39,17 @@ reach AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT y, r
 SELECT node AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(root) AS component_id
 FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node
 """
+
+ORACLE_SQL["op13_fill_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::UBIGINT::BIGINT) AS h FROM d),
+c AS (SELECT doc_id, t, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+    WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+    ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM c
+"""

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, ngram_join, quality, secret_scan, sharding, token_blocks, toxicity, warc
+from . import chat, decontaminate, fill_middle, mixing, ngram_join, quality, secret_scan, sharding, token_blocks, toxicity, warc
 from .common import read, with_rows
 
 
@@ -66,6 +66,10 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(read(spark, sf_dir, "documents", "doc_id", "text"), outputs=False)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_ngram_join": op2_ngram_join,
@@ -77,4 +81,5 @@ QUERIES = {
     "op8_token_blocks": op8_token_blocks,
     "op9_jump_shards": op9_jump_shards,
     "op10_leaks": op10_leaks,
+    "op13_fill_middle": op13_fill_middle,
 }
