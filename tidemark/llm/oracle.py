@@ -40,6 +40,30 @@ SELECT node AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles
 FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node
 """
 
+# crc32(c) % 4, bit by bit over the decimal digits; 3988292384 is the reversed polynomial
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(c::VARCHAR, ''),
+  lambda ch: list_transform(range(0, 8), lambda i: (ascii(ch) >> i::INT) & 1)))),
+  lambda a, b: xor(a >> 1, CASE WHEN xor(a & 1, b) = 1 THEN 3988292384 ELSE 0 END))"""
+
+ORACLE_SQL["op12_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id AS c, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS s,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({{'s': s, 'w': w}} ORDER BY turn NULLS FIRST, s) AS ts FROM t GROUP BY c),
+hs AS (SELECT c, ts, (xor({_CRC}, 4294967295) % 4)::INT AS h FROM own),
+full_ AS (SELECT hs.c, list_concat(coalesce(b.ts, [])[1:h], hs.ts[h + 1:]) AS ts FROM hs LEFT JOIN own b ON b.c = hs.c - hs.c % 20),
+keys AS (SELECT c, ts, list_transform(range(0, len(ts) + 1), lambda d: sha256(array_to_string(list_transform(ts[1:d], lambda x: x.s), ''))) AS k FROM full_),
+m AS (SELECT c, unnest(range(0, len(ts) + 1)) AS d, unnest(k) AS key, len(ts) AS n, ts FROM keys),
+node AS (SELECT key, d, min(c) AS c, count(*) AS n_convs, coalesce(sha256(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d)), sha256('')) AS ends,
+    any_value(CASE WHEN d > 0 THEN ts[d].w ELSE 0 END) AS w FROM m GROUP BY key, d),
+up AS (SELECT node.*, m.key AS anc, m.d AS anc_d FROM node JOIN m ON m.c = node.c AND m.d <= node.d),
+kids AS (SELECT anc AS key, count(*) AS n_children FROM up WHERE anc_d = d - 1 GROUP BY anc),
+sums AS (SELECT anc AS key, sum((n_convs - 1) * w)::BIGINT AS saved, count(*) FILTER (up.key NOT IN (SELECT key FROM kids)) AS n_leaves FROM up GROUP BY anc),
+par AS (SELECT up.key, p.c AS parent FROM up JOIN node p ON p.key = up.anc WHERE anc_d = up.d - 1)
+SELECT node.c AS conv_id, node.d AS depth, par.parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+  saved AS saved_tokens, ends AS ends_sha256
+FROM node JOIN sums USING (key) LEFT JOIN kids USING (key) LEFT JOIN par USING (key)
+"""
+
 ORACLE_SQL["op13_fill_middle"] = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
 u AS (SELECT doc_id, t, n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::UBIGINT::BIGINT) AS h FROM d),
