@@ -40,6 +40,16 @@ SELECT node AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles
 FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node
 """
 
+# the given pages mark their article and know five character references
+ORACLE_SQL["op11_host_suffixes"] = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
+b AS (SELECT page_id, url, string_split_regex(regexp_replace(regexp_replace(body, '<br>', ' ', 'g'), '</?(b|i|em|strong|a|span)>', '', 'g'), '<[^>]*>') AS parts FROM a),
+c AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM b),
+d AS (SELECT page_id, url, coalesce(array_to_string(blocks, chr(10)), '') AS text FROM c)
+SELECT page_id, url, text, length(text) AS n_chars FROM d
+"""
+
 # crc32(c) % 4, bit by bit over the decimal digits; 3988292384 is the reversed polynomial
 _CRC = """list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(c::VARCHAR, ''),
   lambda ch: list_transform(range(0, 8), lambda i: (ascii(ch) >> i::INT) & 1)))),

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fill_middle, mixing, ngram_join, prefix_trie, quality, secret_scan, sharding, token_blocks, toxicity, warc
+from . import chat, decontaminate, fill_middle, host_suffixes, mixing, ngram_join, prefix_trie, quality, secret_scan, sharding, token_blocks, toxicity, warc
 from .common import read, with_rows
 
 
@@ -66,6 +66,10 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_suffixes.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return prefix_trie.prefix_trie(prefix_trie.share_heads(prefix_trie.paths_of(turns), every=20, most=3))
@@ -86,6 +90,7 @@ QUERIES = {
     "op8_token_blocks": op8_token_blocks,
     "op9_jump_shards": op9_jump_shards,
     "op10_leaks": op10_leaks,
+    "op11_host_suffixes": op11_host_suffixes,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_fill_middle": op13_fill_middle,
 }
