@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,30 @@ def read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols)
 
 
+#: Rows and bytes that go to a Python worker at once.  A batch is held several times over: by the JVM, which keeps
+#: such buffers for later ones, and by the worker.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside use ``BATCHES``; the session's own settings stay."""
+    before = {key: spark.conf.get(key, None) for key in BATCHES}
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """``df`` written under spark.checkpoint.dir and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
