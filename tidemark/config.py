@@ -44,6 +44,10 @@ class PipelineConfig:
     # (this Spark version's default); "current" by the current one (stricter)
     late_policy: str = "previous"
 
+    # A message key that comes again within the watermark counts once.
+    # Off by default: a retried message then counts as often as it is sent.
+    drop_repeats: bool = False
+
     # storage
     warehouse_path: str | None = None
     checkpoint_path: str | None = None
@@ -119,6 +123,7 @@ class PipelineConfig:
             watermark=_env("TIDEMARK_WATERMARK", base.watermark),
             window=_env("TIDEMARK_WINDOW", base.window),
             burst_threshold=int(_env("TIDEMARK_BURST_THRESHOLD", str(base.burst_threshold))),
+            drop_repeats=_env("TIDEMARK_DROP_REPEATS", "").lower() in ("1", "true", "yes"),
             warehouse_path=os.environ.get("TIDEMARK_WAREHOUSE") or base.warehouse_path,
             checkpoint_path=os.environ.get("TIDEMARK_CHECKPOINT") or base.checkpoint_path,
             lookup_path=os.environ.get("TIDEMARK_LOOKUP_CSV") or base.lookup_path,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import DEFAULT, PipelineConfig
 from ..schemas import PARSE_SCHEMA, RAW_EVENT_SCHEMA
@@ -100,15 +101,21 @@ def delivered_type(type_col: Column | str, max_len: int) -> Column:
     return F.substring(F.coalesce(F.nullif(stripped, F.lit("")), F.lit(UNKNOWN_TYPE)), 1, max_len)
 
 
-def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAULT, keep: tuple[str, ...] = ()) -> DataFrame:
+def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAULT, keep: tuple[str, ...] = (),
+                 observe: str | None = None) -> DataFrame:
     """Raw JSON text -> typed, cleaned event rows.
 
     Output: ``wiki, bot, event_unix_ts, event_unix_sec, event_ts, is_minor,
     event_type`` plus any ``keep`` columns passed through.  Rows with a null
     wiki, null timestamp or unusable event time are dropped; an empty wiki is
-    kept.
+    kept.  With ``observe`` the dropped rows are counted by reason, as observed
+    metrics of that name.
     """
-    fields = parsed_columns(df, raw, keep)
+    if observe:
+        flagged = flag_events(df, raw, keep).observe(observe, *drop_counts())
+        fields = flagged.filter(F.col("drop_reason").isNull())
+    else:
+        fields = parsed_columns(df, raw, keep)
     # the raw text is not carried past this projection
     projected = fields.select(
         *[F.col(c) for c in keep],
@@ -133,3 +140,36 @@ def parse_events(df: DataFrame, raw: str = "raw", config: PipelineConfig = DEFAU
     return cleaned.select(
         *keep, "wiki", "bot", "event_unix_ts", "event_unix_sec", "event_ts", "is_minor", "event_type"
     )
+
+
+#: Why parsing drops a row, in the order the rules apply.
+DROP_REASONS = ("malformed", "no_wiki", "no_timestamp", "bad_time")
+_CORRUPT = "_corrupt_record"
+
+
+def flag_events(df: DataFrame, raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every raw row with its parsed fields and ``drop_reason``, null for the rows that ``parse_events`` keeps.
+
+    ``malformed`` is a text that gives none of the fields and is no object of this schema, null included;
+    ``bad_time`` an event time outside the years 0001-9999.  The text is parsed once.
+    """
+    schema = StructType([*PARSE_SCHEMA.fields, StructField(_CORRUPT, StringType())])
+    read = F.from_json(F.col(raw), schema, {"columnNameOfCorruptRecord": _CORRUPT})
+    fields = df.select(*[F.col(c) for c in dict.fromkeys((*keep, raw))], F.inline(F.array(read)))
+    seconds = epoch_seconds("timestamp")
+    nothing = F.coalesce(*[F.col(f.name).cast("string") for f in PARSE_SCHEMA.fields]).isNull()
+    not_object = ~F.coalesce(F.ltrim(F.col(raw)).startswith("{"), F.lit(False))
+    empty = nothing & (not_object | F.col(_CORRUPT).isNotNull())
+    reason = (
+        F.when(empty, F.lit("malformed"))
+        .when(F.col("wiki").isNull(), F.lit("no_wiki"))
+        .when(F.col("timestamp").isNull(), F.lit("no_timestamp"))
+        .when(event_time(seconds).isNull(), F.lit("bad_time"))
+    )
+    return fields.withColumn("drop_reason", reason)
+
+
+def drop_counts() -> list[Column]:
+    """Aggregates over ``drop_reason``: rows read, and rows dropped for each reason."""
+    counts = [F.count_if(F.col("drop_reason").eqNullSafe(F.lit(r))).alias(r) for r in DROP_REASONS]
+    return [F.count(F.lit(1)).alias("rows"), *counts]

@@ -223,6 +223,21 @@ WHERE window_end <= (SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(MAX(sec
         "FROM ev ", "FROM ev, half WHERE NOT (sec < mid AND event_id % 7 = 0) ")) + f"""
 SELECT {TOTALS_OUT} FROM totals
 WHERE window_end <= (SELECT TIMESTAMP '1970-01-01 00:00:00' + to_seconds(MAX(sec)) FROM ev) - INTERVAL 2 MINUTE""",
+    "stream_flushed": _with(EV, LK, TOTALS) + f"SELECT {TOTALS_OUT} FROM totals",
+    "stream_dedup": _with(EV, LK, _totals_cte().replace(
+        "FROM ev ", "FROM (SELECT * FROM ev UNION ALL SELECT * FROM ev WHERE event_id % 350 = 0) AS ev ")) + f"""
+SELECT {TOTALS_OUT} FROM totals""",
+    "stream_late_rows": _with(EV, _HALVES) + f"""
+SELECT event_id, wiki, event_type, strftime({_window_end(86_400)}, {FMT}) AS window_end,
+       strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(newest - 120), {FMT}) AS watermark, CAST(2 AS BIGINT) AS batch_id
+FROM ev, half, (SELECT MAX(sec) AS newest FROM ev WHERE NOT (sec < (SELECT mid FROM half) AND event_id % 7 = 0))
+WHERE sec < mid AND event_id % 7 = 0 AND (sec // 86400 + 1) * 86400 <= newest - 120""",
+    "parse_drops": """
+WITH r AS (SELECT CASE WHEN event_id % 14 = 0 THEN 'malformed' WHEN event_id % 6 = 0 THEN 'no_wiki'
+                       WHEN event_id % 10 = 0 THEN 'no_timestamp' WHEN event_id % 97 = 0 THEN 'bad_time' END AS reason FROM events),
+names AS (SELECT unnest(['malformed', 'no_wiki', 'no_timestamp', 'bad_time']) AS reason)
+SELECT reason, CAST((SELECT COUNT(*) FROM r WHERE r.reason = names.reason) AS BIGINT) AS n FROM names
+UNION ALL SELECT 'rows', CAST(COUNT(*) AS BIGINT) FROM r""",
     "backfill_two_inputs": _with(EV, LK, TOTALS) + f"SELECT {TOTALS_OUT} FROM totals",
     "contract_kept_rows": _with(EV, LK, TOTALS) + f"""
 SELECT strftime(window_end, {FMT}) AS window_end, wiki,

@@ -35,7 +35,7 @@ from ..sinks.kafka import write_files
 from ..sinks.warehouse import read_rollup, write_batch
 from ..sources import synthetic
 from ..sources.feed import clean_feed
-from ..sources.files import events_stream
+from ..sources.files import events_stream, events_table_stream, text_stream
 from ..sources.lookup import dedupe_lookup, ensure_lookup_readable, lookup_from_tables, read_lookup_csv
 from ..sources.tables import spread, table
 from . import reports
@@ -316,17 +316,32 @@ def q_warehouse_scan(spark, sf_dir):
         drop_table(spark, name)
 
 
-def _streamed(spark: SparkSession, sf_dir: str, raw: DataFrame, paths: WarehousePaths) -> None:
-    """Run the streaming job on ``raw`` to the end of its input."""
+def _streamed(spark: SparkSession, sf_dir: str, raw: DataFrame, paths: WarehousePaths, config: PipelineConfig = QUERY_CONFIG):
+    """Run the streaming job on ``raw`` to the end of its input; the ended query."""
     from ..streaming.rollup_stream import start_pipeline
 
     query = start_pipeline(
         spark, raw, lambda: _lookup(spark, sf_dir), paths, f"{paths.root}/_checkpoint", run_id="stream",
-        config=QUERY_CONFIG, available_now=True,
+        config=config, available_now=True,
     )
+    return _ended(query)
+
+
+def _ended(query):
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+    return query
+
+
+def q_parse_drops(spark, sf_dir):
+    """ST10 / P5 / P8: the streaming job's rows read and rows dropped by reason, from its progress events."""
+    from ..streaming.monitor import parse_drops, sum_drops
+
+    paths = WarehousePaths(scratch_path(spark, "stream"))
+    query = _streamed(spark, sf_dir, _perturbed_raw(events_table_stream(spark, sf_dir)).select("raw"), paths)
+    drops = sum_drops(parse_drops(progress) for progress in query.recentProgress)
+    return spark.createDataFrame(sorted(drops.items()), "reason string, n long")
 
 
 def _totals_out(view: DataFrame) -> DataFrame:
@@ -394,6 +409,51 @@ def q_stream_restart(spark, sf_dir):
     return _totals_out(current_totals(spark, paths))
 
 
+def _flushed(spark: SparkSession, sf_dir: str, paths: WarehousePaths, config: PipelineConfig = QUERY_CONFIG) -> None:
+    from ..streaming.flush import flush_open_windows
+
+    flush_open_windows(spark, f"{paths.root}/_checkpoint", _lookup(spark, sf_dir), paths, "stream", config)
+
+
+def q_stream_flushed(spark, sf_dir):
+    """ST3 / S2: the two halves of the time range in two starts, the open windows flushed after each: every window is there once."""
+    paths = WarehousePaths(scratch_path(spark, "stream"))
+    events = table(spark, sf_dir, "events")
+    early = synthetic.epoch_micros(events) < events.agg(F.percentile_approx(synthetic.epoch_micros(events), 0.5)).scalar()
+    for at, half in enumerate((early, ~early)):
+        synthetic.raw_events(events.where(half), keep_id=False).write.text(f"{paths.root}/_input/part={at}")
+        _streamed(spark, sf_dir, text_stream(spark, f"{paths.root}/_input"), paths)
+        _flushed(spark, sf_dir, paths)
+    return _totals_out(current_totals(spark, paths))
+
+
+def q_stream_dedup(spark, sf_dir):
+    """Every seventh message comes again in a later batch and counts once; messages without a key all stay.
+
+    Every 50th event has lost its ids, so its second copy counts.  The delay spans the whole time range: no copy is late.
+    """
+    paths = WarehousePaths(scratch_path(spark, "stream"))
+    config = QUERY_CONFIG.with_(drop_repeats=True, watermark="400 days")
+    events = table(spark, sf_dir, "events")
+    raw = synthetic.raw_events_some_without_key(events)
+    for at, part in enumerate((raw, raw.where(F.col("event_id") % 7 == 0))):
+        part.select("raw").write.text(f"{paths.root}/_input/part={at}")
+        _streamed(spark, sf_dir, text_stream(spark, f"{paths.root}/_input"), paths, config)
+    _flushed(spark, sf_dir, paths, config)
+    return _totals_out(current_totals(spark, paths))
+
+
+def q_stream_late_rows(spark, sf_dir):
+    """ST4 / ST10: the events that come after their window closed, each with its window and the watermark it missed."""
+    from ..streaming.late_rows import late_rows, start_late_split
+
+    path = scratch_path(spark, "late")
+    folder = _event_files(spark, sf_dir, f"{path}/_input", 0, 2)
+    _ended(start_late_split(spark, _text_parts(spark, folder), path, f"{path}/_checkpoint", QUERY_CONFIG, available_now=True))
+    rows = late_rows(spark, path).withColumn("event_id", F.get_json_object("raw", "$.id").cast("bigint"))
+    return _all_ts_text(rows.select("event_id", "wiki", "event_type", "window_end", "watermark", F.col("batch_id").cast("bigint").alias("batch_id")))
+
+
 def q_backfill_two_inputs(spark, sf_dir):
     """Two backfills over inputs that share hours but no wiki; both stay."""
     paths = WarehousePaths(scratch_path(spark, "backfill"))
@@ -614,6 +674,10 @@ _ALL: dict[str, QueryFn] = {
     "stream_actions": q_stream_actions,
     "stream_multi_batch": q_stream_multi_batch,
     "stream_restart": q_stream_restart,
+    "stream_flushed": q_stream_flushed,
+    "stream_dedup": q_stream_dedup,
+    "stream_late_rows": q_stream_late_rows,
+    "parse_drops": q_parse_drops,
     # read-side reports
     "table_stats": q_table_stats,
     "lookback_totals": q_lookback_totals,

@@ -20,12 +20,17 @@ def text_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("raw"))
 
 
-def events_stream(spark: SparkSession, directory: str, file_glob: str = "events.parquet",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """The given ``events`` parquet file(s) of ``directory`` as a file stream,
-    turned into raw JSON events."""
+def events_table_stream(spark: SparkSession, directory: str, file_glob: str = "events.parquet",
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """The given ``events`` parquet file(s) of ``directory`` as a file stream."""
     schema = spark.read.option("pathGlobFilter", file_glob).parquet(directory).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return raw_events(reader.parquet(directory), keep_id=False)
+    return reader.parquet(directory)
+
+
+def events_stream(spark: SparkSession, directory: str, file_glob: str = "events.parquet",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """That stream turned into raw JSON events."""
+    return raw_events(events_table_stream(spark, directory, file_glob, max_files_per_trigger), keep_id=False)

@@ -65,6 +65,13 @@ def raw_events_with_type(events: DataFrame, type_col: Column) -> DataFrame:
     )
 
 
+def raw_events_some_without_key(events: DataFrame) -> DataFrame:
+    """``(event_id, raw)`` where every 50th event has neither ``meta`` nor ``id``: its message has no key."""
+    whole = event_struct(events)
+    raw = F.when(F.col("event_id") % 50 == 0, F.to_json(whole.dropFields("meta", "id"))).otherwise(F.to_json(whole))
+    return events.select("event_id", raw.alias("raw"))
+
+
 def id_forms(events: DataFrame) -> DataFrame:
     """``(event_id, raw)``: payload texts whose id takes each JSON form in turn (event_id % 12).
 

@@ -2,7 +2,8 @@
 
 A ``StreamingQueryListener`` turns each progress event into a flat row
 (batch id, input rows, rates, watermark, rows dropped by the watermark) and
-keeps the time of the last progress that had input.  ``stalled`` reports a
+keeps the time of the last progress that had input.  The rows that parsing
+dropped are counted by reason, from the metrics observed on the stream.  ``stalled`` reports a
 query whose input stopped for longer than a limit.  The dropped-row metric
 is Spark's own and is not an exact late-row count.
 """
@@ -12,11 +13,30 @@ from __future__ import annotations
 import datetime as _dt
 import threading
 import time
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 
+#: Name of the metrics that the parse of a streaming query is observed by.
+PARSE_METRICS = "parse"
+
+
+def parse_drops(progress) -> dict[str, int]:
+    """Rows read and rows dropped by reason of one progress event; empty if the query observes no parse."""
+    found = (getattr(progress, "observedMetrics", None) or {}).get(PARSE_METRICS)
+    return {k: int(v or 0) for k, v in found.asDict().items()} if found is not None else {}
+
+
+def sum_drops(drops: Iterable[dict[str, int]]) -> dict[str, int]:
+    total: dict[str, int] = {}
+    for one in drops:
+        for reason, n in one.items():
+            total[reason] = total.get(reason, 0) + n
+    return total
+
+
 def _dropped(progress) -> int:
     total = 0
     for op in progress.stateOperators or []:
@@ -32,6 +52,7 @@ class ProgressRecorder(StreamingQueryListener):
         self._last_input: dict[str, float] = {}
         self._started: dict[str, float] = {}
         self._totals: dict[str, list[int]] = {}  # query id -> [rows, batches] since the query started
+        self._drops: dict[str, dict[str, int]] = {}  # query id -> rows dropped by reason since the query started
         self.idle_events = 0
 
     # -- listener callbacks
@@ -57,6 +78,7 @@ class ProgressRecorder(StreamingQueryListener):
             total = self._totals.setdefault(row["query_id"], [0, 0])
             total[0] += row["num_input_rows"]
             total[1] += 1
+            self._drops[row["query_id"]] = sum_drops([self._drops.get(row["query_id"], {}), parse_drops(p)])
             if row["num_input_rows"] > 0:
                 self._last_input[row["query_id"]] = time.time()
 
@@ -77,6 +99,11 @@ class ProgressRecorder(StreamingQueryListener):
             rows, batches = self._totals.get(query_id, (0, 0))
         return rows, batches
 
+    def drops(self, query_id: str) -> dict[str, int]:
+        """Rows read and rows dropped by reason over the query's whole life."""
+        with self._lock:
+            return dict(self._drops.get(query_id, {}))
+
     def progress_frame(self, spark: SparkSession):
         """The newest kept progress rows (``keep``); ``totals`` covers all."""
         rows = self.rows()
@@ -106,9 +133,10 @@ def detach(spark: SparkSession, recorder: ProgressRecorder) -> None:
 
 
 def heartbeat(recorder: ProgressRecorder, query_id: str) -> str:
-    """One log line like the feed client's heartbeat: totals and rate."""
+    """One log line like the feed client's heartbeat: totals, rate, and rows dropped by reason if there are any."""
     rows = [r for r in recorder.rows() if r["query_id"] == query_id]
     total, batches = recorder.totals(query_id)
     rate = rows[-1]["input_rows_per_second"] if rows else 0.0
     stamp = _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
-    return f"{stamp} heartbeat rows={total} rate={rate:.1f}/s batches={batches}"
+    drops = "".join(f" {reason}={n}" for reason, n in recorder.drops(query_id).items() if n and reason != "rows")
+    return f"{stamp} heartbeat rows={total} rate={rate:.1f}/s{drops} batches={batches}"

@@ -31,6 +31,8 @@ from ..operators.rollups import aggregate_actions, finish_actions, totals_rollup
 from ..plans.backfill import WarehousePaths, check_contract, write_rollups
 from ..session import job_settings
 from ..sinks.warehouse import write_batch
+from .dedup import once_per_message
+from .monitor import PARSE_METRICS
 
 LATE_POLICY_CONF = "spark.sql.streaming.statefulOperator.allowMultiple"
 QUERY_ID_PROPERTY = "sql.streaming.queryId"  # set by Spark on the micro-batch thread
@@ -43,8 +45,10 @@ def set_late_policy(spark: SparkSession, strict: bool) -> None:
 
 
 def watermarked_events(raw_stream: DataFrame, config: PipelineConfig = DEFAULT) -> DataFrame:
-    """ST1: parsed events with the event-time watermark."""
-    return parse_events(raw_stream, config=config).withWatermark("event_ts", config.watermark)
+    """ST1: parsed events with the event-time watermark; with ``drop_repeats`` each message once."""
+    if config.drop_repeats:
+        return once_per_message(raw_stream, config)
+    return parse_events(raw_stream, config=config, observe=PARSE_METRICS).withWatermark("event_ts", config.watermark)
 
 
 def windowed_actions(raw_stream: DataFrame, config: PipelineConfig = DEFAULT) -> DataFrame:
