@@ -202,7 +202,8 @@ def test_job_program_end_to_end(spark, tmp_dir):
         fh.write("wiki_key,wiki_label,language\nenwiki,English Wikipedia,en\n")
     env = dict(os.environ, TIDEMARK_RAW_DIR=src, TIDEMARK_LOOKUP_CSV=lookup, TIDEMARK_AVAILABLE_NOW="1",
                TIDEMARK_WAREHOUSE=f"{tmp_dir}/wh", TIDEMARK_CHECKPOINT=f"{tmp_dir}/ck", TIDEMARK_WINDOW="1 minute",
-               TIDEMARK_WATERMARK="2 minutes", TIDEMARK_TOTALS_TABLE="job_totals", TIDEMARK_ACTIONS_TABLE="job_actions")
+               TIDEMARK_WATERMARK="2 minutes", TIDEMARK_TOTALS_TABLE="job_totals", TIDEMARK_ACTIONS_TABLE="job_actions",
+               TIDEMARK_CREATE_TABLES="1")
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-m", "tidemark.streaming.job"], cwd=repo, env=env,
                          capture_output=True, text=True, timeout=600)

@@ -59,6 +59,10 @@ class PipelineConfig:
     totals_table: str | None = None
     actions_table: str | None = None
 
+    # Statistics of every batch's hours beside its table (sketch of keys, time bounds):
+    # row estimates and newest rows then need no scan of the history
+    partition_stats: bool = False
+
     # K5 per batch: "report" lists rows that break the keyed-table contract
     # beside the warehouse (which keeps them), "fail" stops the batch, "off"
     # skips the check.  Delivery rejects such rows in any mode.
@@ -130,6 +134,7 @@ class PipelineConfig:
             max_files_per_trigger=int(os.environ.get("TIDEMARK_MAX_FILES_PER_TRIGGER") or 0) or None,
             totals_table=os.environ.get("TIDEMARK_TOTALS_TABLE") or base.totals_table,
             actions_table=os.environ.get("TIDEMARK_ACTIONS_TABLE") or base.actions_table,
+            partition_stats=_env("TIDEMARK_PARTITION_STATS", "").lower() in ("1", "true", "yes"),
             shuffle_partitions=int(os.environ.get("SPARK_SQL_SHUFFLE_PARTITIONS") or 0) or base.shuffle_partitions,
             state_store=os.environ.get("TIDEMARK_STATE_STORE") or base.state_store,
             lookback_minutes=int(_env("TIDEMARK_LOOKBACK_MINUTES", str(base.lookback_minutes))),

@@ -85,9 +85,9 @@ def write_rollups(
     with ThreadPoolExecutor(max_workers=2) as pool:
         pending = [
             pool.submit(write_batch, actions, paths.actions, run_id, batch_id, updated_at,
-                        config.write_partitions, config.actions_table),
+                        config.write_partitions, config.actions_table, config.partition_stats),
             pool.submit(write_batch, totals, paths.totals, run_id, batch_id, updated_at,
-                        config.write_partitions, config.totals_table),
+                        config.write_partitions, config.totals_table, config.partition_stats),
         ]
         for job in pending:
             job.result()

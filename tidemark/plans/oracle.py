@@ -200,6 +200,8 @@ FROM totals""",
 SELECT {ACTIONS_OUT},
        strftime(window_end + INTERVAL 3 MINUTE, {FMT}) AS updated_at, CAST(1 AS BIGINT) AS batch_id
 FROM actions""",
+    "current_incremental": _with(EV, LK, TOTALS) + f"""
+SELECT {TOTALS_OUT}, strftime(window_end + INTERVAL 4 MINUTE, {FMT}) AS updated_at, CAST(1 AS BIGINT) AS batch_id FROM totals""",
     "backfill_totals": _with(EV, LK, TOTALS) + f"SELECT {TOTALS_OUT} FROM totals",
     "backfill_actions": _with(EV, LK, ACTIONS) + f"SELECT {ACTIONS_OUT} FROM actions",
     "warehouse_scan": _with(EV, LK, TOTALS) + f"""
@@ -264,10 +266,8 @@ SELECT {TOTALS_OUT_UPDATED}, FALSE AS used_fallback FROM totals WHERE wiki = 'no
     "recent_actions": _with(EV, LK, ACTIONS) + f"""
 SELECT {ACTIONS_OUT_UPDATED} FROM actions ORDER BY window_end DESC, wiki, event_type LIMIT 200""",
     # all stored versions: the batch over even events, then the batch over all
-    "row_estimate": _with(EV) + f""",
-one AS (SELECT DISTINCT {_window_end(86_400)} AS window_end, wiki FROM ev WHERE event_id % 2 = 0),
-two AS (SELECT DISTINCT {_window_end(86_400)} AS window_end, wiki FROM ev)
-SELECT CAST((SELECT COUNT(*) FROM one) + (SELECT COUNT(*) FROM two) AS BIGINT) AS estimated_rows""",
+    "row_estimate": _with(EV) + f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS estimated_rows FROM (SELECT DISTINCT {_window_end(86_400)} AS window_end, wiki FROM ev)""",
     "table_stats": _with(EV, LK, TOTALS) + f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, strftime(MAX(updated_at), {FMT}) AS last_upsert,
        strftime(MAX(window_end), {FMT}) AS newest_window_end

@@ -32,13 +32,14 @@ from ..operators.rollups import actions_rollup, totals_from_actions, totals_roll
 from ..session import checkpoint_root, scratch_path, utc_session
 from ..sinks.delivery import deliverable, delivery_actions
 from ..sinks.kafka import write_files
+from ..sinks.partition_stats import estimates
 from ..sinks.warehouse import read_rollup, write_batch
 from ..sources import synthetic
 from ..sources.feed import clean_feed
 from ..sources.files import events_stream, events_table_stream, text_stream
 from ..sources.lookup import dedupe_lookup, ensure_lookup_readable, lookup_from_tables, read_lookup_csv
 from ..sources.tables import spread, table
-from . import reports
+from . import newest, reports
 from .backfill import WarehousePaths, current_actions, current_totals, run_backfill
 
 # Fixed parameters of the registered queries.
@@ -254,6 +255,30 @@ def _upsert_versions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return _all_ts_text(view.drop("window_end_ts", "ds", "hr", "run_id"))
 
 
+def q_current_incremental(spark, sf_dir):
+    """K2 / K3: three batches merged into the current table: the older half of the time range, all events, and a late
+    batch of older versions for the first days, which changes nothing there."""
+    from ..sinks.current_table import create_current_table, merge_batch
+    from ..sources.warehouse import drop_table
+
+    path, name = scratch_path(spark, "current"), f"tidemark_current_{uuid.uuid4().hex[:10]}"
+    lookup = prepare_lookup(_lookup(spark, sf_dir))
+    events = _events(spark, sf_dir)
+    micros = synthetic.epoch_micros(events)
+    half = micros < events.agg(F.percentile_approx(micros, 0.5)).scalar()
+    create_current_table(spark, name, path, "totals")
+    try:
+        for batch_id, (keep, minutes) in enumerate(((half, 2), (F.lit(True), 4), (half & (F.col("event_id") % 2 == 0), 3))):
+            parsed = parse_events(synthetic.raw_events(events.where(keep), keep_id=False), config=QUERY_CONFIG)
+            rollup = totals_rollup(parsed, lookup, QUERY_CONFIG, lookup_checked=True)
+            write_batch(rollup, f"{path}/versions", "r0", batch_id, updated_at=F.col("window_end") + F.expr(f"INTERVAL {minutes} MINUTES"))
+            versions = read_rollup(spark, f"{path}/versions", "totals").where(F.col("batch_id") == batch_id)
+            merge_batch(spark, name, path, versions)
+        return _materialised(spark, _all_ts_text(spark.table(name).select(*TOTALS_COLUMNS, "updated_at", "batch_id")))
+    finally:
+        drop_table(spark, name)
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> WarehousePaths:
     """The warehouse the reports read: an early batch over the even events, superseded by one over all.
 
@@ -268,7 +293,8 @@ def _stored(spark: SparkSession, sf_dir: str) -> WarehousePaths:
         for batch_id, keep in ((0, F.col("event_id") % 2 == 0), (1, F.lit(True))):
             raw = synthetic.raw_events(_events(spark, sf_dir).filter(keep), keep_id=False)
             stamp = F.col("window_end") + F.expr(f"INTERVAL {1 + batch_id} MINUTES")
-            run_backfill(spark, raw, lookup, paths, "stored", QUERY_CONFIG, batch_id=batch_id, updated_at=stamp)
+            config = QUERY_CONFIG.with_(partition_stats=True)
+            run_backfill(spark, raw, lookup, paths, "stored", config, batch_id=batch_id, updated_at=stamp)
         _STORED[key] = paths
     return _STORED[key]
 
@@ -531,7 +557,8 @@ def q_lookback_totals(spark, sf_dir):
 
 
 def q_latest_totals(spark, sf_dir):
-    return _shown(reports.latest(_totals(spark, sf_dir), QUERY_CONFIG.latest_rows))
+    rows = newest.latest_rows(spark, _stored(spark, sf_dir).totals, "totals", QUERY_CONFIG.latest_rows)
+    return _shown(rows.select(*TOTALS_COLUMNS, "updated_at"))
 
 
 def q_lookback_actions(spark, sf_dir):
@@ -540,7 +567,8 @@ def q_lookback_actions(spark, sf_dir):
 
 
 def q_latest_actions(spark, sf_dir):
-    return _shown(reports.latest(_actions(spark, sf_dir), QUERY_CONFIG.latest_rows))
+    rows = newest.latest_rows(spark, _stored(spark, sf_dir).actions, "actions", QUERY_CONFIG.latest_rows)
+    return _shown(rows.select(*ACTIONS_COLUMNS, "updated_at"))
 
 
 def _seven(spark: SparkSession, sf_dir: str, rows: DataFrame, shift: str) -> DataFrame:
@@ -565,25 +593,18 @@ def q_lookback_no_rows(spark, sf_dir):
 
 
 def q_recent_rows(spark, sf_dir):
-    return _shown(reports.recent_rows(_totals(spark, sf_dir), 150))
+    rows = newest.recent_rows(spark, _stored(spark, sf_dir).totals, "totals", 150)
+    return _shown(rows.select(*TOTALS_COLUMNS, "updated_at"))
 
 
 def q_recent_actions(spark, sf_dir):
-    return _shown(reports.recent_rows(_actions(spark, sf_dir), 200))
+    rows = newest.recent_rows(spark, _stored(spark, sf_dir).actions, "actions", 200)
+    return _shown(rows.select(*ACTIONS_COLUMNS, "updated_at"))
 
 
 def q_row_estimate(spark, sf_dir):
-    """Q2: the catalog's row count of the stored totals, all versions, after ANALYZE."""
-    name = f"tidemark_est_{uuid.uuid4().hex[:10]}"
-    from ..sources.warehouse import drop_table, register_totals_table
-
-    register_totals_table(spark, name, _stored(spark, sf_dir).totals)
-    try:
-        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-        rows = reports.row_estimate(spark, name)
-    finally:
-        drop_table(spark, name)
-    return spark.range(1).select(F.lit(rows).cast("bigint").alias("estimated_rows"))
+    """Q2: the rows of the totals, not their versions, from the merged sketches of the stored batches."""
+    return estimates(spark, _stored(spark, sf_dir).totals).select("estimated_rows")
 
 
 def q_top_wikis(spark, sf_dir):
@@ -664,6 +685,7 @@ _ALL: dict[str, QueryFn] = {
     # sinks, warehouse, backfill, streaming
     "upsert_latest_totals": q_upsert_latest_totals,
     "upsert_latest_actions": q_upsert_latest_actions,
+    "current_incremental": q_current_incremental,
     "backfill_totals": q_backfill_totals,
     "backfill_actions": q_backfill_actions,
     "warehouse_scan": q_warehouse_scan,

@@ -11,12 +11,15 @@ orders versions in the current view.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..functions.timefmt import partition_columns
 from ..schemas import ACTIONS_COLUMNS, BATCH_PARTITION_COLUMNS, TOTALS_COLUMNS, TOTALS_SCHEMA
+from .partition_stats import write_stats
 
 STORED_EXTRA = ("window_end_ts", "updated_at")
 
@@ -55,13 +58,17 @@ def write_batch(
     updated_at: Column | None = None,
     write_partitions: int | None = None,
     table: str | None = None,
+    stats: bool = False,
 ) -> None:
     """Write one batch; with ``table``, register exactly the partitions it
     wrote in that catalog table (readers then prune through the catalog and
-    never list the whole warehouse)."""
+    never list the whole warehouse).  With ``stats``, statistics of the hours it
+    wrote go beside the table, and the hours are known from them."""
     kind = "actions" if "event_type" in df.columns else "totals"
     cols = ACTIONS_COLUMNS if kind == "actions" else TOTALS_COLUMNS
     parts = partition_columns("window_end")
+    if stats and updated_at is None:  # the rows and their statistics are two jobs: one stamp for both
+        updated_at = F.lit(_dt.datetime.now(_dt.timezone.utc))
     out = df.select(
         *cols,
         parts["window_end_ts"].alias("window_end_ts"),
@@ -71,6 +78,7 @@ def write_batch(
         F.lit(str(run_id)).alias("run_id"),
         F.lit(int(batch_id)).cast("bigint").alias("batch_id"),
     )
+    hours = write_stats(out, path, run_id, batch_id) if stats else None
     # Cluster rows by directory so each (ds, hr) gets few files, through the
     # rebalance hint: AQE splits a skewed (hot) hour across several writers and
     # merges small ones, where a plain repartition(ds, hr) would hand a hot
@@ -86,10 +94,11 @@ def write_batch(
     if table:
         from ..sources.warehouse import add_partitions
 
-        # the hours of the files just written, never a second run of the batch's plan
-        written = read_rollup(df.sparkSession, path, kind)
-        mine = written.filter((F.col("run_id") == F.lit(str(run_id))) & (F.col("batch_id") == F.lit(int(batch_id))))
-        hours = [(r["ds"], r["hr"]) for r in mine.select("ds", "hr").distinct().toLocalIterator()]
+        if hours is None:
+            # the hours of the files just written, never a second run of the batch's plan
+            written = read_rollup(df.sparkSession, path, kind)
+            mine = written.filter((F.col("run_id") == F.lit(str(run_id))) & (F.col("batch_id") == F.lit(int(batch_id))))
+            hours = [(r["ds"], r["hr"]) for r in mine.select("ds", "hr").distinct().toLocalIterator()]
         add_partitions(df.sparkSession, table, hours, run_id, batch_id)
 
 

@@ -21,21 +21,30 @@ def _ddl_columns(kind: str) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in _stored_schema(kind).fields)
 
 
-def register_table(spark: SparkSession, name: str, path: str, kind: str = "totals") -> None:
-    """(Re)create the catalog table over ``path`` and register what is there.
+def register_table(spark: SparkSession, name: str, path: str, kind: str = "totals", rebuild: bool = False) -> None:
+    """Create the catalog table over ``path`` and register what is there, unless it exists.
 
-    An empty append first makes sure the location exists (no data files are
-    added), so a table can be declared before the first batch lands.
+    A table that exists keeps its partitions: those that compaction dropped stay dropped, and a start
+    lists nothing.  ``rebuild`` drops it and registers all folders again.  An empty append first
+    makes sure the location exists (no data files are added), so a table can be declared before the
+    first batch lands.
     """
-    schema = _stored_schema(kind)
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(*_PARTITIONS).parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(
-        f"CREATE TABLE {name} ({_ddl_columns(kind)}) USING PARQUET "
-        f"PARTITIONED BY ({', '.join(_PARTITIONS)}) LOCATION '{path}' "
-        "TBLPROPERTIES ('parquet.compression' = 'SNAPPY')"
-    )
-    repair(spark, name)
+    if rebuild:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if rebuild or not spark.catalog.tableExists(name):
+        schema = _stored_schema(kind)
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*_PARTITIONS).parquet(path)
+        spark.sql(
+            f"CREATE TABLE {name} ({_ddl_columns(kind)}) USING PARQUET "
+            f"PARTITIONED BY ({', '.join(_PARTITIONS)}) LOCATION '{path}' "
+            "TBLPROPERTIES ('parquet.compression' = 'SNAPPY')"
+        )
+        repair(spark, name)
+    current_of(spark, name, kind)
+
+
+def current_of(spark: SparkSession, name: str, kind: str = "totals") -> None:
+    """The ``<name>_current`` view of a table that exists."""
     # ds, hr lead the window partition so partition filters reach the scan
     key = "ds, hr, window_end, wiki" + (", event_type" if kind == "actions" else "")
     spark.sql(

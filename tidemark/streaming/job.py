@@ -6,7 +6,8 @@ TIDEMARK_WATERMARK, TIDEMARK_WINDOW, TIDEMARK_BURST_THRESHOLD,
 TIDEMARK_WAREHOUSE, TIDEMARK_CHECKPOINT, TIDEMARK_LOOKUP_CSV, TIDEMARK_RUN_ID
 (default: the streaming query id, which lives exactly as long as the checkpoint),
 TIDEMARK_TOTALS_TABLE / TIDEMARK_ACTIONS_TABLE (catalog tables kept in step),
-SPARK_SQL_SHUFFLE_PARTITIONS, TIDEMARK_RAW_DIR to read JSON lines from a
+TIDEMARK_CREATE_TABLES=1 to create those that are missing (without it a missing table
+ends the start), SPARK_SQL_SHUFFLE_PARTITIONS, TIDEMARK_RAW_DIR to read JSON lines from a
 directory instead of Kafka (TIDEMARK_MAX_FILES_PER_TRIGGER bounds a batch),
 and TIDEMARK_AVAILABLE_NOW=1 to process what is there and stop (replay /
 catch-up runs).
@@ -33,7 +34,8 @@ from ..sources.kafka import kafka_raw
 from ..operators.checks import ensure_table
 from ..sinks.compaction import compact_day, open_days
 from ..sources.lookup import ensure_lookup_readable, lookup_version, read_lookup_csv
-from ..sources.warehouse import register_table
+from ..sinks.warehouse import _stored_schema
+from ..sources.warehouse import current_of, register_table
 from .monitor import attach, heartbeat
 from .rollup_stream import await_any, start_pipeline
 
@@ -48,6 +50,15 @@ def compact(spark: SparkSession, tables: list[tuple[str, str, str]]) -> None:
             log.info("compacted %s of %s: %d partitions dropped", ds, table, dropped)
 
 
+def preflight(spark: SparkSession, table: str, kind: str) -> None:
+    """V1: the catalog table has to exist with the columns the job writes; nothing is created."""
+    ensure_table(spark, table)
+    missing = [f.name for f in _stored_schema(kind).fields if f.name not in spark.table(table).columns]
+    if missing:
+        raise RuntimeError(f"table {table!r} lacks the columns {', '.join(missing)}")
+    current_of(spark, table, kind)
+
+
 def main() -> None:
     logging.basicConfig(level=os.environ.get("TIDEMARK_LOG_LEVEL", "INFO"),
                         format="%(asctime)s %(levelname)s %(message)s")
@@ -63,8 +74,9 @@ def main() -> None:
     tables = [(table, path, kind) for table, path, kind in ((config.totals_table, paths.totals, "totals"),
                                                             (config.actions_table, paths.actions, "actions")) if table]
     for table, path, kind in tables:
-        register_table(spark, table, path, kind)  # one full registration at start-up
-        ensure_table(spark, table)
+        if os.environ.get("TIDEMARK_CREATE_TABLES", "").lower() in ("1", "true", "yes"):
+            register_table(spark, table, path, kind)  # lists the location once, when the table is new
+        preflight(spark, table, kind)
     raw_dir = os.environ.get("TIDEMARK_RAW_DIR")
     raw = text_stream(spark, raw_dir, config.max_files_per_trigger) if raw_dir else kafka_raw(spark, config)
     run_id = os.environ.get("TIDEMARK_RUN_ID") or None  # default: the query id kept in the checkpoint
