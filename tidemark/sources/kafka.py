@@ -20,12 +20,9 @@ def source_options(config: PipelineConfig = DEFAULT) -> dict[str, str]:
         "subscribe": config.kafka_topic,
         "startingOffsets": config.starting_offsets,
         "failOnDataLoss": str(config.fail_on_data_loss).lower(),
-        # back-pressure: rows per trigger
         "maxOffsetsPerTrigger": str(config.max_offsets_per_trigger),
-        # retry transient offset fetch errors
         "fetchOffset.numRetries": str(config.fetch_offset_num_retries),
         "fetchOffset.retryIntervalMs": str(config.fetch_offset_retry_interval_ms),
-        # consumer pass-through
         "kafka.session.timeout.ms": str(config.kafka_session_timeout_ms),
         "kafka.request.timeout.ms": str(config.kafka_request_timeout_ms),
         "kafka.max.poll.records": str(config.kafka_max_poll_records),

@@ -18,7 +18,8 @@ from tidemark.plans.suite import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 KEY_QUERIES = ["totals_rollup", "actions_rollup", "enrich_join", "lookback_totals", "top_wikis", "event_mix",
-               "log_share", "contract_violations"]
+               "log_share", "contract_violations", "feed_clean", "latest_totals", "row_estimate", "backfill_totals",
+               "upsert_latest_totals", "stream_totals", "current_incremental"]
 
 
 def main() -> None:
