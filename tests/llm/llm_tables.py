@@ -3,7 +3,7 @@
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-CLASHES = ["row", "_row", "node", "n", "r", "tokens", "size", "score", "rank", "class", "copies", "pool", "chunk", "a", "b", "key", "hash", "tie", "count"]
+CLASHES = ["row", "_row", "node", "n", "r", "tokens", "size", "score", "rank", "class", "copies", "pool", "chunk", "a", "b", "key", "hash", "tie", "count", "_id", "_hash", "_leaked", "_text", "conv", "gram"]
 
 
 def write(folder, docs=(), labels=(), pages=(), benchmark=(), conversations=(), clash=True):
@@ -41,3 +41,8 @@ EDGE_DOCS = [
 
 def words(rng, n, vocabulary=4000):
     return [f"v{x}" for x in rng.integers(0, vocabulary, n)]
+
+
+def thue_morse(swap):
+    """One of two 1,024-letter words that many polynomial hashes modulo a power of two cannot tell apart."""
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(1024))

@@ -64,3 +64,17 @@ def test_edges(spark, tmp_dir):
     assert {g[1] for g in got} == {1, 2, 5, 6, 7}
     assert op10_leaks(spark, write(tmp_dir, EDGE_DOCS)).collect() == []
     assert op10_leaks(spark, write(tmp_dir, benchmark=items)).collect() == []
+
+
+def test_every_short_item_is_found():
+    """Items of one to nine words, each inside a text of its own: recall is 1."""
+    rng = np.random.default_rng(8)
+    items = [(i, " ".join(f"s{x}" for x in rng.integers(0, 5000, 1 + i % 9))) for i in range(1800)]
+    index = dc.ItemIndex(items, 5)
+    for i, text in items:
+        around = [f"f{x}" for x in rng.integers(0, 5000, 60)]
+        cut = int(rng.integers(0, 60))
+        words = " ".join([*around[:cut], text, *around[cut:]])
+        data = np.frombuffer(words.encode(), np.uint8)
+        start, end, row = dc.words_of(data, np.array([0, len(data)]))
+        assert any(index.items[x][0] == i for _, x in index.candidates(dc.word_hashes(data, start, end), row))

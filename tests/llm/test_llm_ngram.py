@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from llm_tables import EDGE_DOCS, words, write
+from llm_tables import CLASHES, EDGE_DOCS, thue_morse, words, write
 
 from tidemark.llm import ngram_join
 from tidemark.llm.queries import op2_ngram_join
@@ -106,6 +106,25 @@ def test_edges(spark, tmp_dir):
     assert op2_ngram_join(spark, write(tmp_dir)).collect() == []
 
 
+def test_words_of_one_structure_are_told_apart(spark):
+    docs = [(1, thue_morse(0)), (2, thue_morse(1)), (3, thue_morse(1))]
+    assert found(spark, docs, 3, 90, 100) == [(1, 1, 1), (2, 1, 2), (3, 1, 2)]
+
+
+def test_stages_leave_clashing_columns_alone(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.decontaminate import drop_leaks
+
+    df = spark.createDataFrame([(1, "a b c d e f g h i"), (1, "a b c d e f g h i"), (2, "a b c d e f g h i"), (3, "other words")], "doc_id long, text string")
+    df = df.select("*", *[F.lit(c).alias(c) for c in CLASHES])
+    kept = ngram_join.keep_one(df, 5, 80, 100)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    items = spark.createDataFrame([(1, "other words")], "item_id long, text string")
+    left = drop_leaks(df, items)
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [1, 1, 2]
+
+
 def test_one_of_each_group_stays(spark):
     docs = corpus(4)
     docs += [docs[0], docs[0], (500, None), (500, None), (None, "some words of nobody at all here"), (None, "some words of nobody at all here")]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_tables import EDGE_DOCS, write
+from llm_tables import EDGE_DOCS, thue_morse, write
 
 from tidemark.llm import token_blocks as tb
 from tidemark.llm.queries import op8_token_blocks, tokenizer_path
@@ -39,6 +39,27 @@ def test_ids_are_the_library_s(library):
     assert encoded(pieces, TEXTS[::-1]) == want[::-1]  # remembered
 
 
+def test_words_that_hash_alike(library, monkeypatch):
+    words = [thue_morse(0), thue_morse(1), "some", "words"]
+    want = [library.encode(t, add_special_tokens=False).ids + [1] for t in words]
+    assert encoded(tb.PieceEncoder(tokenizer_path()), words) == want
+    hashes = tb.word_hashes
+    monkeypatch.setattr(tb, "word_hashes", lambda *a, table=0, **k: hashes(*a, table=table, **k) if table else hashes(*a, **k) * 0)
+    pieces = tb.PieceEncoder(tokenizer_path())  # all first hashes are equal: the second one tells
+    assert encoded(pieces, words) == want and encoded(pieces, words[::-1]) == want[::-1]
+
+
+def test_another_tokenizer_gets_whole_texts(tmp_dir):
+    """A tokenizer that keeps capitals and splits at white space only."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    other = Tokenizer(models.WordLevel({"[UNK]": 0, "Hello,": 5, "hello,": 6, "World": 7}, unk_token="[UNK]"))
+    other.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    other.save(f"{tmp_dir}/other.json")
+    assert encoded(tb.PieceEncoder(f"{tmp_dir}/other.json"), ["Hello, World", "", "hello, world"]) == [[5, 7, 1], [1], [6, 0, 1]]
+    assert tb.cuts_alike(Tokenizer.from_file(tokenizer_path())) and not tb.cuts_alike(other)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(st.characters(codec="utf-8"), max_size=40), min_size=1, max_size=6))
 def test_any_text(texts):

@@ -8,6 +8,7 @@ Shingles are 64-bit hashes computed over whole Arrow buffers in slices of bounde
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -25,7 +26,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = np.random.default_rng(20240917).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+#: A random value for each byte at each place of a stretch: equal sums need equal words, whatever their structure.
+_STRETCH = 64
+_BYTES = [np.random.default_rng(seed).integers(0, 2**64, (_STRETCH, 256), dtype=np.uint64) for seed in (20240917, 20250311)]
 _POWER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,18 +120,24 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True) -> np.ndarray:
-    """64-bit hash of each word; ``fold`` lower-cases A-Z first."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True, table: int = 0) -> np.ndarray:
+    """64-bit hash of each word; ``fold`` lower-cases A-Z first; the two tables give independent hashes.
+
+    Tabulation: the sum of a random value per byte and place; behind the first 64 places, that
+    value is mixed with the number of the stretch.
+    """
     if not len(start):
         return np.empty(0, np.uint64)
     length = end - start
-    first = np.repeat(np.cumsum(length) - length, length)
-    place = np.arange(len(first)) - first
+    first = np.cumsum(length) - length
+    place = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
     chars = data[np.repeat(start, length) + place]
+    value = _BYTES[table][place % _STRETCH, _LOWER[chars] if fold else chars]
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(length.max()) - 1, _POWER)]), dtype=np.uint64)
-        value = _BYTE[_LOWER[chars] if fold else chars] * power[place]
-        return mix(np.add.reduceat(value, np.cumsum(length) - length) + length.astype(np.uint64))
+        far = np.flatnonzero(place >= _STRETCH)
+        if len(far):
+            value[far] = mix(value[far] + (place[far] // _STRETCH).astype(np.uint64) * _POWER)
+        return mix(np.add.reduceat(value, first) + length.astype(np.uint64))
 
 
 def shingles_of(words: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -206,21 +215,36 @@ def _are_stars(pairs: DataFrame) -> bool:
 
 
 def shared_file(uri: str):
-    """(file system, path) for a URI under the shared folder, from a task."""
+    """(file system, path) for a URI under the shared folder, from a task.
+
+    ``s3a`` and ``s3n`` are the names that Hadoop has for ``s3``; ``dbfs:/`` is mounted under ``/dbfs``.  A scheme that
+    is not known is an error and never a folder of the machine.
+    """
     from pyarrow import fs
 
-    if "://" not in uri and not uri.startswith("file:"):
+    scheme, rest = re.match(r"(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(.*)", uri, re.S).groups()
+    if scheme is None:
         return fs.LocalFileSystem(), uri
+    if scheme == "dbfs":
+        return fs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
+    if scheme in ("s3a", "s3n"):
+        return fs.FileSystem.from_uri(f"s3:{rest}")
     return fs.FileSystem.from_uri(uri)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores before it as make it none of the columns, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def blocks_for(rows: int, per_block: int) -> int:
     return max(1, math.ceil(rows / per_block))
 
 
 def with_rows(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` written with a unique long per row, and that column's name (none of the table's own)."""
-    name = "_row"
-    while name in docs.columns:
-        name = f"_{name}"
+    name = free_name(docs.columns, "_row")
     return materialise(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name

@@ -25,9 +25,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, materialise, shingles_of, small, text_slices, word_hashes, words_of
+from .common import WORD, free_name, materialise, shingles_of, small, text_slices, word_hashes, words_of
 
 BINS = 128
+#: Items of fewer distinct shingles are candidates wherever one of them is; a window's bin could hide so few.
+FEW_SHINGLES = 8
 #: Bytes of item text sent to the tasks at once (the broadcast's proven bound).
 BLOCK_BYTES = 16 << 20
 LEAKS_SCHEMA = "doc_id long, item_id long, item_shingles long, shared_shingles long, containment double"
@@ -63,6 +65,9 @@ class ItemIndex:
             data = np.frombuffer(text.encode(), np.uint8)
             start, end, row = words_of(data, np.array([0, len(data)]))
             h = np.unique(shingles_of(word_hashes(data, start, end), row, width)[0])
+            if len(h) < FEW_SHINGLES:
+                minima.setdefault((width, 0), []).extend((int(x), len(self.items) - 1) for x in h)
+                continue
             size = 1 << max(3, (len(words) - 1).bit_length())
             first = np.concatenate([[True], _bin(h)[1:] != _bin(h)[:-1]])  # sorted: the first of a bin is its smallest
             minima.setdefault((width, size), []).extend((int(x), len(self.items) - 1) for x in h[first])
@@ -85,6 +90,10 @@ class ItemIndex:
                 place[place == len(value)] = 0
                 hit = hit[value[place] == h[hit]]
                 for i in hit:
+                    if not size:  # a short item: any of its shingles
+                        a, z = np.searchsorted(value, h[i], "left"), np.searchsorted(value, h[i], "right")
+                        found.update((int(of[i]), int(x)) for x in owner[a:z])
+                        continue
                     lo = np.searchsorted(of, of[i], side="left")
                     hi = np.searchsorted(of, of[i], side="right")
                     half = offset[i] // size
@@ -176,7 +185,11 @@ def _by_row(found: set[tuple[int, int]]) -> Iterator[tuple[int, list[int]]]:
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, threshold: float = 0.8) -> DataFrame:
-    """``docs`` without the rows that leak an item; a text decides alone, so rows are told by its 64-bit hash."""
+    """``docs`` without the rows that leak an item; a text decides alone, so rows are told by its 64-bit hash.
+
+    Rows of null or empty text stay, repeated rows stay or go together, and null ids count like others.
+    """
     found = find_leaks(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark, k, threshold)
-    leaked = small(materialise(found.select(F.col("doc_id").alias("_leaked")).distinct(), "leaked"))
-    return docs.join(leaked, F.xxhash64(docs["text"]) == F.col("_leaked"), "left_anti")
+    name = free_name(docs.columns, "_leaked")
+    leaked = small(materialise(found.select(F.col("doc_id").alias(name)).distinct(), "leaked"))
+    return docs.join(leaked, F.xxhash64(docs["text"]) == F.col(name), "left_anti")

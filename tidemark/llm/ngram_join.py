@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks_for, components, materialise, pieces_of, sets_of, small
+from .common import blocks_for, components, free_name, materialise, pieces_of, sets_of, small
 
 RARE = 16
 HUB_ROUNDS = 3
@@ -358,9 +358,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
 
     Rows without words stay; a null doc_id comes last; of rows that are equal in id and text one stays.
     """
-    text = "_text"
-    while text in docs.columns:
-        text = f"_{text}"
+    text = free_name(docs.columns, "_text")
     keyed = docs.withColumn(text, F.xxhash64("text"))
     keys = ["doc_id", text]
     found = groups(keyed.select(*keys, "text"), keys, k, num, den).where("group is not null")
@@ -369,12 +367,12 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     first = found.groupBy("group").agg(F.min(order).alias("first"), F.count("*").alias("keys")).where("keys > 1")
     first = materialise(first, "join-first")
     kept = F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col(text) == F.col("first.hash"))
-    drop = found.join(first, "group").where(~kept).select(F.col("doc_id").alias("_id"), F.col(text).alias("_hash"))
-    drop = small(materialise(drop, "join-drop"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col(text) == F.col("_hash"))
+    other_id, other_hash = free_name(keyed.columns, "_id"), free_name(keyed.columns, "_hash")
+    other = [F.col("doc_id").alias(other_id), F.col(text).alias(other_hash)]
+    drop = small(materialise(found.join(first, "group").where(~kept).select(*other), "join-drop"))
+    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col(text) == F.col(other_hash))
     left = keyed.join(drop, same, "left_anti")
-    again = found.where("rows > 1").select(F.col("doc_id").alias("_id"), F.col(text).alias("_hash"))
-    again = materialise(again, "join-repeated")
+    again = materialise(found.where("rows > 1").select(*other), "join-repeated")
     if not again.isEmpty():
         again = small(again)
         one = left.join(again, same, "left_semi").dropDuplicates(keys)

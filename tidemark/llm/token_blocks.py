@@ -16,6 +16,7 @@ slice are encoded once by the library and remembered, within a bound, by the wor
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -147,18 +148,39 @@ _CLASS[0x27] = _CLASS[0x7C] = 4  # contractions; special tokens hold a bar
 _CLASS[[0x20, *range(0x09, 0x0E)]] = 0
 
 
+#: The normaliser and splitter that the cutting below stands for, as the library writes them.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def cuts_alike(tokenizer) -> bool:
+    """Whether a tokenizer cuts and lower-cases texts as ``PieceEncoder`` does; all others get whole texts."""
+    held = json.loads(tokenizer.to_str())
+    return (
+        held["normalizer"] == NORMALIZER and held["pre_tokenizer"] == SPLITTER and held["truncation"] is None and held["padding"] is None
+        and held["model"]["type"] == "BPE" and not held["model"].get("dropout") and held["model"].get("end_of_word_suffix") == "</w>"
+        and all("|" in token["content"] for token in held["added_tokens"])
+    )
+
+
 class PieceEncoder:
     """Ids of white-space-free pieces by the tokenizers library, each distinct piece once while remembered.
 
     Chunks of ASCII and of the Latin letters with two-byte codes that begin with 0xC3 are cut into runs of
     letters, single digits and runs of others, lower-cased: what this tokenizer's own normaliser and
-    splitter make of them (a test holds them against it).  Any other chunk goes to the library whole.
+    splitter make of them (a test holds them against it).  Any other chunk goes to the library whole, and
+    so does any text if the tokenizer has another normaliser or splitter.  Pieces are told by two
+    independent 64-bit hashes.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
+        self.cuts = cuts_alike(self.whole)
         self.model = self.whole.model
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.reset()
@@ -167,9 +189,17 @@ class PieceEncoder:
         self.keys, self.place = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.first, self.length = np.array([0], np.int64), np.array([1], np.int64)
         self.pool = np.array([END_ID], np.uint32)
+        self.check = np.array([0], np.uint64)  # of each unit
+
+    def _library(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        texts = [bytes(data[a:z]).decode() for a, z in zip(offsets[:-1], offsets[1:])]
+        ids = [[*self.whole.encode(t, add_special_tokens=False).ids, END_ID] for t in texts]
+        return np.array([len(x) for x in ids], np.int64), np.array([y for x in ids for y in x], np.uint32)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids per document, ids) of a slice, the end id after each document."""
+        if not self.cuts:
+            return self._library(data, offsets)
         start, end, row = words_of(data, offsets)
         data, kind = self._classed(data, start, end)
         edge = np.zeros(len(data) + 1, bool)
@@ -182,8 +212,9 @@ class PieceEncoder:
         stop = np.append(first[1:], len(data))
         if len(start):
             stop = np.minimum(stop, end[np.searchsorted(start, first, side="right") - 1])
-        hashes = word_hashes(data, first, stop, fold=False) ^ (kind[first] == 4).astype(np.uint64)
-        unit = self._units(hashes, data, first, stop, kind)
+        whole = (kind[first] == 4).astype(np.uint64)
+        hashes, checks = (word_hashes(data, first, stop, fold=False, table=t) ^ whole for t in (0, 1))
+        unit = self._units(hashes, checks, data, first, stop, kind)
         bounds = np.searchsorted(first, offsets[1:], side="left")
         unit = np.insert(unit, bounds, 0)  # unit 0 is the end id
         bounds = np.append(0, bounds + np.arange(1, len(bounds) + 1))
@@ -213,26 +244,37 @@ class PieceEncoder:
                 lower[start[i] : end[i]] = data[start[i] : end[i]]
         return lower, kind
 
-    def _units(self, hashes: np.ndarray, data: np.ndarray, first: np.ndarray, stop: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    def _units(self, hashes: np.ndarray, checks: np.ndarray, data: np.ndarray, first: np.ndarray, stop: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """Place of each piece in the pool's tables, encoding those not met before."""
         distinct, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if not len(distinct):
+            return np.empty(0, np.int64)
         if len(self.keys) + len(distinct) > REMEMBERED:
             self.reset()
         at = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
         known = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
         fresh = np.flatnonzero(~known)
         if len(fresh):
-            ids = [self._ids(bytes(data[first[i] : stop[i]]), kind[first[i]]) for i in where[fresh]]
-            length = np.array([len(x) for x in ids], np.int64)
-            flat = np.array([y for x in ids for y in x], np.uint32)
-            places = len(self.first) + np.arange(len(ids))
-            self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(length) - length])
-            self.length = np.concatenate([self.length, length])
-            self.pool = np.concatenate([self.pool, flat])
+            places = self._add(where[fresh], checks, data, first, stop, kind)
             spot = np.searchsorted(self.keys, distinct[fresh])
             self.keys, self.place = np.insert(self.keys, spot, distinct[fresh]), np.insert(self.place, spot, places)
             at = np.searchsorted(self.keys, distinct)
-        return self.place[at][back] if len(distinct) else np.empty(0, np.int64)
+        unit = self.place[at][back]
+        unlike = np.flatnonzero(self.check[unit] != checks)  # another piece of the same first hash: encoded on its own
+        if len(unlike):
+            unit[unlike] = self._add(unlike, checks, data, first, stop, kind)
+        return unit
+
+    def _add(self, pieces: np.ndarray, checks: np.ndarray, data: np.ndarray, first: np.ndarray, stop: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """New units for some pieces."""
+        ids = [self._ids(bytes(data[first[i] : stop[i]]), kind[first[i]]) for i in pieces]
+        length = np.array([len(x) for x in ids], np.int64)
+        places = len(self.first) + np.arange(len(ids))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.pool = np.concatenate([self.pool, np.array([y for x in ids for y in x], np.uint32)])
+        self.check = np.concatenate([self.check, checks[pieces]])
+        return places
 
     def _ids(self, piece: bytes, kind: int) -> list[int]:
         text = piece.decode()
