@@ -223,3 +223,57 @@ def test_edges(spark, tmp_dir):
         want.append((str(d[0]), *(sum(s[2] == k for s in base) for k in range(3)), digest, spans))
     assert got == sorted(want)
     assert op4_secrets(spark, write(tmp_dir)).collect() == []
+
+
+PLAIN = "password=Abcdefgh123456 and so on"
+
+
+def kinds_of(text):
+    return {kind for _, _, kind in scan.scan_counted(text)[1]}
+
+
+@pytest.mark.parametrize("limit", [1 << 10, 16 << 20])
+@pytest.mark.parametrize("stray", [b"", b"\xe9", b"\xff\x00"])
+def test_held_and_streamed_layers_are_read_alike(monkeypatch, limit, stray):
+    """The same layers below and above the length that is held: equal kinds, with bytes that are not UTF-8 too."""
+    import base64
+    import zlib
+
+    monkeypatch.setattr(scan, "LAYER_BYTES", limit)
+    lines = b"caf" + stray + b" some line of plain words\n"
+    body = lines * 200 + PLAIN.encode() + b"\n" + lines * 200
+    for packed in (zlib.compress(body), zlib.compress(body.decode("latin-1").encode("utf-16-le")), zlib.compress(body.decode("latin-1").encode("utf-16"))):
+        assert kinds_of("x " + base64.b64encode(packed).decode() + " y") == {0}
+    noise = zlib.compress(bytes(range(128, 256)) * 100 + PLAIN.encode() + bytes(range(128, 256)) * 100)
+    assert kinds_of("x " + base64.b64encode(noise).decode()) == set()
+
+
+def test_layers_with_bytes_that_are_not_utf8():
+    import base64
+    from urllib.parse import quote_from_bytes
+
+    latin = ("café crème brûlée, voilà " + PLAIN).encode("latin-1")
+    for text in ("%E9%70%61%73%73%77%6F%72%64%3DAbcdefgh123456", "q=" + "".join(f"%{b:02X}" for b in latin), quote_from_bytes(latin),
+                 base64.b64encode(latin).decode(), base64.b64encode(PLAIN.encode("utf-16-le")).decode(), base64.b64encode(PLAIN.encode("utf-16")).decode(),
+                 "password&equals;&quot;Abcdefgh123456&quot;", "secret&#x3D;&apos;Abcdefgh123456&apos;"):
+        base, spans, layers = scan.scan(text)
+        assert any(kind == 0 for _, _, kind in spans) and layers, text
+
+
+def test_spans_around_stray_bytes():
+    text = "%E9%E9 " + "".join(f"%{b:02x}" for b in PLAIN.encode())
+    base, spans, _ = scan.scan(text)
+    first = 7
+    size = len("password=Abcdefgh123456")
+    assert spans == [(first, first + 3 * size, 0)]
+
+
+def test_one_escape_in_a_long_line_takes_little_memory():
+    import tracemalloc
+
+    text = "x" * 2_000_000 + "\\u0041" + " " + PLAIN
+    tracemalloc.start()
+    spans = scan.scan(text)[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(spans) == 1 and peak < 90_000_000

@@ -14,9 +14,12 @@ texts with a mark are scanned one by one.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
+import html
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from itertools import chain, repeat
@@ -41,12 +44,13 @@ LAYER_BYTES = 16 << 20
 STREAM_BYTES, UNWRAP_BYTES = 4 << 20, 1 << 18
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|%u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+_ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|%u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});|(&[A-Za-z][A-Za-z0-9]{1,31};)")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % LEAST_BASE64)
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++")
 _BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _PART = re.compile(r"[/_-]")
 _ODD = re.compile(r"([\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]+)")
+_STRAY = re.compile("[\udc80-\udcff]")
 _NO_TEXT = frozenset([*range(0x80, 0xC2), *range(0xF5, 0x100)])  # begin no UTF-8 character
 _LINE = re.compile(r"[^\n]+")
 _MARK = re.compile(rb"[%\\&]")
@@ -86,7 +90,7 @@ class Same:
 class Layer:
     """A text with, for each character, its place in the original."""
 
-    def __init__(self, text: str, begin: list[int] | range | Same, end: list[int] | range | Same):
+    def __init__(self, text: str, begin: array | range | Same, end: array | range | Same):
         self.text, self.begin, self.end = text, begin, end
 
     def span(self, a: int, z: int) -> tuple[int, int]:
@@ -104,14 +108,42 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
+def _wide(data: bytes) -> str | None:
+    """The UTF-16 that bytes are in: by their mark, or by zeros in every other place."""
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16-le" if data[:1] == b"\xff" else "utf-16-be"
+    head = data[:4096]
+    low, high = head[0::2].count(0), head[1::2].count(0)
+    if len(head) >= 8 and max(low, high) * 4 > len(head) // 2 * 3 and min(low, high) * 20 < len(head):
+        return "utf-16-le" if high > low else "utf-16-be"
+    return None
+
+
+def _is_text(text: str) -> bool:
+    """The one rule for held and for streamed layers: at most a tenth is not valid or not printable."""
+    return bool(text) and (text.count("\ufffd") + sum(map(len, _ODD.findall(text)))) * 10 <= len(text)
+
+
+def _readable(data: bytes) -> str | None:
+    """Decoded bytes as UTF-8, if they are text; a byte that is not valid stays as a lone surrogate."""
+    text = data.decode(errors="surrogateescape")
+    return text if _is_text(_clean(text)) else None
+
+
+def _clean(text: str) -> str:
+    return _STRAY.sub("\ufffd", text)
+
+
 def _decoded(data: bytes) -> str | None:
-    """The text of decoded bytes, if they are text."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    odd = sum(not (c.isprintable() or c in "\t\n\r") for c in text)
-    return text if text and odd * 20 <= len(text) else None
+    """The text of decoded bytes, if they are text: UTF-16 if they look like it, else UTF-8 with replacements."""
+    wide = _wide(data)
+    text = data.decode(wide, "replace").lstrip("\ufeff") if wide else _clean(data.decode(errors="surrogateescape"))
+    return text if _is_text(text) else None
+
+
+def _size(c: str) -> int:
+    """Bytes of a character; a stray byte is one."""
+    return 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
 
 
 class Inflated:
@@ -184,6 +216,9 @@ def _stream_kinds(source: Callable[[], Iterator[bytes]]) -> set[int]:
     run longer than LAYER_BYTES is cut with an overlap for the rules, and is then read once more through
     its decoders as a stream of its own.
     """
+    if wide := _wide(next(source(), b"")):
+        narrow = source
+        return _stream_kinds(lambda: _narrowed(narrow(), wide))
     kinds: set[int] = set()
     held, at, tail = b"", 0, b""
     line = run = None  # where a long line or wrapped block, and a long base64 run in it, begin
@@ -228,9 +263,16 @@ def _stream_kinds(source: Callable[[], Iterator[bytes]]) -> set[int]:
     return kinds
 
 
+def _narrowed(pieces: Iterator[bytes], wide: str) -> Iterator[bytes]:
+    """UTF-16 pieces as UTF-8."""
+    decoder = codecs.getincrementaldecoder(wide)("replace")
+    for piece in pieces:
+        yield decoder.decode(piece).encode("utf-8", "replace")
+
+
 def _text_kinds(data: bytes) -> set[int]:
-    text = data.decode(errors="replace")
-    if (text.count("\ufffd") + sum(map(len, _ODD.findall(text)))) * 20 > len(text):
+    text = _clean(data.decode(errors="surrogateescape"))
+    if not _is_text(text):
         return set()
     return {kind for _, _, kind in scan_counted(text, placed=False)[1]}
 
@@ -325,17 +367,13 @@ def _run_kinds(source, a: int, z: int) -> set[int]:
 
 
 def unwrap_percent(layer: Layer) -> Layer | None:
-    """The layer with percent escapes decoded where they are UTF-8."""
+    """The layer with percent escapes decoded; a byte that is not valid UTF-8 becomes one replacement character."""
 
     def one(m: re.Match) -> list[tuple[str, int, int]]:
-        try:
-            text = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            return [(c, i, i + 1) for i, c in enumerate(m[0], m.start())]
         out, at = [], m.start()
-        for c in text:
-            size = 3 * len(c.encode())
-            out.append((c, at, at + size))
+        for c in bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape"):
+            size = 3 * _size(c)
+            out.append((_clean(c), at, at + size))
             at += size
         return out
 
@@ -343,15 +381,17 @@ def unwrap_percent(layer: Layer) -> Layer | None:
 
 
 def unwrap_escapes(layer: Layer) -> Layer | None:
-    """The layer with Unicode escapes and numeric character references decoded; a surrogate pair is one character."""
+    """The layer with Unicode escapes and character references decoded; a surrogate pair is one character."""
 
     def one(m: re.Match) -> list[tuple[str, int, int]]:
+        if m[8]:
+            return [(c, m.start(), m.end()) for c in html.unescape(m[8])] if html.unescape(m[8]) != m[8] else _as_is(m)
         code = int(m[6]) if m[6] else int(next(x for x in (m[1], m[2], m[3], m[4], m[5], m[7]) if x), 16)
         return [(chr(code) if code < 0x110000 else m[0][0], m.start(), m.end())]
 
     out = _replaced(layer, _ESCAPE, one)
     if out is not None and re.search("[\ud800-\udfff]", out.text):
-        chars, begin, end, i = [], [], [], 0
+        chars, begin, end, i = [], array("q"), array("q"), 0
         while i < len(out.text):
             c = out.text[i]
             if "\ud800" <= c < "\udc00" and i + 1 < len(out.text) and "\udc00" <= out.text[i + 1] < "\ue000":
@@ -366,15 +406,18 @@ def unwrap_escapes(layer: Layer) -> Layer | None:
     return out
 
 
+def _as_is(m: re.Match) -> list[tuple[str, int, int]]:
+    return [(c, i, i + 1) for i, c in enumerate(m[0], m.start())]
+
+
 def _replaced(layer: Layer, pattern: re.Pattern, one) -> Layer | None:
     chars: list[str] = []
-    begin: list[int] = []
-    end: list[int] = []
+    begin, end = array("q"), array("q")
     last = 0
     for m in pattern.finditer(layer.text):
         chars.append(layer.text[last : m.start()])
-        begin += layer.begin[last : m.start()]
-        end += layer.end[last : m.start()]
+        begin.extend(layer.begin[last : m.start()])
+        end.extend(layer.end[last : m.start()])
         for c, a, z in one(m):
             chars.append(c)
             begin.append(layer.begin[a])
@@ -383,7 +426,11 @@ def _replaced(layer: Layer, pattern: re.Pattern, one) -> Layer | None:
     if not last:
         return None
     text = "".join(chars) + layer.text[last:]
-    return Layer(text, begin + list(layer.begin[last:]), end + list(layer.end[last:])) if text != layer.text else None
+    if text == layer.text:
+        return None
+    begin.extend(layer.begin[last:])
+    end.extend(layer.end[last:])
+    return Layer(text, begin, end)
 
 
 def unwrap_base64(layer: Layer) -> Iterator[Layer | Streamed]:
@@ -432,14 +479,14 @@ def _run_layers(layer: Layer, run: str, lines: list[int], places: list[int]) ->
     def mapped(text: str, start: int, at: int = 0) -> Layer:
         """The layer of a text whose first byte is byte ``at`` of what the run holds from ``start``."""
         if isinstance(layer.begin, Same) and isinstance(layer.end, Same):
-            return Layer(text, Same(layer.begin.value, len(text)), Same(layer.end.value, len(text)))
-        begin, end = [], []
+            return Layer(_clean(text), Same(layer.begin.value, len(text)), Same(layer.end.value, len(text)))
+        begin, end = array("q"), array("q")
         for c in text:  # byte i takes bits 8i to 8i + 8, six to a base64 character
-            size = len(c.encode())
+            size = _size(c)
             begin.append(layer.begin[place(start + 8 * at // 6)])
             at += size
             end.append(layer.end[place(start + (8 * at + 5) // 6 - 1)])
-        return Layer(text, begin, end)
+        return Layer(_clean(text), begin, end)
 
     def unpacked(parts: tuple[bytes, ...], kinds: set[int] | None, start: int) -> Iterator[Layer | Streamed]:
         a, z = layer.span(place(start), place(len(run) - 1) + 1)
@@ -459,7 +506,10 @@ def _run_layers(layer: Layer, run: str, lines: list[int], places: list[int]) ->
         yield from unpacked((plain, rest if done else b""), kinds, 0)
         if done and (not rest or _decoded(rest)):
             return
-        if not done and (text := _decoded(data)):
+        if not done and _wide(data) and (text := _decoded(data)):
+            yield from unpacked((data,), None, 0)
+            return
+        if not done and (text := _readable(data)):
             yield mapped(text, 0)
             return
     until = [done] * 4  # by alignment, how far the run was read
@@ -543,6 +593,7 @@ def spans_text(spans: list[tuple[int, int, int]]) -> str:
 _HEX_BYTES = np.isin(np.arange(256), list(b"0123456789abcdef"))
 _HEX_ANY = np.isin(np.arange(256), list(b"0123456789abcdefABCDEF"))
 _BASE64_BYTES = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"))
+_LETTER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
 _BLANK_BYTES = np.isin(np.arange(256), list(b" \t\r\n"))
 _WORDS = (b"passw", b"secret", b"token", b"api")
 
@@ -559,7 +610,7 @@ def marked_rows(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     slash = np.flatnonzero(data[:-1] == 0x5C)
     at.append(slash[np.isin(data[slash + 1], list(b"uUx"))])
     refer = np.flatnonzero(data[:-1] == 0x26)
-    at.append(refer[data[refer + 1] == 0x23])
+    at.append(refer[(data[refer + 1] == 0x23) | _LETTER[data[refer + 1]]])
     return np.unique(np.searchsorted(offsets, np.concatenate(at), side="right") - 1)
 
 
