@@ -1,9 +1,11 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant.
 
 Each document gives a vector of transformed statistics.  Per language and source, the centre
-and scatter are those of the ``SHARE`` of documents whose covariance has the smallest determinant
-that concentration steps reach from a deterministic start (medians and absolute deviations).  A
-document is rejected if its Mahalanobis distance passes a chi-square quantile.
+and scatter are those of the ``SHARE`` of documents whose covariance has the smallest determinant:
+concentration steps run from several starts (medians and absolute deviations, and small subsets
+drawn by hash), each until its determinant stops falling, and the smallest determinant wins.  A
+reweighting step then takes the moments of all documents within a chi-square quantile of that
+estimate.  A document is rejected if its Mahalanobis distance passes a further quantile.
 
 Concentration steps run over all rows: a step takes each group's distance quantile and the
 moments of the rows within it, both aggregates with partial sums, so a group of any size
@@ -19,13 +21,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, shingles_of, small, text_slices, word_hashes, words_of
 
 SHARE = 0.75
-STEPS = 4
+STARTS = 3
+#: Rows of the subset that a start other than the first is drawn from.
+SUBSET_ROWS = 40
+#: A step that lowers the logarithm of the determinant by less is the last; quantiles are approximate.
+LEAST_FALL = 1e-3
+#: Share of regular documents that the reweighting step takes.
+WITHIN = 0.975
 LEAST_ROWS = 60
 #: Upper tail of the chi-square law that is rejected.
 TAIL = 1e-6
@@ -173,11 +181,14 @@ def _moments(rows: DataFrame) -> DataFrame:
     d = len(NAMES)
     sums = [F.avg(F.col(s)).alias(f"m{i}") for i, s in enumerate(NAMES)]
     sums += [F.covar_pop(NAMES[i], NAMES[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i + 1)]
-    return rows.groupBy("pool").agg(F.count("*").alias("n"), *sums)
+    return rows.groupBy("pool", "start").agg(*sums)
 
 
-def _solve(scale: float):
-    """Centre and precision of each pool's moments; the covariance times ``scale``, plus each statistic's least variance."""
+FIT_SCHEMA = "pool string, start int, centre array<double>, precision array<double>, spread double"
+
+
+def _solved(moments: DataFrame, scale: float) -> DataFrame:
+    """Centre, precision and log determinant (``spread``) of moments; the covariance times ``scale``, plus each statistic's least variance."""
     d, floor = len(NAMES), np.diag([s[2] ** 2 for s in STATISTICS])
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,38 +200,65 @@ def _solve(scale: float):
                     for j in range(i + 1):
                         cov[i, j] = cov[j, i] = getattr(r, f"c{i}_{j}") * scale
                 p = np.linalg.inv(cov + floor)
-                out.append((r.pool, int(r.n), [getattr(r, f"m{i}") for i in range(d)], [p[i, j] for i in range(d) for j in range(i + 1)]))
-            yield pd.DataFrame(out, columns=["pool", "n", "centre", "precision"])
-
-    return solve
-
+                lower = [p[i, j] for i in range(d) for j in range(i + 1)]
+                out.append((r.pool, r.start, [getattr(r, f"m{i}") for i in range(d)], lower, float(np.linalg.slogdet(cov + floor)[1])))
+            yield pd.DataFrame(out, columns=["pool", "start", "centre", "precision", "spread"])
 
-FIT_SCHEMA = "pool string, n long, centre array<double>, precision array<double>"
+    return moments.mapInPandas(solve, FIT_SCHEMA)
 
 
-def fit_pools(rows: DataFrame) -> DataFrame:
-    """(pool, n, centre, precision) by concentration steps over ``rows`` (pool and the statistics)."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """The estimates that concentration begins from; their ``spread`` is null."""
     d = len(NAMES)
     middle = [F.percentile_approx(s, 0.5, 10_000).alias(f"q{i}") for i, s in enumerate(NAMES)]
-    medians = small(materialise(rows.groupBy("pool").agg(F.count("*").alias("n"), *middle), "quality-medians"))
+    medians = small(materialise(rows.groupBy("pool").agg(*middle), "quality-medians"))
     spread = [F.percentile_approx(F.abs(F.col(s) - F.col(f"q{i}")), 0.5, 10_000).alias(f"a{i}") for i, s in enumerate(NAMES)]
-    spreads = rows.join(medians, "pool").groupBy("pool").agg(*spread)
-    start = medians.join(spreads, "pool")
+    start = medians.join(rows.join(medians, "pool").groupBy("pool").agg(*spread), "pool")
     cells = []
     for i in range(d):
         cells += [F.lit(0.0)] * i + [1 / (F.pow(F.col(f"a{i}") * 1.4826, F.lit(2.0)) + F.lit(STATISTICS[i][2] ** 2))]
-    fit = start.select("pool", "n", F.array(*[f"q{i}" for i in range(d)]).alias("centre"), F.array(*cells).alias("precision"))
-    cut = chi_square_quantile(SHARE, d)
-    scale = SHARE / chi_square_below(cut, d + 2)
-    for _ in range(STEPS):
-        fit = small(materialise(fit, "quality-fit"))
-        near = rows.join(fit, "pool").withColumn("_d", _distance()).drop("centre", "precision", "n")
-        bounds = small(materialise(near.groupBy("pool").agg(F.percentile_approx("_d", SHARE, 10_000).alias("_bound")), "quality-bounds"))
-        inner = near.join(bounds, "pool").where("_d <= _bound")
-        sizes = medians.select("pool", F.col("n").alias("rows"))
-        solved = _moments(inner).mapInPandas(_solve(scale), FIT_SCHEMA).drop("n")
-        fit = solved.join(sizes, "pool").select("pool", F.col("rows").alias("n"), "centre", "precision")
-    return materialise(fit, "quality-fit")
+    first = start.select("pool", F.lit(0).alias("start"), F.array(*[f"q{i}" for i in range(d)]).alias("centre"), F.array(*cells).alias("precision"))
+    drawn = rows.withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(STARTS - 1))))
+    place = F.row_number().over(Window.partitionBy("pool", "start").orderBy(F.xxhash64(*NAMES, "start")))
+    drawn = drawn.withColumn("_place", place).where(F.col("_place") <= SUBSET_ROWS)
+    return first.unionByName(_solved(_moments(drawn), 1.0).drop("spread")).withColumn("spread", F.lit(None).cast("double"))
+
+
+def _inner(rows: DataFrame, fit: DataFrame) -> DataFrame:
+    """The ``SHARE`` of the rows nearest to each estimate of their pool."""
+    near = rows.join(fit.select("pool", "start", "centre", "precision"), "pool").withColumn("_d", _distance()).drop("centre", "precision")
+    bounds = near.groupBy("pool", "start").agg(F.percentile_approx("_d", SHARE, 10_000).alias("_bound"))
+    return near.join(small(materialise(bounds, "quality-bounds")), ["pool", "start"]).where("_d <= _bound")
+
+
+def concentrated(rows: DataFrame) -> DataFrame:
+    """The estimate of smallest determinant of each pool, each start followed until its determinant stops falling."""
+    d = len(NAMES)
+    scale = SHARE / chi_square_below(chi_square_quantile(SHARE, d), d + 2)
+    open_ = small(materialise(_starts(rows), "quality-fit"))
+    ended = open_.limit(0)
+    while not open_.isEmpty():
+        step = _solved(_moments(_inner(rows, open_)), scale)
+        before = open_.select("pool", "start", F.struct("spread", "centre", "precision").alias("before"))
+        step = materialise(step.join(before, ["pool", "start"]), "quality-step")
+        falls = F.col("before.spread").isNull() | (F.col("spread") < F.col("before.spread") - LEAST_FALL)
+        better = F.struct("spread", "centre", "precision")
+        better = F.when(F.col("before.spread").isNull() | (F.col("spread") <= F.col("before.spread")), better).otherwise(F.col("before"))
+        last = step.where(~falls).select("pool", "start", better.alias("b")).select("pool", "start", "b.centre", "b.precision", "b.spread")
+        ended = ended.unionByName(last)
+        open_ = small(materialise(step.where(falls).drop("before"), "quality-fit"))
+    best = ended.groupBy("pool").agg(F.min_by(F.struct("start", "centre", "precision", "spread"), F.struct("spread", "start")).alias("b"))
+    return materialise(best.select("pool", "b.*"), "quality-best")
+
+
+def fit_pools(rows: DataFrame) -> DataFrame:
+    """(pool, n, centre, precision) of ``rows`` (pool and the statistics): the best estimate, reweighted."""
+    d = len(NAMES)
+    cut = chi_square_quantile(WITHIN, d)
+    near = rows.join(small(concentrated(rows)), "pool").withColumn("_d", _distance())
+    final = _solved(_moments(near.where(F.col("_d") <= cut)), WITHIN / chi_square_below(cut, d + 2))
+    sizes = rows.groupBy("pool").agg(F.count("*").alias("n"))
+    return materialise(final.join(sizes, "pool").select("pool", "n", "centre", "precision"), "quality-fit")
 
 
 def judge_documents(docs: DataFrame) -> DataFrame:
