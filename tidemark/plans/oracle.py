@@ -240,6 +240,16 @@ WITH r AS (SELECT CASE WHEN event_id % 14 = 0 THEN 'malformed' WHEN event_id % 6
 names AS (SELECT unnest(['malformed', 'no_wiki', 'no_timestamp', 'bad_time']) AS reason)
 SELECT reason, CAST((SELECT COUNT(*) FROM r WHERE r.reason = names.reason) AS BIGINT) AS n FROM names
 UNION ALL SELECT 'rows', CAST(COUNT(*) AS BIGINT) FROM r""",
+    "segment_replay": """
+SELECT run, CAST(event_id % 3 AS INTEGER) AS log_partition, CAST(event_id // 3 AS BIGINT) AS log_offset, event_id
+FROM events, (SELECT unnest(['earliest', 'offsets']) AS run)
+WHERE run = 'earliest' OR event_id // 3 >= CASE event_id % 3 WHEN 0 THEN 700 WHEN 1 THEN 40 ELSE 0 END""",
+    "delivered_once": """
+SELECT event_id,
+       CASE WHEN event_id % 11 = 0 OR event_id % 7 = 0 THEN NULLIF(CAST(event_id AS VARCHAR), '0')
+            ELSE 'u-' || event_id END AS message_key,
+       CAST(1 AS BIGINT) AS n
+FROM events""",
     "backfill_two_inputs": _with(EV, LK, TOTALS) + f"SELECT {TOTALS_OUT} FROM totals",
     "contract_kept_rows": _with(EV, LK, TOTALS) + f"""
 SELECT strftime(window_end, {FMT}) AS window_end, wiki,

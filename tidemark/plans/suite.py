@@ -11,11 +11,13 @@ a burst threshold of 15 suit the sparse test events.  Timestamps leave as
 from __future__ import annotations
 
 import functools
+import json
 import os
 import time
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -30,6 +32,7 @@ from ..operators.current import current_view
 from ..operators.enrich import enrich, prepare_lookup
 from ..operators.rollups import actions_rollup, totals_from_actions, totals_rollup
 from ..session import checkpoint_root, scratch_path, utc_session
+from ..sinks.delivered import deliver_stream, delivered
 from ..sinks.delivery import deliverable, delivery_actions
 from ..sinks.kafka import write_files
 from ..sinks.partition_stats import estimates
@@ -38,8 +41,10 @@ from ..sources import synthetic
 from ..sources.feed import clean_feed
 from ..sources.files import events_stream, events_table_stream, text_stream
 from ..sources.lookup import dedupe_lookup, ensure_lookup_readable, lookup_from_tables, read_lookup_csv
+from ..sources.segments import land_segments, segment_stream
 from ..sources.tables import spread, table
 from . import newest, reports
+from .crashing import CRASH, CrashingSink
 from .backfill import WarehousePaths, current_actions, current_totals, run_backfill
 
 # Fixed parameters of the registered queries.
@@ -480,6 +485,59 @@ def q_stream_late_rows(spark, sf_dir):
     return _all_ts_text(rows.select("event_id", "wiki", "event_type", "window_end", "watermark", F.col("batch_id").cast("bigint").alias("batch_id")))
 
 
+def _landed(spark: SparkSession, sf_dir: str, path: str) -> tuple[str, int]:
+    """The raw events landed as a log of three partitions (event_id modulo 3), and a cap that gives some four batches."""
+    events = table(spark, sf_dir, "events")
+    rows = synthetic.raw_events(events).select(
+        (F.col("event_id") % 3).cast("int").alias("log_partition"), F.floor(F.col("event_id") / 3).cast("long").alias("log_offset"),
+        F.col("raw").alias("value"),
+    )
+    landed = land_segments(rows, f"{path}/log", segment_rows=1000).agg(F.sum("rows").alias("rows")).first()["rows"] or 0
+    return f"{path}/log", max(1, -(-landed // 4))
+
+
+def _logged(stream: DataFrame) -> DataFrame:
+    """Landed messages with their key and event id."""
+    keyed = with_message_key(stream.withColumnRenamed("value", "raw"))
+    return keyed.select("log_partition", "log_offset", "message_key", F.get_json_object("raw", "$.id").cast("bigint").alias("event_id"))
+
+
+_LOGGED = "log_partition int, log_offset long, message_key string, event_id long"
+
+
+def q_segment_replay(spark, sf_dir):
+    """Landed segments read to their end, a quarter of all offsets at a time: from the earliest offset, and from given ones."""
+    path = scratch_path(spark, "segments")
+    log, cap = _landed(spark, sf_dir, path)
+    for run, start in (("earliest", "earliest"), ("offsets", json.dumps({"0": 700, "1": 40}))):
+        stream = segment_stream(spark, log, startingOffsets=start, maxOffsetsPerTrigger=cap, positionPath=f"{path}/position-{run}")
+        query = deliver_stream(_logged(stream), f"{path}/out", f"{path}/checkpoint-{run}", run)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    rows = delivered(spark, f"{path}/out", _LOGGED)
+    return rows.select(F.col("run_id").alias("run"), "log_partition", "log_offset", "event_id")
+
+
+def q_delivered_once(spark, sf_dir):
+    """K6 / K7: batch 1 fails once after it became visible, batch 2 once before; each message is delivered once."""
+    path = scratch_path(spark, "delivered")
+    log, cap = _landed(spark, sf_dir, path)
+    for _ in range(3):  # two starts end with the failure
+        stream = segment_stream(spark, log, maxOffsetsPerTrigger=cap, positionPath=f"{path}/position")
+        query = deliver_stream(_logged(stream), f"{path}/out", f"{path}/checkpoint", "run", CrashingSink, after=1, before=2, marks=f"{path}/marks")
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException as failed:
+            if CRASH not in str(failed):
+                raise
+        finally:
+            query.stop()
+    rows = delivered(spark, f"{path}/out", _LOGGED)
+    return rows.groupBy("event_id", "message_key").agg(F.count("*").alias("n"))
+
+
 def q_backfill_two_inputs(spark, sf_dir):
     """Two backfills over inputs that share hours but no wiki; both stay."""
     paths = WarehousePaths(scratch_path(spark, "backfill"))
@@ -700,6 +758,8 @@ _ALL: dict[str, QueryFn] = {
     "stream_dedup": q_stream_dedup,
     "stream_late_rows": q_stream_late_rows,
     "parse_drops": q_parse_drops,
+    "segment_replay": q_segment_replay,
+    "delivered_once": q_delivered_once,
     # read-side reports
     "table_stats": q_table_stats,
     "lookback_totals": q_lookback_totals,
