@@ -63,6 +63,65 @@ def test_long_conversation_in_chunks(spark, monkeypatch):
     assert all(whole[t][0] == [role] for _, t, role, _ in turns)
 
 
+def plain(rows, model):
+    """(row -> roles, rendered) of whole transcripts, one line after the other; rows are (row, key, pos, text)."""
+    out, keys = {}, {}
+    for row, key, pos, text in rows:
+        keys.setdefault(key, []).append((pos is not None, pos or 0, text or "", row))
+    for texts in keys.values():
+        lines = [(row, line, seen) for _, _, text, row in sorted(texts) for line, seen in chat.observed(text)]
+        score, back = [], []
+        for t, (_, _, seen) in enumerate(lines):
+            emit = [sum(model.emit[f][s, v] for f, v in enumerate(seen)) for s in range(len(chat.STATES))]
+            came = [max(range(len(emit)), key=lambda q: score[-1][q] + model.move[q, s]) if t else -1 for s in range(len(emit))]
+            score.append([(score[-1][came[s]] + model.move[came[s], s] if t else model.start[s]) + emit[s] for s in range(len(emit))])
+            back.append(came)
+        path = [max(range(len(chat.STATES)), key=score[-1].__getitem__)] if lines else []
+        for came in back[:0:-1]:
+            path.insert(0, came[path[0]])
+        for _, _, _, row in texts:
+            out[row] = ([], "")
+        for t, (row, line, _) in enumerate(lines):
+            role, opens = chat.STATES[path[t]]
+            roles, rendered = out[row]
+            if opens:
+                rendered += ("\n" if rendered else "") + f"<|{chat.ROLES[role]}|>"
+                line = line[chat.marker_of(line)[1] :]
+            elif rendered:
+                rendered += "\n"
+            closes = "<|end|>" if t + 1 == len(lines) or chat.STATES[path[t + 1]][1] else ""
+            out[row] = ([*roles, chat.ROLES[role]], rendered + chat._TAG.sub("&lt;", line) + closes)
+    return out
+
+
+@pytest.mark.parametrize("chunk", [3, 1024])
+def test_query_rows_against_plain_code(spark, monkeypatch, chunk):
+    """Whole conversations of sf0.001, also cut into chunks of three rows."""
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").selectExpr("monotonically_increasing_id() row", "*")
+    texts = chat.as_transcripts(turns)
+    model = chat.fit(texts)
+    rows = texts.selectExpr("row", "conv_id key", "turn pos", "text").collect()
+    monkeypatch.setattr(chat, "CHUNK_ROWS", chunk)
+    df = spark.createDataFrame(rows, "row long, key long, pos long, text string")
+    assert {r.row: (r.roles, r.rendered) for r in chat.parse_transcripts(df, model).collect()} == plain([tuple(r) for r in rows], model)
+
+
+def test_turns_that_run_over_cuts_and_rows_without_order(spark, monkeypatch):
+    """A row per line: a turn of many lines, null keys, null and repeated positions give the same at any cut."""
+    lines = ["User: first", *[f"goes on {i:02d}" for i in range(9)], "Assistant: answer", *[f"and on {i:02d}" for i in range(20)]]
+    rows = [(i, 1, i, line) for i, line in enumerate(lines)] + [(100 + i, None, 5, f"same place {i:02d}") for i in range(15)]
+    rows += [(200 + i, None, None, f"no place {i:02d}") for i in range(15)] + [(300 + i, 2, 0, "again") for i in range(8)] + [(400, 1, 4, "   ")]
+    turns = [(1, t, ("user", "assistant")[t % 2], "\n".join(f"line {i}" for i in range(6))) for t in range(10)]
+    model = chat.fit(chat.as_transcripts(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")))
+    df = spark.createDataFrame(rows, "row long, key long, pos long, text string").repartition(3)
+    want = plain(rows, model)
+    assert sum(r.count("<|end|>") for _, r in want.values()) < 30  # most lines go on
+    for chunk in (1024, 4, 1):
+        monkeypatch.setattr(chat, "CHUNK_ROWS", chunk)
+        monkeypatch.setattr(chat, "RANGE_ROWS", 7)
+        assert {r.row: (r.roles, r.rendered) for r in chat.parse_transcripts(df, model).collect()} == want
+
+
 def test_edges(spark, tmp_dir):
     turns = [
         (1, 0, "user", "hi <|end|> there"), (1, 1, "assistant", None), (1, 1, "assistant", ""), (1, None, "user", "no turn"), (None, 0, "user", "no id"),

@@ -9,7 +9,7 @@ also where markers are missing, unknown or misleading.  Then each turn is render
 The model's probabilities are smoothed counts over all labelled rows.  Viterbi's step is a
 max-plus matrix product, so a transcript of any length is cut into chunks of ``CHUNK_ROWS``
 rows: each chunk's product is a small matrix, the matrices' running product gives each
-chunk's entry scores, and chunks are then decoded on their own.
+chunk's entry scores and whether a turn goes on behind it, and chunks are then decoded on their own.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks_for, materialise
@@ -30,6 +30,7 @@ ROLES = ("system", "user", "assistant")
 STATES = [(role, opens) for role in range(3) for opens in (True, False)]
 CHUNK_ROWS = 1024
 UNIT_ROWS = 5000
+RANGE_ROWS = 50_000
 
 #: Speaker names by role.
 NAMES = {
@@ -117,6 +118,30 @@ def chunk_ends(start: np.ndarray, move: np.ndarray, products: list[np.ndarray])
     return list(zip(entry, rest[::-1]))
 
 
+def chunk_closes(ends: list[tuple[np.ndarray, np.ndarray]], products: list[np.ndarray]) -> list[bool]:
+    """Whether a chunk's last turn ends with it: the best path opens a turn in the next chunk, or there is none."""
+    first = [int((entry + (p + rest).max(1)).argmax()) for (entry, rest), p in zip(ends, products)]
+    return [STATES[i][1] for i in first[1:]] + [True]
+
+
+def with_places(rows: DataFrame) -> DataFrame:
+    """(row, hash, pos, text) with each row's place among its key's rows, counted from 0.
+
+    Rows are range-partitioned in their order, so a key of any size lies over many tasks; a place is
+    the number within its range plus the running total of the ranges before.
+    """
+    rows = rows.withColumn("start", F.substring("text", 1, 64)).withColumn("told", F.xxhash64("text"))
+    order = ["hash", F.asc_nulls_first("pos"), "start", "told", "row"]
+    ranged = rows.repartitionByRange(blocks_for(rows.count(), RANGE_ROWS), *order)
+    ranged = materialise(ranged.withColumn("range", F.spark_partition_id()), "chat-ranges")
+    sizes = ranged.groupBy("hash", "range").agg(F.count("*").alias("size"))
+    earlier = Window.partitionBy("hash").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = materialise(sizes.select("hash", "range", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before")), "chat-before")
+    here = F.row_number().over(Window.partitionBy("hash", "range").orderBy(*order[1:]))
+    placed = ranged.withColumn("here", here).join(before, ["hash", "range"])
+    return placed.select("row", "hash", "text", (F.col("before") + F.col("here") - 1).alias("place"))
+
+
 def count_rows(turns: DataFrame) -> tuple[dict, dict]:
     """Counts by Spark over labelled rows (conv_id, turn, role, text): of (state, feature, value) and of role successions."""
 
@@ -188,19 +213,20 @@ def render(lines: list[tuple[str, tuple[int, ...]]], path: np.ndarray, closes: b
 def parse_transcripts(rows: DataFrame, model: Model) -> DataFrame:
     """row, roles (one per line that is not blank) and rendered, for each row of ``rows`` (a unique long row, key, pos, text).
 
-    The rows of a key, in the order of ``pos`` (null first), text and row, are one transcript; a
+    The rows of a key, in the order of ``pos`` (null first), the text's first 64 characters, its hash and
+    row, are one transcript, cut every ``CHUNK_ROWS`` counted rows; a cut changes nothing in the result.  A
     text may hold any number of lines.  Rows without text render as the empty string; null keys are
     one transcript; repeated rows are repeated lines; other columns are ignored; an empty table
     gives no rows.
     """
     plain = rows.select("row", F.xxhash64("key").alias("hash"), F.col("pos").cast("long").alias("pos"), F.coalesce("text", F.lit("")).alias("text"))
-    plain = plain.withColumn("chunk", F.floor(F.coalesce("pos", F.lit(0)) / CHUNK_ROWS).cast("long"))
-    plain = materialise(plain, "chat-rows")
+    placed = with_places(materialise(plain, "chat-rows"))
+    plain = materialise(placed.withColumn("chunk", F.floor(F.col("place") / CHUNK_ROWS).cast("long")), "chat-places")
     units = blocks_for(plain.count(), UNIT_ROWS)
     dealt = plain.withColumn("unit", F.pmod(F.xxhash64("hash", "chunk"), F.lit(units)))
 
     def chunks(frame: pd.DataFrame):
-        frame = frame.sort_values(["hash", "chunk", "pos", "text", "row"], kind="stable", na_position="first")
+        frame = frame.sort_values(["hash", "place"], kind="stable")
         for key, group in frame.groupby(["hash", "chunk"], sort=False):
             yield key, group, [observed(t) for t in group["text"]]
 
@@ -215,12 +241,14 @@ def parse_transcripts(rows: DataFrame, model: Model) -> DataFrame:
         frame = frame.sort_values("chunk")
         tables = [np.array(p).reshape(len(STATES), -1) for p in frame["product"]]
         found = chunk_ends(model.start, model.move, tables)
-        return pd.DataFrame({"hash": frame["hash"], "chunk": frame["chunk"], "entry": [e.tolist() for e, _ in found], "rest": [r.tolist() for _, r in found]})
+        return pd.DataFrame({"hash": frame["hash"], "chunk": frame["chunk"], "entry": [e.tolist() for e, _ in found],
+                             "rest": [r.tolist() for _, r in found], "closes": chunk_closes(found, tables)})
 
     def decode(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, group, texts in chunks(frame):
-            entry, rest = group["entry"].iloc[0], group["rest"].iloc[0]
+            entry, rest, ends_turn = (group[c].iloc[0] for c in ("entry", "rest", "closes"))
+            ends_turn = entry is None or bool(ends_turn)
             entry, rest = (model.start, 0.0) if entry is None else (np.array(entry), np.array(rest))
             seen = [f for text in texts for _, f in text]
             path = best_path(entry, model.move, model.lines(seen), rest) if seen else np.empty(0, np.int64)
@@ -228,13 +256,13 @@ def parse_transcripts(rows: DataFrame, model: Model) -> DataFrame:
             for row, text in zip(group["row"], texts):
                 states = path[at : at + len(text)]
                 at += len(text)
-                closes = at >= len(path) or STATES[path[at]][1]
+                closes = ends_turn if at >= len(path) else STATES[path[at]][1]
                 out.append((row, [ROLES[STATES[s][0]] for s in states], render(text, states, closes)))
         return pd.DataFrame(out, columns=["row", "roles", "rendered"])
 
     long = materialise(plain.where("chunk <> 0").select("hash").distinct(), "chat-long")
     parts = dealt.join(long, "hash", "left_semi").groupBy("unit").applyInPandas(products, "hash long, chunk long, product array<double>")
-    known = parts.groupBy("hash").applyInPandas(ends, "hash long, chunk long, entry array<double>, rest array<double>")
+    known = parts.groupBy("hash").applyInPandas(ends, "hash long, chunk long, entry array<double>, rest array<double>, closes boolean")
     dealt = dealt.join(materialise(known, "chat-ends"), ["hash", "chunk"], "left")
     return dealt.groupBy("unit").applyInPandas(decode, "row long, roles array<string>, rendered string")
 
