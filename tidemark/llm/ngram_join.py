@@ -9,8 +9,8 @@ Rarity is exact, counted over all nodes, first in the lowest ``1.5 (1 - t)`` of
 token of more than ``RARE`` nodes is frequent.  Nodes that meet at rare tokens make candidates if
 the tokens they share there leave room for a link.  Nodes with too few rare tokens there are
 counted over the rest of the hash space among themselves.  What then still lacks rare tokens are
-large groups of sets made of frequent tokens: those link to a hub of their first frequent tokens,
-round by round, and node sets that stay apart though they share such a token are joined block by
+large groups of sets made of frequent tokens: those link to the hubs of their first ``HUB_ROUNDS``
+frequent tokens, and node sets that stay apart though they share such a token are joined block by
 block, so no link is lost and no task holds a group.
 
 *Whether they link.*  Each task stores its sets in a prefix tree, the tokens most common there
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import blocks_for, components, free_name, materialise, pieces_of, sets_of, small
 
 RARE = 16
-HUB_ROUNDS = 3
+HUB_ROUNDS = 3  # hubs of so many first tokens
 BLOCK_SETS = 512
 UNIT_PAIRS = 2000
 
@@ -293,11 +293,10 @@ def node_links(docs: DataFrame, keys: list[str], k: int, num: int, den: int) ->
     first = F.row_number().over(Window.partitionBy("node").orderBy("token"))
     meets = common.union(common2.select("token", "node")).join(lack.select("node", "n", "lacks"), "node")
     meets = materialise(meets.withColumn("place", first).where("place <= lacks").select("token", "node", "n", "place"), "join-meets")
-    for at in range(1, HUB_ROUNDS + 1):
-        here = meets.where(F.col("place") == at)
-        hubs = materialise(here.groupBy("token").agg(F.min(F.struct(F.xxhash64("node"), "node")).alias("hub")), "join-hubs")
-        star = here.join(hubs, "token").select(F.col("hub.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
-        links = links.union(_links(star, sets, num, den))
+    here = meets.where(F.col("place") <= HUB_ROUNDS)
+    hubs = materialise(here.groupBy("token").agg(F.min(F.struct(F.xxhash64("node"), "node")).alias("hub")), "join-hubs")
+    star = here.join(hubs, "token").select(F.col("hub.node").alias("a"), F.col("node").alias("b")).where("a <> b").distinct()
+    links = links.union(_links(star, sets, num, den))
     links = materialise(links, "join-links")
     known = materialise(components(links), "join-components")
     apart = meets.select("token", "node").join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
