@@ -83,3 +83,55 @@ def test_features_see_through_disguise():
     scorer = toxicity.Scorer({"idiot": 5.0, "dumm-": 4.0})
     value = dict(zip(toxicity.FEATURES, scorer.features("You ID10T !! 1d!ot idi-ot dummkopf fine words")))
     assert value["distinct_hits"] == 4 and value["obfuscated_hits"] > 0 and value["near_second_person"] > 0
+
+
+def plain_features(lexicon, text):
+    """The features counted word by word and character by character, every hit against every second-person word."""
+    text = text or ""
+    words, hits, people, hidden_words = text.split(), [], [], 0
+    for i, word in enumerate(words):
+        letters, hidden = toxicity.plain(word)
+        weight = max([lexicon[s] for s in toxicity.stems(letters) if s in lexicon] or [0.0])
+        hidden_words += hidden
+        if weight:
+            hits.append((i, weight, hidden))
+        if letters in toxicity.SECOND_PERSON:
+            people.append(i)
+    n, weights = max(1, len(words)), [w for _, w, _ in hits]
+    upper, lower = sum("A" <= c <= "Z" for c in text), sum("a" <= c <= "z" for c in text)
+    return [
+        np.log1p(len(words)), 100 * len([w for w in weights if w >= 3]) / n, 100 * len([w for w in weights if 1.5 <= w < 3]) / n,
+        100 * sum(weights) / n, np.log1p(len(hits)), len({words[i].lower() for i, _, _ in hits}), max(weights or [0.0]),
+        sum(any(abs(i - p) <= toxicity.NEAR for p in people) for i, _, _ in hits) / max(1, len(hits)), 100 * len(people) / n,
+        upper / max(1, upper + lower), sum(33 <= ord(c) <= 47 or 58 <= ord(c) <= 64 for c in text) / max(1, len(text)), text.count("!") / n,
+        100 * hidden_words / n, 100 * sum(h for _, _, h in hits) / n,
+    ]
+
+
+def plain_score(model, text):
+    """One text down every tree, then the calibration's line between two knots."""
+    x, margin = plain_features(model.lexicon, text), model.trees.base
+    for feature, cut, value in model.trees.splits:
+        node = 0
+        while node < len(feature):
+            j = feature[node]
+            node = 2 * node + (2 if sum(e < x[j] for e in model.trees.edges[j]) > cut[node] else 1)
+        margin += value[node - len(feature)]
+    at, knots = model.knots
+    if margin <= at[0] or margin >= at[-1]:
+        return knots[0] if margin <= at[0] else knots[-1]
+    i = max(i for i in range(len(at)) if at[i] <= margin)
+    return knots[i] + (knots[i + 1] - knots[i]) * (margin - at[i]) / (at[i + 1] - at[i])
+
+
+def test_query_rows_against_plain_code(spark):
+    """Every row of the query on sf0.001: features, trees and calibration of the trained model, one text at a time."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
+    rows = {r.doc_id: r for r in op1_toxicity(spark, folder).collect()}
+    texts = docs.select("doc_id", "text").collect()
+    assert model.trees is not None and len(rows) == len(texts)
+    for doc_id, text in texts:
+        assert rows[doc_id].score == pytest.approx(plain_score(model, text), abs=1e-9), doc_id
+        assert rows[doc_id].held_out == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
