@@ -18,7 +18,7 @@ def test_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLE_SQL) <= set(QUERIES) and set(ORACLE_SQL) <= set(__spark_entry__.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages(spark, tmp_dir):
@@ -55,7 +55,7 @@ def test_edges(spark, tmp_dir):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     result = con.sql(ORACLE_SQL[name])
     df = QUERIES[name](spark, SMALL)
