@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.crashing import CrashingSink
 from tidemark.sinks.delivered import DeliveredWriter, Written, deliver_stream, delivered
-from tidemark.sources.segments import Slice, land_segments, next_ends, segment_stream, segments, slices
+from tidemark.sources.segments import SegmentStreamReader, Slice, land_segments, next_ends, segment_stream, segments, shares, slices
 
 OUT = "log_partition int, log_offset long, value string, lost long"
 
@@ -60,6 +60,34 @@ def test_slices_cover_each_offset_once():
     assert slices([], 0, 3, 5) == [Slice(0, 3, 5, None)] and slices(runs, 0, 7, 7) == []
 
 
+def test_small_segments_share_a_task():
+    found = [Slice(0, 0, 4, "a"), Slice(0, 4, 8, "b"), Slice(0, 8, 90, None), Slice(0, 90, 92, "c"), Slice(1, 0, 25, "d"), Slice(1, 25, 26, "e")]
+    dealt = [s.slices for s in shares(found, 10)]
+    assert dealt == [found[:3], found[3:4], found[4:5], found[5:]] and shares([]) == []
+
+
+def test_many_segments_need_few_tasks_and_groups(spark, tmp_dir):
+    landed = _land(spark, tmp_dir, 0, 2000)
+    assert len(landed) == 400 and sum(r["rows"] for r in landed) == 4000
+    reader = SegmentStreamReader({"path": f"{tmp_dir}/log"})
+    tasks = reader.partitions({"0": 0, "1": 0}, {"0": 2000, "1": 1995})
+    assert len(tasks) == 1 and len(tasks[0].slices) == 400
+    got = [(r["log_partition"], r["log_offset"], r["value"]) for batch in reader.read(tasks[0]) for r in batch.to_pylist()]
+    assert sorted(got) == [(p, at, f"{p}-{at}") for p, end in ((0, 2000), (1, 1995)) for at in range(end)]
+
+
+def test_landed_segments_over_batches_and_repeated_offsets(spark, tmp_dir):
+    """Segments that span several Arrow batches, and offsets that come twice, stay whole."""
+    rows = spark.range(0, 60).union(spark.range(0, 60, 7)).select(
+        F.lit(0).alias("log_partition"), F.col("id").alias("log_offset"), F.col("id").cast("string").alias("value"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        landed = sorted(land_segments(rows, f"{tmp_dir}/log", 20).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [tuple(r) for r in landed] == [(0, 0, 20, 23), (0, 20, 40, 23), (0, 40, 60, 23)]
+
+
 def test_landed_names_and_repeats(spark, tmp_dir):
     landed = _land(spark, tmp_dir, 0, 25)
     again = _land(spark, tmp_dir, 0, 25)

@@ -26,6 +26,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,8 @@ from .shared import files_in, get, put, shared_fs
 FORMAT = "landed_segments"
 SCHEMA = "log_partition int, log_offset long, value string, lost long"
 _SEGMENT = re.compile(r"partition=(\d+)/(\d{20})-(\d{20})\.parquet$")
+#: Offsets that one task reads of segments that are smaller than that.
+SHARE_OFFSETS = 100_000
 _ARROW = pa.schema([("log_partition", pa.int32()), ("log_offset", pa.int64()), ("value", pa.string()), ("lost", pa.int64())])
 
 
@@ -50,6 +53,13 @@ class Slice(InputPartition):
     path: str | None
 
 
+@dataclass
+class Share(InputPartition):
+    """Slices that one task reads, one after the other."""
+
+    slices: list[Slice]
+
+
 def segments(path: str) -> dict[int, list[tuple[int, int, str]]]:
     """(first, end, file) of every segment by partition, in order; other files are ignored."""
     found: dict[int, list[tuple[int, int, str]]] = {}
@@ -77,6 +87,19 @@ def slices(runs: list[tuple[int, int, str]], partition: int, start: int, end: in
     return out
 
 
+def shares(found: list[Slice], most: int = SHARE_OFFSETS) -> list[Share]:
+    """The slices in their order, dealt to tasks of ``most`` offsets or one slice; a lost run is one row."""
+    out, room = [], 0
+    for piece in found:
+        offsets = piece.end - piece.first if piece.path else 1
+        if not out or offsets > room:
+            out.append(Share([]))
+            room = most
+        out[-1].slices.append(piece)
+        room -= offsets
+    return out
+
+
 def next_ends(at: dict[int, int], ends: dict[int, int], cap: int | None) -> dict[int, int]:
     """Ends of the next batch: all there is, or ``cap`` offsets shared by what each partition has left."""
     left = {p: max(0, ends[p] - at.get(p, 0)) for p in ends}
@@ -118,8 +141,8 @@ class SegmentStreamReader(DataSourceStreamReader):
             self.position = {int(p): at for p, at in (json.loads(held) if held else self.initialOffset()).items()}
         return self.position
 
-    def partitions(self, start: dict, end: dict) -> list[Slice]:
-        """One task per segment touched.  A partition that is new in ``end`` starts at offset 0."""
+    def partitions(self, start: dict, end: dict) -> list[Share]:
+        """Tasks for the segments touched, small ones together.  A partition that is new in ``end`` starts at offset 0."""
         found, out = segments(self.path), []
         for p, stop in end.items():
             out += slices(found.get(int(p), []), int(p), start.get(p, 0), stop)
@@ -129,9 +152,13 @@ class SegmentStreamReader(DataSourceStreamReader):
         if self.position_path:
             put(self.position_path, json.dumps(end).encode())
         self.position = {int(p): at for p, at in end.items()}
-        return out
+        return shares(out)
 
-    def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
+    def read(self, share: Share) -> Iterator[pa.RecordBatch]:
+        for piece in share.slices:
+            yield from self._rows(piece)
+
+    def _rows(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         if partition.path is None:
             lost = partition.end - partition.first
             yield pa.RecordBatch.from_pylist([{"log_partition": partition.partition, "log_offset": partition.first, "lost": lost}], _ARROW)
@@ -171,12 +198,12 @@ def segment_stream(spark: SparkSession, path: str, **options: object) -> DataFra
 def land_segments(rows: DataFrame, path: str, segment_rows: int = 100_000) -> DataFrame:
     """(log_partition int, log_offset long, value string) written as segments of at most ``segment_rows`` offsets.
 
-    A task holds one segment.  A file appears whole under its name, so a repeated task replaces it by the same
-    rows.  Returns (log_partition, first, stop, rows), one row per segment, as a plan: run it once.
+    A task writes its segments one after the other and holds one.  A file appears whole under its name, so a
+    repeated task replaces it by the same rows.  Returns (log_partition, first, stop, rows), one row per segment,
+    as a plan: run it once.
     """
 
-    def write(table: pa.Table) -> pa.Table:
-        table = table.sort_by("log_offset")
+    def write(table: pa.Table) -> pa.RecordBatch:
         at, p = table.column("log_offset"), table.column("log_partition")[0].as_py()
         first, stop = at[0].as_py(), at[len(at) - 1].as_py() + 1
         system, root = shared_fs(path)
@@ -186,7 +213,33 @@ def land_segments(rows: DataFrame, path: str, segment_rows: int = 100_000) -> Da
         with system.open_output_stream(aside) as out:
             pq.write_table(table.select(["log_offset", "value"]), out)
         system.move(aside, f"{folder}/{first:020d}-{stop:020d}.parquet")
-        return pa.table({"log_partition": pa.array([p], pa.int32()), "first": [first], "stop": [stop], "rows": [len(at)]})
-
-    dealt = rows.withColumn("segment", F.floor(F.col("log_offset") / segment_rows))
-    return dealt.groupBy("log_partition", "segment").applyInArrow(write, "log_partition int, first long, stop long, rows long")
+        return pa.RecordBatch.from_pydict({"log_partition": pa.array([p], pa.int32()), "first": [first], "stop": [stop], "rows": [len(at)]})
+
+    def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            for piece, of in _by_segment(batch):
+                if held and of != key:
+                    yield write(pa.Table.from_batches(held))
+                    held = []
+                held.append(piece)
+                key = of
+        if held:
+            yield write(pa.Table.from_batches(held))
+
+    keys = ["log_partition", "segment"]
+    dealt = rows.withColumn("segment", F.floor(F.col("log_offset") / segment_rows)).repartition(*keys)
+    return dealt.sortWithinPartitions(*keys, "log_offset").mapInArrow(land, "log_partition int, first long, stop long, rows long")
+
+
+def _by_segment(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, tuple]]:
+    """(rows, their partition and segment) of each run of equal keys in a sorted batch."""
+    keys = [batch.column(c) for c in ("log_partition", "segment")]
+    new = np.zeros(max(0, batch.num_rows - 1), bool)
+    for key in keys:
+        values, null = key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False)
+        new |= (values[1:] != values[:-1]) | (null[1:] != null[:-1])
+    cut = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cut[:-1], cut[1:]):
+        if b > a:
+            yield batch.slice(a, b - a), tuple(key[a].as_py() for key in keys)
