@@ -143,6 +143,17 @@ def test_failed_and_repeated_batches_are_delivered_once(spark, tmp_dir):
     assert len(glob.glob(f"{tmp_dir}/out/commits/*.json")) == 5  # one per batch of 60 offsets
 
 
+def test_small_segments_are_delivered_in_few_files(spark, tmp_dir):
+    _land(spark, tmp_dir, 0, 600, segment_rows=4)
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="told to fail"):
+            _read(spark, tmp_dir, sink=CrashingSink, maxOffsetsPerTrigger=400)
+    _read(spark, tmp_dir, sink=CrashingSink, maxOffsetsPerTrigger=400)
+    assert _rows(spark, tmp_dir) == _all(0, 600)
+    assert len(glob.glob(f"{tmp_dir}/out/commits/*.json")) == 3
+    assert len(glob.glob(f"{tmp_dir}/out/data/*.parquet")) <= 4  # 300 segments; a failed batch may leave a file
+
+
 def test_commit_is_once_and_abort_leaves_what_is_visible(tmp_dir):
     import pyarrow as pa
 
